@@ -62,7 +62,7 @@ def require_path(spark: SparkSession, path: str) -> str:
 
 
 def require_header(spark: SparkSession, path: str, header: str) -> str:
-    """Every file under `path` must start with exactly `header`; an empty file does not.
+    """Every non-empty file under `path` must start with exactly `header`, and one must be there.
 
     One pass over the lines, reduced on the way to one first line per file.
     """
@@ -78,8 +78,8 @@ def require_header(spark: SparkSession, path: str, header: str) -> str:
     ).first()
     if other:
         raise InvalidHeader(f"Invalid schema: {other['file']} starts with {other['first']!r}")
-    if checked < stored_bytes(spark, path, "*")[1]:
-        raise InvalidHeader(f"Invalid schema: a file under {path} is empty")
+    if not checked:
+        raise InvalidHeader(f"Invalid schema: {path} is empty")
     return path
 
 
