@@ -32,7 +32,7 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Rule:
     """`bad` marks an unexpected row, `counted` the rows looked at, `verdict` turns counts into success.
 

@@ -8,22 +8,28 @@ from tidemart.operators.quality import (
     QualityGateFailed, Rule, between, failures, in_set, not_null, row_count_between, unique, validate,
 )
 
-# The rules and limits every order load is held to.
+# The statuses and limits every order load is held to.
 ORDER_STATUSES = ("created", "paid", "shipped", "delivered", "cancelled")
-ORDERS_SUITE = (
-    not_null("order_id"),
-    unique("order_id"),
-    not_null("customer_id"),
-    between("quantity", 1, 20),
-    between("unit_price", 0, 1000),
-    in_set("order_status", ORDER_STATUSES),
-    row_count_between(1, 100000),
-)
-
-
-def check(df: DataFrame, suite: Sequence[Rule] = ORDERS_SUITE) -> DataFrame:
-    """`df` itself when it passes; raises with the failed rules otherwise."""
-    failed = failures(validate(df, suite))
+QUANTITY = (1, 20)
+UNIT_PRICE = (0, 1000)
+ROW_COUNT = (1, 100000)
+
+
+def orders_suite() -> list[Rule]:
+    return [
+        not_null("order_id"),
+        unique("order_id"),
+        not_null("customer_id"),
+        between("quantity", *QUANTITY),
+        between("unit_price", *UNIT_PRICE),
+        in_set("order_status", ORDER_STATUSES),
+        row_count_between(*ROW_COUNT),
+    ]
+
+
+def check(df: DataFrame, suite: Sequence[Rule] | None = None) -> DataFrame:
+    """`df` itself when it passes the suite (by default the orders suite); raises otherwise."""
+    failed = failures(validate(df, orders_suite() if suite is None else suite))
     if failed:
         raise QualityGateFailed(failed)
     return df
@@ -33,7 +39,7 @@ def run_gated(
     ingest: Callable[[], DataFrame],
     transform: Callable[[DataFrame], DataFrame],
     publish: Callable[[DataFrame], DataFrame],
-    suite: Sequence[Rule] = ORDERS_SUITE,
+    suite: Sequence[Rule] | None = None,
     ready: Callable[[], object] | None = None,
 ) -> DataFrame:
     """Ready check, ingest, validate, transform, publish, in this order; the first error ends the run.
