@@ -1,6 +1,7 @@
 """Scalar column functions. Lenient ones give NULL on bad input; strict ones fail the query."""
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,11 +85,17 @@ def date_parts(col: Column | str) -> list[Column]:
 def decode_decimal(col: Column | str, precision: int, scale: int) -> Column:
     """Base64 text holding a big-endian two's-complement unscaled integer, as a decimal.
 
-    Exact up to 16 bytes, which covers every 38-digit decimal; NULL when the text is not base64
-    or the value does not fit.
+    NULL when the text is not base64 or the value does not fit. Up to 18 digits come from 8 bytes,
+    which `conv` reads at once; more digits are read in limbs from up to 16 bytes.
     """
     raw = F.hex(F.try_to_binary(_c(col), F.lit("base64")))
     negative = F.substring(raw, 1, 1) >= "8"
+    if precision <= 18:
+        filled = F.lpad(raw, F.lit(16), F.when(negative, "F").otherwise("0"))
+        whole = F.conv(filled, 16, -10).try_cast(f"decimal({precision},0)")
+        unscaled = F.when(F.length(raw).between(2, 16), whole)
+        return (unscaled * F.lit(Decimal(1).scaleb(-scale))).try_cast(f"decimal({precision},{scale})")
+
     # A negative number is -(~x + 1): flip its digits, then read both signs as a magnitude.
     digits = F.lpad(F.when(negative, F.translate(raw, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(raw), 32, "0")
 
