@@ -6,7 +6,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
-DATE_PATTERN = "yyyy-MM-dd"
 
 
 def _c(col: Column | str) -> Column:
@@ -14,8 +13,13 @@ def _c(col: Column | str) -> Column:
 
 
 def parse_ts(col: Column | str, pattern: str | None = None) -> Column:
-    """Text to timestamp, NULL when it does not parse. Without a pattern: ISO."""
+    """Text to timestamp, NULL when it does not parse. Without a pattern: ISO.
+
+    The usual pattern goes by shape check and cast, which is several times faster than a formatter.
+    """
     text = _c(col)
+    if pattern == TIMESTAMP_PATTERN:
+        return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), text.try_cast("timestamp"))
     return F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)
 
 
@@ -37,7 +41,8 @@ def strict(col: Column | str, type_name: str) -> Column:
 
 def lenient_date(col: Column | str) -> Column:
     """`yyyy-MM-dd` text to date, NULL when it does not parse."""
-    return parse_ts(col, DATE_PATTERN).cast("date")
+    text = _c(col)
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), text.try_cast("date"))
 
 
 def to_day(col: Column | str) -> Column:

@@ -32,19 +32,18 @@ def parse_change_events(
     `decimals` maps columns sent as base64 numbers to (precision, scale).
     """
     decimals = decimals or {}
-    payload = F.from_json(F.col(col).cast("string"), envelope(row))["payload"]
-    parsed = df.select(payload.alias("p")).filter(F.col("p.op").isNotNull())
+    message = F.from_json(F.col(col).cast("string"), envelope(row))
+    # As a generator the message is parsed once; a plain filter on it would parse it again.
+    parsed = df.select(F.inline(F.array(message["payload"]))).filter(F.col("op").isNotNull())
 
     def image(name: str) -> Column:
-        side = F.col(f"p.{name}")
+        side = F.col(name)
         fields = [
             (decode_decimal(side[f], *decimals[f]) if f in decimals else side[f]).alias(f) for f in row.fieldNames()
         ]
         return F.when(side.isNotNull(), F.struct(*fields)).alias(name)
 
-    return parsed.select(
-        "p.op", image("before"), image("after"), F.col("p.source.lsn").alias("lsn"), F.col("p.ts_ms").alias("ts_ms")
-    )
+    return parsed.select("op", image("before"), image("after"), F.col("source.lsn").alias("lsn"), "ts_ms")
 
 
 def last_changes(events: DataFrame, key: str) -> DataFrame:

@@ -161,12 +161,20 @@ def group_total(
     return by_heat(df, keys, plain, split, group_rows)
 
 
-def ranks(df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None) -> DataFrame:
+def ranks(
+    df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """`rank` and `dense_rank` over all rows by `value` descending, NULLs first.
 
-    Works on the distinct values: how many rows and how many values come before each. `df` is read
-    twice, so pass a table or a materialised result.
+    One window while the rows fit one task. Beyond that it works on the distinct values: how many
+    rows and how many values come before each. `df` is read more than once, so pass a table or a
+    materialised result.
     """
+    names = [rank] + ([dense_rank] if dense_rank else [])
+    if df.count() <= group_rows:
+        everything = Window.orderBy(F.col(value).desc_nulls_first())
+        numbers = [F.rank().over(everything), F.dense_rank().over(everything)]
+        return df.select("*", *[n.cast("long").alias(name) for n, name in zip(numbers, names)])
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()])
     inside = Window.partitionBy("_piece").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
@@ -174,10 +182,9 @@ def ranks(df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None
     placed = pieced.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(
         F.broadcast(offsets), "_piece"
     )
-    columns = [(F.col("_rows_before") + F.col("_inside") + 1).alias(rank)]
-    if dense_rank:
-        columns.append((F.col("_values_before") + F.col("_at") + 1).alias(dense_rank))
-    return null_safe_join(df, placed.select(value, *columns), [value])
+    numbers = [F.col("_rows_before") + F.col("_inside") + 1, F.col("_values_before") + F.col("_at") + 1]
+    ranked = placed.select(value, *[n.alias(name) for n, name in zip(numbers, names)])
+    return null_safe_join(df, ranked, [value])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -202,16 +202,20 @@ def order_sequence(
     return row_numbers(orders, [customer], order, "order_sequence", group_rows)
 
 
-def customer_rank(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
+def customer_rank(
+    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Customers ranked by total amount, with and without gaps."""
     totals = materialise(revenue_per_customer(orders, customer, amount, "total_amount"), "totals")
-    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank")
+    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank", group_rows)
 
 
-def ranked_customers(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
+def ranked_customers(
+    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Revenue per customer, then its rank."""
     revenue = materialise(revenue_per_customer(orders, customer, amount), "revenue")
-    return ranks(revenue, "total_revenue", "rank")
+    return ranks(revenue, "total_revenue", "rank", group_rows=group_rows)
 
 
 def with_customer_total(

@@ -9,13 +9,13 @@ from tidemart.plans.registered.base import events, query, table
 
 
 def raw_orders(spark, sf) -> DataFrame:
-    """Order lines as raw text rows; orders without lines have no quantity."""
+    """Order lines as rows of the raw file; orders without lines have no quantity."""
     o, l = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     return o.join(l, o.o_orderkey == l.l_orderkey, "left").select(
         F.col("o_orderkey").alias("order_id"),
         F.date_format("o_orderdate", s.TIMESTAMP_PATTERN).alias("order_timestamp"),
-        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
-        F.col("l_extendedprice").cast("string").alias("unit_price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("unit_price"),
         F.concat(F.lit(" "), "o_orderstatus").alias("order_status"),
         F.concat("o_orderpriority", F.lit(" ")).alias("payment_method"),
     )

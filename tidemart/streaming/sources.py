@@ -47,7 +47,9 @@ def parse_json(
     """
     wanted = StructType([*schema, StructField(REJECT, StringType())]) if rejects else schema
     options = {"columnNameOfCorruptRecord": REJECT} if rejects else {}
-    parsed = df.select(F.from_json(F.col(col).cast("string"), wanted, options).alias("data")).select("data.*")
+    data = F.from_json(F.col(col).cast("string"), wanted, options)
+    # As a generator the message is parsed once; a later filter on its columns would parse it again.
+    parsed = df.select(F.inline(F.array(data)))
     if event_time and event_time in schema.fieldNames():
         parsed = parsed.withColumn(event_time, F.try_to_timestamp(F.col(event_time)))
     return parsed
