@@ -1,3 +1,5 @@
+import contextlib
+import io
 from datetime import date
 from decimal import Decimal
 
@@ -20,3 +22,11 @@ def same(left, right):
     assert cols == sorted(right.columns)
     a, b = left.select(*cols), right.select(*cols)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def plan_of(df, mode="formatted"):
+    """The physical plan as text."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode)
+    return out.getvalue()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from helpers import day, tuples
+from helpers import day, plan_of, tuples
 from tidemart.operators.cleaning import (
     INGEST_HEADER, bronze_to_silver, clean_orders, dedup, filter_field_positive, to_silver,
 )
@@ -48,8 +48,7 @@ def test_batch_job(spark, raw, tmp_path):
     by_day = out["daily_revenue"]
     assert dict(by_day.dtypes)["order_date"] == "date" and by_day.columns[-1] == "order_date"
     assert tuples(by_day, "order_date", "payment_method", "total_revenue") == [(d, m, r) for d, m, _, r in GOLD]
-    plan = by_day.filter(F.col("order_date") == "2026-04-01")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(order_date" in plan
+    assert "PartitionFilters: [isnotnull(order_date" in plan_of(by_day.filter(F.col("order_date") == "2026-04-01"))
 
 
 def test_batch_job_inferred_schema_gives_the_same_gold(spark, raw, tmp_path):

@@ -8,6 +8,30 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemart.operators.ordered import GROUP_ROWS, by_heat, null_safe_join, sorted_pieces
 
 
+#: Up to this many entity rows, their keys are broadcast to leave out other keys' features early.
+FEW_ENTITIES = 1_000_000
+
+
+def within_reach(
+    entities: DataFrame, features: DataFrame, keys: Sequence[str], entity_ts: str, feature_ts: str, ttl: timedelta | None
+) -> DataFrame:
+    """Feature rows that some entity row could use, by time range and, for few entities, by key.
+
+    One pass over the entity times decides; the time range reaches the scan of the features.
+    """
+    asked = F.unix_micros(F.col(entity_ts).cast("timestamp"))
+    rows, first, last = entities.agg(F.count(F.lit(1)), F.min(asked), F.max(asked)).first()
+    if last is None:
+        return features.filter(F.lit(False))
+    time = F.col(feature_ts).cast("timestamp")
+    near = features.filter(time <= F.timestamp_micros(F.lit(last)))
+    if ttl is not None:
+        near = near.filter(time >= F.timestamp_micros(F.lit(first - ttl // timedelta(microseconds=1))))
+    if rows <= FEW_ENTITIES:
+        near = near.join(F.broadcast(entities.select(*keys).distinct()), list(keys), "left_semi")
+    return near
+
+
 def point_in_time_join(
     entities: DataFrame,
     features: DataFrame,
@@ -28,7 +52,8 @@ def point_in_time_join(
     """
     keys = list(keys)
     made = F.col(created).cast("timestamp") if created else F.lit(None).cast("timestamp")
-    facts = features.filter(F.col(feature_ts).isNotNull()).select(
+    usable = within_reach(entities, features, keys, entity_ts, feature_ts, ttl)
+    facts = usable.select(
         *keys,
         F.col(feature_ts).cast("timestamp").alias("_t"),
         F.lit(0).alias("_kind"),
@@ -49,8 +74,8 @@ def point_in_time_join(
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return part.withColumn("_hit", F.last("_value", ignorenulls=True).over(upto)).filter("_kind = 1").select("_row", "_hit")
 
-    def split(part: DataFrame) -> DataFrame:
-        pieced = sorted_pieces(part, [*[F.col(k) for k in keys], *order])
+    def split(part: DataFrame, pieces: int) -> DataFrame:
+        pieced = sorted_pieces(part, [*[F.col(k) for k in keys], *order], pieces)
         upto = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
         earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         # One row per piece and key in it: keys are few here and each spans neighbouring pieces.

@@ -7,7 +7,8 @@ over is added. The carried rows number at most one per piece and key, which boun
 here.
 """
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,31 +24,40 @@ HOT_COUNTERS = 16_384
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> list[int]:
-    """Hashes of the keys that hold more than `group_rows` rows: one pass over the key columns."""
+def hot_hashes(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> dict[int, int]:
+    """Hash and estimated rows of each key with more than `group_rows` rows: one pass over the keys."""
     hashed = df.select(F.xxhash64(*keys).alias("h"))
     top = hashed.agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_COUNTERS})")).first()[0]
-    return [entry["item"] for entry in top or [] if entry["count"] > group_rows]
+    return {entry["item"]: entry["count"] for entry in top or [] if entry["count"] > group_rows}
 
 
-def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
-    return F.xxhash64(*keys).isin(list(hashes))
+def is_hot(keys: Sequence[str], hashes: Iterable[int]) -> Column:
+    return F.xxhash64(*keys).isin(sorted(hashes))
 
 
 def by_heat(
     df: DataFrame,
     keys: Sequence[str],
     plain: Callable[[DataFrame], DataFrame],
-    split: Callable[[DataFrame], DataFrame],
+    split: Callable[[DataFrame, int], DataFrame],
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """`plain` for ordinary keys, `split` for large ones, results together."""
+    """`plain` for ordinary keys, `split` for large ones, results together.
+
+    `split` also gets the number of pieces its rows need.
+    """
     hashes = hot_hashes(df, keys, group_rows)
     if not hashes:
         return plain(df)
     hot = is_hot(keys, hashes)
     usual = plain(df.filter(~hot))
-    return usual.unionByName(split(df.filter(hot)).select(*[F.col(f.name).cast(f.dataType) for f in usual.schema]))
+    large = split(df.filter(hot), piece_count(df, sum(hashes.values()), group_rows))
+    return usual.unionByName(large.select(*[F.col(f.name).cast(f.dataType) for f in usual.schema]))
+
+
+def piece_count(df: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> int:
+    """Pieces of at most about `group_rows` rows, and no fewer than keep all tasks busy."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / group_rows))
 
 
 def sorted_pieces(df: DataFrame, order: Sequence[Column], pieces: int | None = None) -> DataFrame:
@@ -55,7 +65,7 @@ def sorted_pieces(df: DataFrame, order: Sequence[Column], pieces: int | None = N
 
     A hash of the whole row breaks ties, so equal sort keys can still spread over pieces.
     """
-    count = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = pieces or piece_count(df, 0)
     full = [*order, F.xxhash64(*df.columns)]
     number = F.monotonically_increasing_id()
     placed = df.repartitionByRange(count, *full).sortWithinPartitions(*full).withColumn("_n", number)
@@ -78,9 +88,11 @@ def piece_offsets(pieced: DataFrame, **totals: Column) -> DataFrame:
     )
 
 
-def global_positions(df: DataFrame, order: Sequence[Column], name: str = "_row") -> DataFrame:
+def global_positions(
+    df: DataFrame, order: Sequence[Column], name: str = "_row", pieces: int | None = None
+) -> DataFrame:
     """Dense positions 1, 2, 3 ... in global order, without a single-task window."""
-    pieced = sorted_pieces(df, order)
+    pieced = sorted_pieces(df, order, pieces)
     offsets = piece_offsets(pieced, _before=F.count(F.lit(1)))
     return pieced.join(F.broadcast(offsets), "_piece").select(
         *df.columns, (F.col("_before") + F.col("_at") + 1).alias(name)
@@ -95,8 +107,8 @@ def row_numbers(
     def plain(part: DataFrame) -> DataFrame:
         return part.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
-    def split(part: DataFrame) -> DataFrame:
-        placed = global_positions(part, [*[F.col(k) for k in keys], *order], "_row")
+    def split(part: DataFrame, pieces: int) -> DataFrame:
+        placed = global_positions(part, [*[F.col(k) for k in keys], *order], "_row", pieces)
         # Only large keys come here, at most HOT_KEYS of them.
         firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"))
         return null_safe_join(placed, F.broadcast(firsts), keys).withColumn(
@@ -123,10 +135,10 @@ def running_sum(
     def plain(part: DataFrame) -> DataFrame:
         return part.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
 
-    def split(part: DataFrame) -> DataFrame:
+    def split(part: DataFrame, pieces: int) -> DataFrame:
         ties = [*keys, order]
         totals = part.groupBy(*ties).agg(F.sum(value).alias("_sum"))
-        pieced = sorted_pieces(totals, [F.col(c) for c in ties])
+        pieced = sorted_pieces(totals, [F.col(c) for c in ties], pieces)
         inside = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
         earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         carried = (
@@ -153,7 +165,7 @@ def group_total(
     def plain(part: DataFrame) -> DataFrame:
         return part.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
 
-    def split(part: DataFrame) -> DataFrame:
+    def split(part: DataFrame, _: int) -> DataFrame:
         # One row per large key, at most HOT_KEYS of them.
         totals = part.groupBy(*keys).agg(F.sum(value).alias(name))
         return null_safe_join(part, F.broadcast(totals), keys)
@@ -171,12 +183,13 @@ def ranks(
     materialised result.
     """
     names = [rank] + ([dense_rank] if dense_rank else [])
-    if df.count() <= group_rows:
+    rows = df.count()
+    if rows <= group_rows:
         everything = Window.orderBy(F.col(value).desc_nulls_first())
         numbers = [F.rank().over(everything), F.dense_rank().over(everything)]
         return df.select("*", *[n.cast("long").alias(name) for n, name in zip(numbers, names)])
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()])
+    pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()], piece_count(df, rows, group_rows))
     inside = Window.partitionBy("_piece").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = piece_offsets(pieced, _rows_before=F.sum("_rows"), _values_before=F.count(F.lit(1)))
     placed = pieced.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(

@@ -91,12 +91,12 @@ def _outer(
         # Keys are routed by hash, so equal keys must have one type.
         raise TypeError(f"cast {key} and {fk} to one type before an outer join")
     how = "full" if keep_orders else "left"
-    hashes = set(hot_hashes(orders, [fk], group_rows))
+    hashes = hot_hashes(orders, [fk], group_rows)
     if keep_orders:
-        hashes |= set(hot_hashes(customers, [key], group_rows))
+        hashes |= hot_hashes(customers, [key], group_rows)
     if not hashes:
         return _joined(customers, orders, how, key, fk)
-    hot_customer, hot_order = is_hot([key], sorted(hashes)), is_hot([fk], sorted(hashes))
+    hot_customer, hot_order = is_hot([key], hashes), is_hot([fk], hashes)
     usual = _joined(customers.filter(~hot_customer), orders.filter(~hot_order), how, key, fk)
     hot_c, hot_o = customers.filter(hot_customer), orders.filter(hot_order)
 

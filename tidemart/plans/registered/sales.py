@@ -8,12 +8,13 @@ from tidemart.operators.relational import keep_castable
 from tidemart.plans.registered.base import events, query, table
 
 
-def raw_orders(spark, sf) -> DataFrame:
+def raw_orders(spark, sf, text_time: bool = False) -> DataFrame:
     """Order lines as rows of the raw file; orders without lines have no quantity."""
     o, l = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    time = F.date_format("o_orderdate", s.TIMESTAMP_PATTERN) if text_time else F.col("o_orderdate").cast("timestamp")
     return o.join(l, o.o_orderkey == l.l_orderkey, "left").select(
         F.col("o_orderkey").alias("order_id"),
-        F.date_format("o_orderdate", s.TIMESTAMP_PATTERN).alias("order_timestamp"),
+        time.alias("order_timestamp"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),
         F.concat(F.lit(" "), "o_orderstatus").alias("order_status"),
@@ -29,7 +30,7 @@ _SILVER = """(SELECT o_orderkey AS order_id, o_orderdate AS order_timestamp, CAS
 @query(f"""SELECT order_id, epoch_us(order_timestamp) AS order_timestamp, CAST(quantity AS BIGINT) AS quantity, unit_price,
  order_status, payment_method, gross_amount FROM {_SILVER} s""")
 def silver(spark, sf):
-    return cleaning.to_silver(raw_orders(spark, sf))
+    return cleaning.to_silver(raw_orders(spark, sf, text_time=True))
 
 
 @query(f"""SELECT CAST(CAST(order_timestamp AS DATE) AS VARCHAR) AS order_date, payment_method, COUNT(*) AS total_orders,

@@ -34,14 +34,10 @@ def create_table_as(df: DataFrame, path: str, table: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
-    """Write CSV with a header and return the number of rows, counted while writing.
-
-    `single_file` passes all rows through one task and is meant for small exports.
-    """
+def write_csv(df: DataFrame, path: str) -> int:
+    """Write CSV files, each with a header, and return the number of rows, counted while writing."""
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted = counted.coalesce(1) if single_file else counted
     counted.write.mode("overwrite").option("header", True).csv(path)
     return seen.get["rows"]
 
