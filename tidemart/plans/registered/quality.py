@@ -29,7 +29,7 @@ _CUSTKEYS = "(SELECT count(*) AS n FROM orders GROUP BY o_custkey) g"
     _rule("not_null", "o_orderkey", "count(*) = count(o_orderkey)", "count(*)", "count(*) - count(o_orderkey)"),
     _rule("unique", "o_orderkey", "count(*) = count(DISTINCT o_orderkey)", "count(*)", "0"),
     _rule("unique", "o_custkey", "count_if(n > 1) = 0", "sum(n)", "coalesce(sum(n) FILTER (WHERE n > 1), 0)", _CUSTKEYS),
-    _rule("uniqueness", "o_custkey", "sum(n) FILTER (WHERE n = 1) / sum(n) >= 0.5", "sum(n)", "sum(n) FILTER (WHERE n > 1)", _CUSTKEYS),
+    _rule("uniqueness", "o_custkey", "coalesce(sum(n) FILTER (WHERE n = 1), 0) / sum(n) >= 0.5", "sum(n)", "coalesce(sum(n) FILTER (WHERE n > 1), 0)", _CUSTKEYS),
     _rule("between", "o_totalprice", "count_if(NOT o_totalprice BETWEEN 1000 AND 300000) = 0", "count(*)", "count_if(NOT o_totalprice BETWEEN 1000 AND 300000)"),
     _rule("in_set", "o_orderstatus", "count_if(o_orderstatus NOT IN ('F', 'O')) = 0", "count(*)", "count_if(o_orderstatus NOT IN ('F', 'O'))"),
     _rule("row_count_between", "table", "count(*) BETWEEN 1 AND 100000000000", "count(*)", "0"),
