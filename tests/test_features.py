@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from helpers import same, tuples
-from tidemart.operators.asof import point_in_time_join
+from tidemart.operators.asof import Lookup, point_in_time_join, point_in_time_joins
 from tidemart.operators.features import (
     FeatureService, OnDemandView, compact_latest, historical_features, latest_features, materialize_incremental,
     parse_ref, push, read_latest,
@@ -99,6 +99,25 @@ def test_point_in_time_join_equals_brute_force(spark, group_rows):
     same(got, expected)
 
 
+@pytest.mark.parametrize("group_rows", [100, 1_000_000])
+def test_two_lookups_on_one_timeline_equal_two_joins(spark, group_rows):
+    rng = random.Random(5)
+    base = T("2024-01-01 00:00:00")
+    rows = lambda n: [(rng.choice([7, 7, 8, 9]), base + timedelta(minutes=rng.randint(0, 200)), float(i)) for i in range(n)]
+    a = spark.createDataFrame(rows(200), "k int, at timestamp, v double")
+    b = spark.createDataFrame(rows(200), "k int, seen timestamp, w double")
+    e = spark.createDataFrame(rows(200), "k int, event_timestamp timestamp, label double")
+    limits = timedelta(minutes=3), timedelta(minutes=30)
+    both = point_in_time_joins(e, [Lookup(a, ["v"], "at", None, limits[0]), Lookup(b, ["w"], "seen", None, limits[1])], ["k"], group_rows=group_rows)
+    first = point_in_time_join(e, a, ["k"], ["v"], feature_ts="at", ttl=limits[0])
+    same(both, point_in_time_join(first, b, ["k"], ["w"], feature_ts="seen", ttl=limits[1]))
+
+
+def test_no_entities(spark, stats):
+    none = spark.createDataFrame([], "driver_id long, event_timestamp timestamp")
+    assert point_in_time_join(none, stats, ["driver_id"], ["conv_rate"]).count() == 0
+
+
 def test_pandas_function_gives_what_expressions_give(spark, stats, entities):
     repo = driver_repo(rows=stats)
     view = repo.view("driver_hourly_stats")

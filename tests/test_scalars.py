@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import day
 from tidemart.functions.scalars import (
-    as_text, date_parts, days_before, decode_decimal, lenient, lenient_date, normalise, parse_ts, strict, year_month,
+    as_text, date_parts, days_before, decode_decimal, lenient, lenient_date, lenient_int, normalise, parse_ts, strict, year_month,
 )
 
 
@@ -37,6 +37,8 @@ def test_base64_decimals_that_do_not_fit(spark):
 def test_casts(spark):
     df = spark.createDataFrame([("5",), ("x",), (None,)], "v string")
     assert [r[0] for r in df.select(lenient("v", "int")).collect()] == [5, None, None]
+    texts = spark.createDataFrame([("5.7",), ("-3.",), (" 4 ",), ("1.2.3",), ("x.5",), ("1e3",), ("99999999999",)], "v string")
+    assert [r[0] for r in texts.select(lenient_int("v")).collect()] == [5, -3, 4, None, None, None, None]
     with pytest.raises(PySparkException):
         df.select(strict("v", "int")).collect()
     ok = df.filter("v is null or v = '5'").select(strict("v", "int").alias("n"))

@@ -28,6 +28,11 @@ def lenient(col: Column | str, type_name: str) -> Column:
     return _c(col).try_cast(type_name)
 
 
+def lenient_int(col: Column | str) -> Column:
+    """Text to int; a decimal part is cut off, anything else that is no integer gives NULL."""
+    return F.regexp_replace(F.trim(_c(col)), r"(?<=\d)\.\d*$", "").try_cast("int")
+
+
 def strict(col: Column | str, type_name: str) -> Column:
     """Cast that fails the query on a value that does not fit, whatever the ANSI setting.
 

@@ -1,35 +1,26 @@
 """Point-in-time join: for every entity row, the newest feature row not later than it."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.operators.ordered import GROUP_ROWS, by_heat, null_safe_join, sorted_pieces
 
-
 #: Up to this many entity rows, their keys are broadcast to leave out other keys' features early.
 FEW_ENTITIES = 1_000_000
 
 
-def within_reach(
-    entities: DataFrame, features: DataFrame, keys: Sequence[str], entity_ts: str, feature_ts: str, ttl: timedelta | None
-) -> DataFrame:
-    """Feature rows that some entity row could use, by time range and, for few entities, by key.
+@dataclass(frozen=True, eq=False)
+class Lookup:
+    """Feature rows with their time columns, the columns to deliver, and how long a row stays valid."""
 
-    One pass over the entity times decides; the time range reaches the scan of the features.
-    """
-    asked = F.unix_micros(F.col(entity_ts).cast("timestamp"))
-    rows, first, last = entities.agg(F.count(F.lit(1)), F.min(asked), F.max(asked)).first()
-    if last is None:
-        return features.filter(F.lit(False))
-    time = F.col(feature_ts).cast("timestamp")
-    near = features.filter(time <= F.timestamp_micros(F.lit(last)))
-    if ttl is not None:
-        near = near.filter(time >= F.timestamp_micros(F.lit(first - ttl // timedelta(microseconds=1))))
-    if rows <= FEW_ENTITIES:
-        near = near.join(F.broadcast(entities.select(*keys).distinct()), list(keys), "left_semi")
-    return near
+    features: DataFrame
+    columns: Sequence[str]
+    ts: str = "event_timestamp"
+    created: str | None = None
+    ttl: timedelta | None = None
 
 
 def point_in_time_join(
@@ -46,52 +37,97 @@ def point_in_time_join(
     """All entity columns plus `columns`, NULL where no feature row applies. No entity row is lost.
 
     A feature row applies when its time is not after the entity's and not more than `ttl` before
-    it. At one time the later `created` wins. Both sides are laid on one timeline per key, so there
-    is one shuffle and no row multiplication; a key with very many rows is cut into time ranges and
-    the last feature of earlier ranges is carried over.
+    it. At one time the later `created` wins.
+    """
+    return point_in_time_joins(
+        entities, [Lookup(features, columns, feature_ts, created, ttl)], keys, entity_ts, group_rows
+    )
+
+
+def point_in_time_joins(
+    entities: DataFrame,
+    lookups: Sequence[Lookup],
+    keys: Sequence[str],
+    entity_ts: str = "event_timestamp",
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Several lookups on the same keys, each as in `point_in_time_join`.
+
+    Entities and all feature rows are laid on one timeline per key, so there is one shuffle however
+    many lookups, and no row multiplication. A key with very many rows is cut into time ranges and
+    the last feature rows of earlier ranges are carried over.
     """
     keys = list(keys)
-    made = F.col(created).cast("timestamp") if created else F.lit(None).cast("timestamp")
-    usable = within_reach(entities, features, keys, entity_ts, feature_ts, ttl)
-    facts = usable.select(
-        *keys,
-        F.col(feature_ts).cast("timestamp").alias("_t"),
-        F.lit(0).alias("_kind"),
-        made.alias("_made"),
-        F.struct(F.col(feature_ts).cast("timestamp").alias("_t"), *columns).alias("_value"),
-    ).dropna(subset=keys)
-    asked = entities.select(
+    line = entities.select(
         *keys,
         F.col(entity_ts).cast("timestamp").alias("_t"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast("timestamp").alias("_made"),
         F.struct(*entities.columns).alias("_row"),
     )
-    line = facts.unionByName(asked, allowMissingColumns=True)
-    order = [F.col("_t"), F.col("_kind"), F.col("_made"), F.col("_value")]
+    reach = _reach(entities, entity_ts)
+    for i, lookup in enumerate(lookups):
+        line = line.unionByName(_facts(lookup, entities, keys, reach, f"_v{i}"), allowMissingColumns=True)
+    values = [f"_v{i}" for i in range(len(lookups))]
+    # Features sort before entities of the same time; the values only settle full ties.
+    order = [F.col(c) for c in ("_t", "_kind", "_made", *values)]
 
     def plain(part: DataFrame) -> DataFrame:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return part.withColumn("_hit", F.last("_value", ignorenulls=True).over(upto)).filter("_kind = 1").select("_row", "_hit")
+        hits = {f"_h{v}": F.last(v, ignorenulls=True).over(upto) for v in values}
+        return part.withColumns(hits).filter("_kind = 1").select("_row", *hits)
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
         pieced = sorted_pieces(part, [*[F.col(k) for k in keys], *order], pieces)
         upto = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
         earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         # One row per piece and key in it: keys are few here and each spans neighbouring pieces.
-        carried = (
-            pieced.groupBy("_piece", *keys)
-            .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_at"))).alias("_end"))
-            .select("_piece", *keys, F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+        ends = [F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_at"))).alias(f"_end{v}") for v in values]
+        carried = pieced.groupBy("_piece", *keys).agg(*ends).select(
+            "_piece", *keys, *[F.last(f"_end{v}", ignorenulls=True).over(earlier).alias(f"_carry{v}") for v in values]
         )
-        local = pieced.withColumn("_local", F.last("_value", ignorenulls=True).over(upto)).filter("_kind = 1")
-        return null_safe_join(local, F.broadcast(carried), ["_piece", *keys]).select(
-            "_row", F.coalesce("_local", "_carry").alias("_hit")
+        local = pieced.withColumns({f"_local{v}": F.last(v, ignorenulls=True).over(upto) for v in values})
+        return null_safe_join(local.filter("_kind = 1"), F.broadcast(carried), ["_piece", *keys]).select(
+            "_row", *[F.coalesce(f"_local{v}", f"_carry{v}").alias(f"_h{v}") for v in values]
         )
 
     matched = by_heat(line, keys, plain, split, group_rows)
-    fresh = F.lit(True)
-    if ttl is not None:
-        limit = F.make_dt_interval(secs=F.lit(ttl.total_seconds()).cast("decimal(18,6)"))
-        fresh = F.col(f"_row.{entity_ts}").cast("timestamp") - F.col("_hit._t") <= limit
-    return matched.select("_row.*", *[F.when(fresh, F.col(f"_hit.{c}")).alias(c) for c in columns])
+    asked = F.col(f"_row.{entity_ts}").cast("timestamp")
+    delivered = []
+    for lookup, v in zip(lookups, values):
+        fresh = F.lit(True)
+        if lookup.ttl is not None:
+            limit = F.make_dt_interval(secs=F.lit(lookup.ttl.total_seconds()).cast("decimal(18,6)"))
+            fresh = asked - F.col(f"_h{v}._t") <= limit
+        delivered += [F.when(fresh, F.col(f"_h{v}.{c}")).alias(c) for c in lookup.columns]
+    return matched.select("_row.*", *delivered)
+
+
+def _reach(entities: DataFrame, entity_ts: str) -> tuple[int, int | None, int | None]:
+    """Number of entity rows and their first and last time in microseconds, from one pass."""
+    asked = F.unix_micros(F.col(entity_ts).cast("timestamp"))
+    return tuple(entities.agg(F.count(F.lit(1)), F.min(asked), F.max(asked)).first())
+
+
+def _facts(
+    lookup: Lookup, entities: DataFrame, keys: list[str], reach: tuple[int, int | None, int | None], name: str
+) -> DataFrame:
+    """The feature rows some entity row could use, as timeline rows with their values in `name`.
+
+    The entities' time range reaches the scan; few entities also leave out other keys.
+    """
+    rows, first, last = reach
+    time = F.col(lookup.ts).cast("timestamp")
+    near = lookup.features.filter(F.lit(False) if last is None else time <= F.timestamp_micros(F.lit(last)))
+    if last is not None and lookup.ttl is not None:
+        near = near.filter(time >= F.timestamp_micros(F.lit(first - lookup.ttl // timedelta(microseconds=1))))
+    if rows <= FEW_ENTITIES:
+        near = near.join(F.broadcast(entities.select(*keys).distinct()), keys, "left_semi")
+    made = F.col(lookup.created) if lookup.created else F.lit(None)
+    return near.dropna(subset=keys).select(
+        *keys,
+        time.alias("_t"),
+        F.lit(0).alias("_kind"),
+        made.cast("timestamp").alias("_made"),
+        F.struct(time.alias("_t"), *lookup.columns).alias(name),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from tidemart.functions.scalars import (
-    TIMESTAMP_PATTERN, lenient, lenient_date, normalise, parse_ts, strict, year_month,
+    TIMESTAMP_PATTERN, lenient, lenient_date, lenient_int, normalise, parse_ts, strict, year_month,
 )
 from tidemart.operators.ordered import latest_per_key
 from tidemart.operators.quality import require_columns
@@ -24,9 +24,10 @@ def to_silver(raw: DataFrame) -> DataFrame:
     time = F.col("order_timestamp")
     if isinstance(raw.schema["order_timestamp"].dataType, StringType):
         time = parse_ts(time, TIMESTAMP_PATTERN)
+    text_quantity = isinstance(raw.schema["quantity"].dataType, StringType)
     typed = {
         "order_timestamp": time.cast("timestamp"),
-        "quantity": lenient("quantity", "int"),
+        "quantity": lenient_int("quantity") if text_quantity else lenient("quantity", "int"),
         "unit_price": lenient("unit_price", "double"),
         "order_status": normalise("order_status"),
         "payment_method": normalise("payment_method"),

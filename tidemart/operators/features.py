@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemart.operators.asof import point_in_time_join
+from tidemart.operators.asof import Lookup, point_in_time_joins
 from tidemart.operators.ordered import GROUP_ROWS, latest_per_key
 from tidemart.sources.readers import path_exists
 from tidemart.sources.tables import add_rows, fold, read_table
@@ -235,13 +235,14 @@ def historical_features(
     if as_of is not None:
         entity_df = entity_df.withColumn(entity_ts, F.lit(as_of).cast("timestamp"))
     entity_columns = entity_df.columns
-    result = entity_df
+    by_keys: dict[tuple[str, ...], list[Lookup]] = {}
     for view, features in stored.values():
         history = view.typed(view_history(spark, view, repo))
-        result = point_in_time_join(
-            result, history, view.entity.join_keys, features, entity_ts, view.source.timestamp,
-            view.source.created, view.ttl, group_rows,
-        )
+        lookup = Lookup(history, features, view.source.timestamp, view.source.created, view.ttl)
+        by_keys.setdefault(view.entity.join_keys, []).append(lookup)
+    result = entity_df
+    for keys, lookups in by_keys.items():
+        result = point_in_time_joins(result, lookups, keys, entity_ts, group_rows)
     for view in on_demand:
         result = view.add_to(result)
     return result.select(*entity_columns, *names)

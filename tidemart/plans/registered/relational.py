@@ -10,9 +10,6 @@ from tidemart.sources.scratch import materialise
 # Fixed value: the day the recent-orders queries look back from.
 AS_OF = "2001-08-01"
 DAYS = 365
-# Keys with more rows than this take the route for large keys in `rank_with_ties` and the `*_hot`
-# queries. It only picks the route, and is far under the usual limit so that small tables take it.
-HOT = 20
 
 
 @query("SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, CAST(amount AS DOUBLE) AS amount, status FROM {orders} WHERE amount > 100000")
@@ -115,6 +112,14 @@ def customer_rank(spark, sf):
     return r.customer_rank(orders(spark, sf))
 
 
+def small_limit(df, parts: int) -> int:
+    """A group limit of 1/parts of the rows, so that small tables take the route for large keys too.
+
+    The limit only picks the route; the usual one is a fixed number of rows.
+    """
+    return max(1, df.count() // parts)
+
+
 @query(
     "SELECT part, quantity, RANK() OVER (ORDER BY quantity DESC) AS rank, DENSE_RANK() OVER (ORDER BY quantity DESC) AS dense_rank "
     "FROM (SELECT l_partkey AS part, CAST(SUM(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY l_partkey) t"
@@ -123,7 +128,8 @@ def rank_with_ties(spark, sf):
     sold = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(
         F.sum("l_quantity").cast("long").alias("quantity")
     )
-    return ranks(materialise(sold, "sold"), "quantity", "rank", "dense_rank", group_rows=HOT)
+    stored = materialise(sold, "sold")
+    return ranks(stored, "quantity", "rank", "dense_rank", small_limit(stored, 10))
 
 
 @query(
@@ -152,27 +158,33 @@ def customer_total(spark, sf):
     "SELECT order_id, status, CAST(SUM(amount) OVER (PARTITION BY status ORDER BY order_date) AS DOUBLE) AS running_total FROM {orders}"
 )
 def running_total_hot(spark, sf):
-    return r.running_total(orders(spark, sf), "status", group_rows=HOT).select("order_id", "status", "running_total")
+    rows = orders(spark, sf)
+    total = r.running_total(rows, "status", group_rows=small_limit(rows, 10))
+    return total.select("order_id", "status", "running_total")
 
 
 @query(
     "SELECT order_id, status, ROW_NUMBER() OVER (PARTITION BY status ORDER BY order_date, order_id) AS order_sequence FROM {orders}"
 )
 def order_sequence_hot(spark, sf):
-    return r.order_sequence(orders(spark, sf), "status", group_rows=HOT).select("order_id", "status", "order_sequence")
+    rows = orders(spark, sf)
+    numbered = r.order_sequence(rows, "status", group_rows=small_limit(rows, 10))
+    return numbered.select("order_id", "status", "order_sequence")
 
 
 @query(
     "SELECT order_id, status, CAST(SUM(amount) OVER (PARTITION BY status) AS DOUBLE) AS total_customer_amount FROM {orders}"
 )
 def group_total_hot(spark, sf):
-    total = r.with_customer_total(orders(spark, sf), "status", group_rows=HOT)
+    rows = orders(spark, sf)
+    total = r.with_customer_total(rows, "status", group_rows=small_limit(rows, 10))
     return total.select("order_id", "status", "total_customer_amount")
 
 
 @query(f"SELECT {_COLS} FROM {{customers}} c FULL JOIN {{orders}} o ON c.id = o.customer_id")
 def join_full_hot(spark, sf):
-    joined = r.customers_full_orders(customers(spark, sf), orders(spark, sf), group_rows=HOT)
+    rows = orders(spark, sf)
+    joined = r.customers_full_orders(customers(spark, sf), rows, group_rows=small_limit(rows, 1000))
     return joined.select("id", "name", "order_id", "amount")
 
 
@@ -206,3 +218,22 @@ def line_fields(spark, sf):
 def delimited_messages(spark, sf):
     messages = table(spark, sf, "events").select(F.concat_ws(",", "event_id", "event_type").alias("value"))
     return r.split_fields(messages, ["id", "status"])
+
+
+@query(
+    "WITH revenue_per_customer AS (SELECT customer_id, SUM(amount) AS total_revenue FROM {orders} GROUP BY customer_id) "
+    "SELECT c.name, CAST(r.total_revenue AS DOUBLE) AS total_revenue FROM {customers} c JOIN revenue_per_customer r ON c.id = r.customer_id"
+)
+def common_table_expression(spark, sf):
+    """The same text as a user would send to `spark.sql`."""
+    return spark.sql(
+        "WITH revenue_per_customer AS (SELECT customer_id, SUM(amount) AS total_revenue FROM {o} GROUP BY customer_id) "
+        "SELECT c.name, r.total_revenue FROM {c} c JOIN revenue_per_customer r ON c.id = r.customer_id",
+        o=orders(spark, sf), c=customers(spark, sf),
+    )
+
+
+@query("SELECT ROUND(AVG(total), 2) AS mean_total FROM (SELECT CAST(SUM(amount) AS DOUBLE) AS total FROM {orders} GROUP BY customer_id) s")
+def derived_table(spark, sf):
+    totals = spark.sql("SELECT customer_id, CAST(SUM(amount) AS DOUBLE) AS total FROM {o} GROUP BY customer_id", o=orders(spark, sf))
+    return spark.sql("SELECT ROUND(AVG(total), 2) AS mean_total FROM (SELECT total FROM {t}) s", t=totals)

@@ -53,7 +53,7 @@ _WINDOWS = """SELECT epoch_us(w) AS window_start, epoch_us(w + INTERVAL 5 MINUTE
 @query(_WINDOWS.format(kept="TRUE"))
 def stream_windows(spark, sf):
     schema = table(spark, sf, "events").schema
-    stream = read_parquet_stream(spark, sf, schema, "events.parquet").withColumn("event_time", event_time("ts"))
+    stream = read_parquet_stream(spark, f"{sf}/events.parquet*", schema).withColumn("event_time", event_time("ts"))
     return _windows(spark, stream, "windows")
 
 

@@ -29,12 +29,9 @@ def read_event_files(spark: SparkSession, path: str, max_files: int | None = Non
     return reader.text(path)
 
 
-def read_parquet_stream(spark: SparkSession, path: str, schema: StructType, glob: str | None = None) -> DataFrame:
+def read_parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Landed Parquet files as a stream."""
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def parse_json(
