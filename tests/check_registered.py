@@ -1,6 +1,5 @@
 """Compare every registered query with its SQL in DuckDB: `python tests/check_registered.py [sf_dir] [names...]`."""
 
-import math
 import sys
 import time
 from pathlib import Path

@@ -14,7 +14,7 @@ from tidemart.operators.relational import grep_lines, keep_castable, project_fie
 from tidemart.plans.ingest import ingest_orders, run_etl
 from tidemart.plans.medallion import RAW_ORDERS, run_batch, run_lake, run_layout
 from tidemart.sources.readers import (
-    InvalidHeader, MissingInput, read_csv, read_lines, read_parquet, require_header, stored_bytes,
+    InvalidHeader, MissingInput, read_csv, read_lines, require_header, stored_bytes,
 )
 
 RAW = """order_id,order_timestamp,quantity,unit_price,order_status,payment_method

@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from helpers import same, tuples
 from tidemart.operators.asof import Lookup, point_in_time_join, point_in_time_joins

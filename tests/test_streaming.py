@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from helpers import D, same, tuples
 from tidemart.operators.changes import apply_changes, change_delta, parse_change_events
-from tidemart.operators.relational import split_fields
+from tidemart.operators.relational import parse_delimited
 from tidemart.streaming.changes import compact_changes, current_rows, stream_changes
 from tidemart.streaming.sources import accepted, parse_json, read_event_files, read_kafka, rejected
 from tidemart.streaming.windows import lag, order_within_partition, windowed_orders, write_stream_parquet
@@ -82,7 +82,7 @@ def test_kafka_needs_its_package(spark):
 
 def test_messages(spark):
     df = spark.createDataFrame([("order_001,created",), ("order_002,paid",), ("order_003",)], "value string")
-    assert tuples(split_fields(df, ["order", "status"])) == [("order_001", "created"), ("order_002", "paid"), ("order_003", None)]
+    assert tuples(parse_delimited(df, ["order", "status"])) == [("order_001", "created"), ("order_002", "paid"), ("order_003", None)]
     log = spark.createDataFrame([("orders", p, o) for p in (1, 0) for o in (3, 1, 2)], "topic string, partition int, offset long")
     assert [(r.partition, r.offset) for r in order_within_partition(log).collect()] == [(p, o) for p in (0, 1) for o in (1, 2, 3)]
     offsets = spark.createDataFrame([("orders", 0, 0), ("orders", 1, 2)], "topic string, partition int, current_offset long")

@@ -8,7 +8,8 @@ from tidemart.functions.scalars import with_defaults
 from tidemart.operators.dimensions import (
     Tracking, assign_keys, date_dim, date_dim_of, dim_history, scd1, scd2, scd6,
 )
-from tidemart.operators.gold import mart_daily_category_sales, revenue_by_customer, revenue_by_day, star_orders
+from tidemart.operators.gold import revenue_by_customer, revenue_by_day, star_orders
+from tidemart.plans.warehouse import build_mart, load_dimension, start_dimension
 from tidemart.sources.tables import add_rows, fold, publish, read_table
 from tidemart.sources.writers import append, create_table_as, create_zones, drop_tables
 
@@ -81,6 +82,20 @@ def test_history_stays_consistent_over_many_changes(spark, dim):
     assert {r.current_city for r in rows if r.customer_id == 101} == {"A"}
 
 
+def test_dimension_loads(spark, dim, tmp_path):
+    path = str(tmp_path / "dim")
+    start_dimension(dim.drop("customer_key"), path, TRACK)
+    load_dimension(spark, path, change(spark, 101, "Haiphong"), ["city"], TRACK, 1)
+    load_dimension(spark, path, change(spark, 102, "Hue", "2026-04-01"), ["city"], TRACK, 2)
+    load_dimension(spark, path, change(spark, 103, "Vung Tau", "2026-07-01"), ["city"], TRACK, 6)
+    same(read_table(spark, path), apply_all(spark, dim))
+
+
+def test_type_6_leaves_keys_without_an_open_row_alone(spark, dim):
+    closed = dim.withColumn("current_flag", F.col("customer_id") != 101)
+    same(scd6(closed, change(spark, 101, "X", "2026-04-01"), ["city"], TRACK), closed)
+
+
 def test_unknown_and_repeated_changes(spark, dim):
     changes = change(spark, 999, "Nowhere", "2026-04-01").union(change(spark, 101, "X", "2026-04-01")).union(change(spark, 101, "Y", "2026-05-01"))
     got = scd2(dim, changes, ["city"], TRACK)
@@ -122,7 +137,7 @@ def test_star_join_and_mart(spark, fact, dim, products, tmp_path):
         (3, day("2026-03-02"), "Alice Nguyen", "Desk Lamp", 3, D("36.00")),
         (4, day("2026-03-03"), "Chi Le", "Notebook", 5, D("77.50")),
     ]
-    mart = create_table_as(mart_daily_category_sales(fact, dates, products), str(tmp_path / "mart"))
+    mart = build_mart(fact, dates, products, str(tmp_path / "mart"))
     assert [tuple(r) for r in mart.collect()] == [
         (day("2026-03-01"), "Stationery", 3, D("51.00")),
         (day("2026-03-02"), "Home Office", 3, D("36.00")),

@@ -133,7 +133,10 @@ def scd6(
     A key without an open row takes no change, as in type 2.
     """
     t = tracking
-    open_keys = dim.filter(F.col(t.flag)).select(F.col(t.key).alias("_open")).distinct()
+    named = changes.select(F.col(t.key).alias("_named"))
+    open_keys = dim.filter(F.col(t.flag)).select(F.col(t.key).alias("_open")).join(
+        named, F.col("_open") == F.col("_named"), "left_semi"
+    )
     changes = changes.join(open_keys, F.col(t.key) == F.col("_open"), "left_semi")
     return scd2(dim, changes, cols, tracking, effective, overwrite_current=True)
 

@@ -42,7 +42,7 @@ def grep_lines(lines: DataFrame, text: str) -> DataFrame:
     return lines.filter(F.col("value").contains(text))
 
 
-def split_fields(lines: DataFrame, names: Sequence[str], sep: str = ",", col: str = "value") -> DataFrame:
+def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = ",", col: str = "value") -> DataFrame:
     """Delimited text in `col` to string columns; a missing trailing field is NULL."""
     parts = F.split(F.col(col), f"\\Q{sep}\\E", -1)
     others = [c for c in lines.columns if c != col]

@@ -217,7 +217,7 @@ def line_fields(spark, sf):
 @query("SELECT CAST(event_id AS VARCHAR) AS id, event_type AS status FROM events")
 def delimited_messages(spark, sf):
     messages = table(spark, sf, "events").select(F.concat_ws(",", "event_id", "event_type").alias("value"))
-    return r.split_fields(messages, ["id", "status"])
+    return r.parse_delimited(messages, ["id", "status"])
 
 
 @query(
