@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemart.operators.asof import Lookup, point_in_time_joins
+from tidemart.operators.asof import FEW_ENTITIES, Lookup, point_in_time_joins
 from tidemart.operators.ordered import GROUP_ROWS, latest_per_key
 from tidemart.sources.readers import path_exists
 from tidemart.sources.tables import add_rows, fold, read_table
@@ -328,6 +328,7 @@ def latest_features(
     Also appends the result to the service's log destination when it has one.
     """
     stored, on_demand, names = _plan(repo.select(wanted))
+    few = keys_df.count() <= FEW_ENTITIES
     result = keys_df
     for view, features in stored.values():
         keys = list(view.entity.join_keys)
@@ -336,9 +337,10 @@ def latest_features(
             nulls = {f.name: F.lit(None).cast(f.dataType) for f in view.schema if f.name in features}
             result = result.withColumns(nulls)
             continue
-        # Only the asked keys are reduced to their newest row.
-        asked = keys_df.select(*keys).distinct()
-        latest = latest_per_key(rows.join(asked, keys, "left_semi"), keys, view.order)
+        if few:
+            # A counted, small set of keys: other keys' rows are left out before any shuffle.
+            rows = rows.join(F.broadcast(keys_df.select(*keys).distinct()), keys, "left_semi")
+        latest = latest_per_key(rows, keys, view.order)
         result = result.join(latest.select(*keys, *features), keys, "left")
     for view in on_demand:
         result = view.add_to(result)

@@ -73,4 +73,4 @@ def revenue_by_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
         .agg(F.sum("_quantity").alias("total_quantity"), F.sum("_revenue").alias("total_revenue"))
     )
     current = customers.filter("is_current").select("customer_id", "customer_name")
-    return per_customer.join(current, "customer_id").orderBy(F.desc_nulls_first("total_revenue"))
+    return per_customer.join(current, "customer_id").orderBy(F.desc_nulls_first("total_revenue"), "customer_id")

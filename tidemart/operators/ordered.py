@@ -130,15 +130,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def running_sum(
     df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """Sum of `value` per key up to and including the row's `order` value; ties share one total."""
+    """Sum of `value` per key up to and including the row's `order` value, NULLs last; ties share one total."""
+    upwards = F.col(order).asc_nulls_last()
 
     def plain(part: DataFrame) -> DataFrame:
-        return part.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(order)))
+        return part.withColumn(name, F.sum(value).over(Window.partitionBy(*keys).orderBy(upwards)))
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
         ties = [*keys, order]
         totals = part.groupBy(*ties).agg(F.sum(value).alias("_sum"))
-        pieced = sorted_pieces(totals, [F.col(c) for c in ties], pieces)
+        pieced = sorted_pieces(totals, [*[F.col(c) for c in keys], upwards], pieces)
         inside = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
         earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         carried = (

@@ -59,12 +59,17 @@ def project_fields(lines: DataFrame, fields: Sequence[int], header: str | None =
 
 def order_desc(df: DataFrame, col: str) -> DataFrame:
     """Descending with NULLs first."""
-    return df.orderBy(F.col(col).desc_nulls_first())
+    return df.orderBy(F.col(col).desc_nulls_first(), _spread(df))
 
 
 def order_asc(df: DataFrame, *cols: str) -> DataFrame:
     """Ascending with NULLs last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols], _spread(df))
+
+
+def _spread(df: DataFrame) -> Column:
+    """A last sort key that lets rows of one frequent value be sorted by several tasks."""
+    return F.xxhash64(*df.columns)
 
 
 # --- joins -------------------------------------------------------------------------------------
