@@ -50,6 +50,21 @@ def test_windows_late_rows_and_restart(spark, tmp_path):
     assert run(spark, tmp_path) == [first, ("10:05", "10:10", 102, 1, 12.0)]
 
 
+def test_a_running_query_takes_in_new_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    land(folder, "1", [event(1, 101, "10:00", 15.5)])
+    events = parse_json(read_event_files(spark, str(folder)), ORDER_EVENT)
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    query = write_stream_parquet(windowed_orders(events), out, cp, every="1 second")
+    try:
+        query.processAllAvailable()
+        land(folder, "2", [event(2, 103, "10:30", 1.0)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert tuples(spark.read.parquet(out), "customer_id", "total_amount") == [(101, 15.5)]
+
+
 def test_batches_without_late_rows_equal_one_aggregate(spark, tmp_path):
     rng = random.Random(7)
     minutes = sorted(rng.choices(range(600, 720), k=120))

@@ -16,19 +16,29 @@ from tidemart.sources.scratch import materialise
 
 #: A key with more rows than this is not handed to a single task.
 GROUP_ROWS = 4_000_000
-#: Most keys tracked as large, and counters kept per task to find them. A key that escapes them
-#: holds less than about 0.02 % of the rows; results do not depend on it.
-HOT_KEYS = 1_000
-HOT_COUNTERS = 16_384
+#: Keys are counted in this many hash ranges, each with so many counters and candidates. A key that
+#: escapes holds a small part of one range's rows; only the route depends on it, not the result.
+HOT_RANGES = 64
+HOT_COUNTERS = 1_024
+HOT_CANDIDATES = 256
+#: Most keys ever treated as large, which bounds what is broadcast for them.
+HOT_KEYS = HOT_RANGES * HOT_CANDIDATES
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
 def hot_hashes(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> dict[int, int]:
-    """Hash and estimated rows of each key with more than `group_rows` rows: one pass over the keys."""
+    """Hash and estimated rows of each key with more than `group_rows` rows: one pass over the keys.
+
+    Each task keeps a sketch per hash range, so the sketches of a range meet in one task and not
+    all sketches in a single one.
+    """
     hashed = df.select(F.xxhash64(*keys).alias("h"))
-    top = hashed.agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_COUNTERS})")).first()[0]
-    return {entry["item"]: entry["count"] for entry in top or [] if entry["count"] > group_rows}
+    ranges = hashed.groupBy(F.pmod("h", F.lit(HOT_RANGES))).agg(
+        F.expr(f"approx_top_k(h, {HOT_CANDIDATES}, {HOT_COUNTERS})").alias("top")
+    )
+    large = ranges.select(F.inline("top")).filter(F.col("count") > group_rows)
+    return {row["item"]: row["count"] for row in large.collect()}
 
 
 def is_hot(keys: Sequence[str], hashes: Iterable[int]) -> Column:
@@ -109,7 +119,7 @@ def row_numbers(
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
         placed = global_positions(part, [*[F.col(k) for k in keys], *order], "_row", pieces)
-        # Only large keys come here, at most HOT_KEYS of them.
+        # One row per large key, at most HOT_KEYS of them.
         firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"))
         return null_safe_join(placed, F.broadcast(firsts), keys).withColumn(
             name, F.col("_row") - F.col("_first") + 1
