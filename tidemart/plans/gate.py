@@ -45,7 +45,8 @@ def run_gated(
     """Ready check, ingest, validate, transform, publish, in this order; the first error ends the run.
 
     `ready` raises when the input is not there yet. Nothing of silver or gold is written unless the
-    ingested rows pass.
+    ingested rows pass. Both validation and transform read what `ingest` returns, so let it be a
+    stored table.
     """
     if ready is not None:
         ready()
