@@ -9,6 +9,7 @@ from tidemart.operators.cleaning import (
     INGEST_HEADER, bronze_to_silver, clean_orders, dedup, filter_field_positive, to_silver,
 )
 from tidemart.operators.gold import customer_sales, daily_revenue, daily_sales
+from tidemart.operators.layout import cluster
 from tidemart.operators.quality import MissingColumns
 from tidemart.operators.relational import grep_lines, keep_castable, project_fields
 from tidemart.plans.ingest import ingest_orders, run_etl
@@ -79,6 +80,14 @@ def test_layout_keeps_rows(spark, raw, tmp_path):
     assert stored_bytes(spark, str(tmp_path / "lake/silver/orders_many_small_files"))[1] >= 2
 
 
+def test_clustering_cuts_a_frequent_value(spark, tmp_path):
+    copies = spark.range(4000).select(F.when(F.col("id") % 4 > 0, "cash").otherwise("card").alias("payment_method"), F.lit(1).alias("x"))
+    laid = cluster(copies, ["payment_method"], str(tmp_path / "c"), files=4, group_rows=100)
+    per_file = laid.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) == 4 and max(r["count"] for r in per_file) < 2000
+    assert tuples(laid.groupBy("payment_method").count()) == [("card", 1000), ("cash", 3000)]
+
+
 def test_lake(spark, tmp_path):
     (tmp_path / "bronze").mkdir()
     (tmp_path / "bronze" / "part.csv").write_text(

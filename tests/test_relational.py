@@ -120,6 +120,22 @@ def test_positions_are_dense_and_in_order(skewed):
     same(placed, skewed.withColumn("at", F.row_number().over(w).cast("long")))
 
 
+def test_copies_of_one_row_are_cut(spark):
+    """Half of the rows are one and the same row; every route must keep all of them and spread them."""
+    copies = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("order_id"), F.lit(1).alias("customer_id"),
+        F.lit("2026-01-01").cast("date").alias("order_date"), F.lit(D("1.00")).alias("amount"),
+    )
+    numbered = order_sequence(copies, group_rows=100)
+    assert numbered.agg(F.min("order_sequence"), F.max("order_sequence"), F.count_distinct("order_sequence")).first() == (1, 2000, 2000)
+    assert [r.order_id for r in numbered.orderBy("order_sequence").collect()] == sorted([0] * 1000 + list(range(1, 2000, 2)))
+    pieced = ordered.sorted_pieces(ordered.stamped(copies), [F.col("order_id"), F.col("_stamp")], 8)
+    assert pieced.groupBy("_piece").count().agg(F.max("count")).first()[0] < 600
+    for laid in (order_desc(copies, "order_id", group_rows=100), order_asc(copies, "order_id", group_rows=100)):
+        same(laid, copies)
+    assert [r.order_id for r in order_desc(copies, "order_id", group_rows=100).take(2)] == [1999, 1997]
+
+
 def test_orphans(spark, customers, orders):
     stray = orders.union(spark.createDataFrame([(9, 77, 1, AS_OF, D("1.00")), (10, None, 1, AS_OF, D("1.00"))], orders.schema))
     assert tuples(orphans(stray, customers, "customer_id", "id"), "order_id") == [(9,)]

@@ -78,7 +78,13 @@ def point_in_time_joins(
         return part.withColumns(hits).filter("_kind = 1").select("_row", *hits)
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
-        pieced = sorted_pieces(part, [*[F.col(k) for k in keys], *order], pieces)
+        # One row per key and time, so that any number of copies or of rows at one time can be cut:
+        # the values that hold at this time, and whether an entity asks for it.
+        newest = [F.max(F.when(F.col(v).isNotNull(), F.struct("_made", v))).alias(v) for v in values]
+        moments = part.groupBy(*keys, "_t").agg(F.max("_kind").alias("_asked"), *newest).select(
+            *keys, "_t", "_asked", *[F.col(f"{v}.{v}").alias(v) for v in values]
+        )
+        pieced = sorted_pieces(moments, [F.col(c) for c in (*keys, "_t")], pieces)
         upto = Window.partitionBy("_piece", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
         earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
         # One row per piece and key in it: keys are few here and each spans neighbouring pieces.
@@ -87,9 +93,11 @@ def point_in_time_joins(
             "_piece", *keys, *[F.last(f"_end{v}", ignorenulls=True).over(earlier).alias(f"_carry{v}") for v in values]
         )
         local = pieced.withColumns({f"_local{v}": F.last(v, ignorenulls=True).over(upto) for v in values})
-        return null_safe_join(local.filter("_kind = 1"), F.broadcast(carried), ["_piece", *keys]).select(
-            "_row", *[F.coalesce(f"_local{v}", f"_carry{v}").alias(f"_h{v}") for v in values]
+        answers = null_safe_join(local.filter("_asked = 1"), F.broadcast(carried), ["_piece", *keys]).select(
+            *keys, "_t", *[F.coalesce(f"_local{v}", f"_carry{v}").alias(f"_h{v}") for v in values]
         )
+        asking = part.filter("_kind = 1").select(*keys, "_t", "_row")
+        return null_safe_join(asking, answers, [*keys, "_t"]).drop(*keys, "_t")
 
     matched = by_heat(line, keys, plain, split, group_rows)
     asked = F.col(f"_row.{entity_ts}").cast("timestamp")

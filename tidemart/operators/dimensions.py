@@ -143,4 +143,4 @@ def scd6(
 
 def dim_history(dim: DataFrame, tracking: Tracking) -> DataFrame:
     """All versions, ordered by business key and start."""
-    return dim.orderBy(tracking.key, tracking.start)
+    return dim.orderBy(tracking.key, tracking.start, tracking.surrogate)

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemart.operators.ordered import GROUP_ROWS, spread_ties
 from tidemart.sources.readers import stored_bytes
 
 #: Files of this size are large enough to scan well and small enough to spread over tasks.
@@ -38,16 +39,20 @@ def compact(
 
 
 def cluster(
-    df: DataFrame, cols: Sequence[str], path: str, files: int = 2, max_rows_per_file: int = 0
+    df: DataFrame,
+    cols: Sequence[str],
+    path: str,
+    files: int = 2,
+    max_rows_per_file: int = 0,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Files that each hold one range of `cols`, sorted by them.
 
-    A hash of the row extends the range key, so one frequent value can fill several files instead
-    of one task.
+    One frequent value fills several files instead of one task.
     """
-    spread = F.xxhash64(*df.columns)
-    placed = df.repartitionByRange(files, *[F.col(c) for c in cols], spread).sortWithinPartitions(*cols)
-    writer = placed.write.mode("overwrite")
+    rows, ties = spread_ties(df, cols, group_rows)
+    placed = rows.repartitionByRange(files, *[F.col(c) for c in cols], *ties).sortWithinPartitions(*cols)
+    writer = placed.select(*df.columns).write.mode("overwrite")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)

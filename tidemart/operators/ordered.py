@@ -73,7 +73,7 @@ def piece_count(df: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> int:
 def sorted_pieces(df: DataFrame, order: Sequence[Column], pieces: int | None = None) -> DataFrame:
     """Rows in global order as `_piece` (range) and `_at` (position in it), written once.
 
-    A hash of the whole row breaks ties, so equal sort keys can still spread over pieces.
+    A hash of the row settles ties. Exact copies stay in one piece: see `stamped`.
     """
     count = pieces or piece_count(df, 0)
     full = [*order, F.xxhash64(*df.columns)]
@@ -89,6 +89,24 @@ def sorted_pieces(df: DataFrame, order: Sequence[Column], pieces: int | None = N
     )
 
 
+def stamped(df: DataFrame) -> DataFrame:
+    """`df` written once with a number per row in `_stamp`, which tells exact copies apart.
+
+    The number must not change between attempts of a later sort, so it is stored, not computed.
+    """
+    return materialise(df.withColumn("_stamp", F.monotonically_increasing_id()), "stamped")
+
+
+def spread_ties(df: DataFrame, cols: Sequence[str], group_rows: int = GROUP_ROWS) -> tuple[DataFrame, list[Column]]:
+    """`df` and the extra sort columns that let a range sort by `cols` cut through a large group of ties.
+
+    There are none unless some value of `cols` is large.
+    """
+    if not hot_hashes(df, cols, group_rows):
+        return df, []
+    return stamped(df), [F.col("_stamp")]
+
+
 def piece_offsets(pieced: DataFrame, **totals: Column) -> DataFrame:
     """Per piece, the running total of each aggregate over all earlier pieces. One row per piece."""
     before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,12 +136,12 @@ def row_numbers(
         return part.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
-        placed = global_positions(part, [*[F.col(k) for k in keys], *order], "_row", pieces)
+        placed = global_positions(stamped(part), [*[F.col(k) for k in keys], *order, F.col("_stamp")], "_row", pieces)
         # One row per large key, at most HOT_KEYS of them.
         firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"))
         return null_safe_join(placed, F.broadcast(firsts), keys).withColumn(
             name, F.col("_row") - F.col("_first") + 1
-        ).drop("_row", "_first")
+        ).drop("_row", "_first", "_stamp")
 
     return by_heat(df, keys, plain, split, group_rows)
 

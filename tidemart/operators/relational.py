@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.functions.scalars import days_before, lenient
 from tidemart.operators.ordered import (
-    GROUP_ROWS, group_total, hot_hashes, is_hot, ranks, row_numbers, running_sum,
+    GROUP_ROWS, group_total, hot_hashes, is_hot, ranks, row_numbers, running_sum, spread_ties,
 )
 from tidemart.sources.scratch import materialise
 
@@ -57,19 +57,16 @@ def project_fields(lines: DataFrame, fields: Sequence[int], header: str | None =
     return body.select(F.concat_ws(" ", *picked).alias("value"))
 
 
-def order_desc(df: DataFrame, col: str) -> DataFrame:
-    """Descending with NULLs first."""
-    return df.orderBy(F.col(col).desc_nulls_first(), _spread(df))
+def order_desc(df: DataFrame, col: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Descending with NULLs first. Rows of one frequent value are sorted by several tasks."""
+    rows, ties = spread_ties(df, [col], group_rows)
+    return rows.orderBy(F.col(col).desc_nulls_first(), *ties).select(*df.columns)
 
 
-def order_asc(df: DataFrame, *cols: str) -> DataFrame:
-    """Ascending with NULLs last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols], _spread(df))
-
-
-def _spread(df: DataFrame) -> Column:
-    """A last sort key that lets rows of one frequent value be sorted by several tasks."""
-    return F.xxhash64(*df.columns)
+def order_asc(df: DataFrame, *cols: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Ascending with NULLs last. Rows of one frequent value are sorted by several tasks."""
+    rows, ties = spread_ties(df, cols, group_rows)
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in cols], *ties).select(*df.columns)
 
 
 # --- joins -------------------------------------------------------------------------------------
