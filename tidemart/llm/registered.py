@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, mixing, quality, urls
+from tidemart.llm import decontam, html, mixing, quality, urls, warc
+from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -191,3 +192,34 @@ FROM ordered
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op1_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(table(spark, sf, "pages"))
+
+
+@query(r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(h)) AS payload_bytes, array_to_string(list_transform(range(8), lambda i:
+    array_to_string(list_transform([15, 10, 5, 0], lambda s:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT) >> s) & 31) + 1, 1)), '')
+    ), '') AS payload_digest
+  FROM p
+), g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM g
+""")
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf, "pages"), path)
+    found = warc.read_archives(spark, path).where("gap IS NULL")
+    return found.select(
+        warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes",
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type",
+        warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
