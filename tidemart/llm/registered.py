@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, mixing, quality, urls, warc
+from tidemart.llm import decontam, html, mixing, quality, secrets, urls, warc
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,8 @@ def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type",
         warc.page_id(F.col("refers_to")).alias("refers_to"),
     )
+
+
+@query()
+def op8_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(table(spark, sf, "documents"))
