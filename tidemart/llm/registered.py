@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, mixing, quality, secrets, urls, warc
+from tidemart.llm import decontam, html, mixing, near, quality, secrets, urls, warc
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,8 @@ def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op8_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"))
+
+
+@query()
+def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near.groups(table(spark, sf, "documents"), size=4)
