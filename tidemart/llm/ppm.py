@@ -277,7 +277,7 @@ def _score(buckets: int, code_buckets: int, tokens: int, kinds: int):
         for codes, starts, group in pack.codes():
             scores[group] = np.add.reduceat(values[np.searchsorted(distinct, codes)], starts)
         return pd.DataFrame({
-            "doc_id": pack.ids.to_pandas(), "held_out": pack.held, "n_tokens": [r[0] for r in rows],
+            "doc_id": pd.Series(pack.ids.to_pylist(), dtype=object), "held_out": pack.held, "n_tokens": [r[0] for r in rows],
             "n_known": [r[1] for r in rows], "train_tokens": tokens, "base_score": [r[2] for r in rows], "score": scores,
             "n_bytes": [len(t) for t in pack.texts],
         })

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, mixing, near, ppm, quality, secrets, urls, warc
+from tidemart.llm import decontam, html, mixing, near, ppm, quality, repeats, secrets, urls, warc
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +239,8 @@ def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
     return ppm.scores(table(spark, sf, "documents"), held_out)
+
+
+@query()
+def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf, "documents")).drop("kept")
