@@ -5,10 +5,11 @@ classes. In each of `TREES` independent trees a class goes to the node of one ch
 are still large branch again by two more tokens, up to `DEPTH` levels. Two sets with Jaccard similarity 0.8 share a
 node of one tree with probability 0.7 or more, so that all twelve trees miss a pair with probability below 1e-6.
 
-Small nodes are compared exhaustively, in a way that stays small for groups of many copies as well: first every
+Nodes are compared exhaustively, in a way that stays small for groups of many copies as well: first every
 member of a node is compared with one hub. Members that are then in one connected component need no further
-comparison; only pairs across components do. One-bit sketches of 256 minwise values leave out pairs far below the
-threshold (six standard deviations), and every link is confirmed on the full sets.
+comparison; only pairs across components do. Large nodes around one hub, from all trees, are one crowd, whose pairs
+across components are compared once, in blocks. One-bit sketches of 256 minwise values leave out pairs far below
+the threshold (six standard deviations), and every link is confirmed on the full sets.
 """
 
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ from tidemart.llm.text import LONG, array, pick, struct
 from tidemart.sources.scratch import materialise
 
 TREES, DEPTH, LEAF = 12, 4, 32
+#: Shingles of one block of a crowd.
+BLOCK = 2_000_000
 #: Minwise values in a sketch, and how many of them can be chosen as path tokens.
 SKETCH, TOKENS = 256, 64
 
@@ -127,17 +130,20 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _apart(a: str, b: str) -> Column:
-    """The number of sketch bits in which two rows differ."""
-    return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(1, 4)),
-               F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
+    """The number of sketch bits in which two rows, or structs, differ."""
+    bits = [F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))) for i in range(4)]
+    return bits[0] + bits[1] + bits[2] + bits[3]
 
 
-def _far(percent: int) -> int:
-    """Sketch bits in which two sets at the threshold can differ: the mean and six standard deviations."""
+def _far(percent: float) -> int:
+    """Sketch bits in which two sets of a similarity can differ: the mean and six standard deviations."""
     p = (1 - percent / 100) / 2
     return int(np.ceil(SKETCH * p + 6 * np.sqrt(SKETCH * p * (1 - p))))
 
 
+BITS = ["s0", "s1", "s2", "s3"]
+
+
 def _branch(rows: DataFrame, depth: int) -> DataFrame:
     """Rows with `tokens` to their child nodes: one in each tree at the root, two below."""
     if depth == 0:
@@ -146,31 +152,49 @@ def _branch(rows: DataFrame, depth: int) -> DataFrame:
     else:
         at = lambda j: F.pmod(F.xxhash64("path", F.lit(j)), F.lit(TOKENS)).cast("int")
         children = [F.xxhash64("path", at(j), F.get("tokens", at(j))) for j in range(2)]
-    return rows.select(F.explode(F.array_distinct(F.array(*children))).alias("path"), "cid", "s0", "s1", "s2", "s3")
+    return rows.select(F.explode(F.array_distinct(F.array(*children))).alias("path"), "cid", *BITS)
 
 
-def _nodes(classes: DataFrame) -> DataFrame:
-    """`path`, `cid` and sketch of all members of nodes that are to be compared."""
-    done, rows = None, _branch(classes, 0)
+def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The members of small nodes (`path`, `hub`, `apart`, `cid`, sketch), and of crowds (`hub`, `cid`, `apart`).
+
+    The hub of a node is its smallest class. In a large node, the members near the hub join the hub's crowd, whichever
+    tree they come from. Those close to the hub have all that they can be linked with in the crowd and stay there; all
+    others go on to child nodes.
+    """
+    close, near = SKETCH * (100 - percent) // 400, _far(percent - 10)
+    small = crowds = None
+    rows = _branch(classes, 0)
     for depth in range(1, DEPTH + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("members")).where("members > 1")
-        rows = materialise(rows.join(sizes, "path"), "nodes")
+        sizes = rows.groupBy("path").agg(
+            F.count("*").alias("members"), F.min(F.struct("cid", *BITS)).alias("h")
+        ).where("members > 1")
+        rows = rows.join(sizes, "path").withColumn("apart", _apart("", "h."))
+        rows = materialise(rows.withColumn("hub", F.col("h.cid")).drop("h"), "nodes")
         last = depth == DEPTH
-        small = (rows if last else rows.where(F.col("members") <= LEAF)).drop("members")
-        done = small if done is None else done.unionByName(small)
+        leaves = rows if last else rows.where(F.col("members") <= LEAF)
+        leaves = leaves.select("path", "hub", "apart", "cid", *BITS)
+        small = leaves if small is None else small.unionByName(leaves)
         large = rows.where(F.col("members") > LEAF)
         if last or large.isEmpty():
-            return done
-        rows = _branch(large.select("path", "cid").join(classes, "cid"), depth)
-    return done
+            break
+        crowd = large.where(F.col("apart") <= near).select("hub", "cid", "apart")
+        crowds = crowd if crowds is None else crowds.unionByName(crowd)
+        rows = _branch(large.where(F.col("apart") > close).select("path", "cid").join(classes, "cid"), depth)
+    if crowds is None:
+        crowds = rows.select("hub", "cid", "apart").limit(0)
+    return small, crowds.distinct()
+
+
+def _set_table(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """`id` and `set` of the documents with these ids."""
+    return materialise(docs.join(ids, "id", "left_semi").select("id", _sets(size)("text").alias("set")), "sets")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs `a`, `b` of ids whose full sets reach the threshold."""
     pairs = materialise(pairs.distinct(), "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = docs.join(ids, "id", "left_semi").select("id", _sets(size)("text").alias("set"))
-    sets = materialise(sets, "sets")
+    sets = _set_table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, size)
     sided = lambda side: sets.select(F.col("id").alias(side), F.col("set").alias(f"set_{side}"))
     joined = pairs.join(sided("a"), "a").join(sided("b"), "b")
     count = joined.select(
@@ -180,6 +204,88 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return count.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b").distinct()
 
 
+def crowd_links(probes: list[int], builds: list[int], component: list, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links, by place in `sets`, between probes and builds of different components; enough of them to join all that are
+    linked."""
+    parent = {c: c for c in component}
+
+    def find(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    sizes = np.array([len(sets[b]) for b in builds])
+    tokens = np.concatenate([sets[b] for b in builds])
+    order = np.argsort(tokens)
+    tokens, owner = tokens[order], np.repeat(np.arange(len(builds)), sizes)[order]
+    links = []
+    for p in probes:
+        low, high = np.searchsorted(tokens, sets[p], "left"), np.searchsorted(tokens, sets[p], "right")
+        n = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(builds))
+        for b in np.flatnonzero(100 * common >= percent * (len(sets[p]) + sizes - common)):
+            x, y = find(component[p]), find(component[builds[b]])
+            if x != y:
+                parent[x] = y
+                links.append((p, builds[b]))
+    return links
+
+
+def _compare_crowds(percent: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
+        probes, builds = np.flatnonzero(group["probe"]).tolist(), np.flatnonzero(group["build"]).tolist()
+        found = crowd_links(probes, builds, group["component"].tolist(), sets, percent) if probes and builds else []
+        ids = group["cid"].tolist()
+        return pd.DataFrame([(ids[p], ids[b]) for p, b in found], columns=["a", "b"])
+
+    return run
+
+
+def _crowd_pairs(crowds: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links across components within crowds, confirmed on the full sets.
+
+    Members of other components than the hub's are probes; they are compared with all members, in blocks of about `BLOCK`
+    shingles on either side.
+    """
+    placed = crowds.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "hub", "cid", F.coalesce("component", "cid").alias("component")
+    )
+    of_hub = labels.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
+    placed = placed.join(of_hub, "hub", "left").withColumn(
+        "probe", F.col("component") != F.coalesce("of_hub", "hub")
+    )
+    placed = placed.join(classes.groupBy("cid").agg(F.max("n").alias("n")), "cid")
+    sizes = placed.groupBy("hub").agg(
+        F.ceil(F.sum("n") / BLOCK).alias("build_blocks"),
+        F.ceil(F.sum(F.when(F.col("probe"), F.col("n"))) / BLOCK).alias("probe_blocks"),
+    ).where("probe_blocks > 0")
+    placed = materialise(placed.join(sizes, "hub").drop("of_hub", "n"), "crowds")
+    sets = _set_table(placed.select(F.col("cid").alias("id")).distinct(), docs, size)
+    block = lambda n: F.pmod(F.xxhash64("cid"), F.col(n))
+    up_to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    one = (F.col("build_blocks") == 1) & (F.col("probe_blocks") == 1)
+    cell = lambda b, p, build, probe: F.struct(
+        b.alias("b"), p.alias("p"), F.lit(build).alias("build"), probe.alias("probe"))
+    zero = F.lit(0).cast("long")
+    cells = F.when(one, F.array(cell(zero, zero, True, F.col("probe")))).otherwise(
+        F.concat(
+            F.transform(up_to("probe_blocks"), lambda p: cell(block("build_blocks"), p, True, F.lit(False))),
+            F.when(F.col("probe"), F.transform(
+                up_to("build_blocks"), lambda b: cell(b, block("probe_blocks"), False, F.lit(True))
+            )).otherwise(F.array().cast("array<struct<b:bigint,p:bigint,build:boolean,probe:boolean>>")),
+        )
+    )
+    rows = placed.join(sets.withColumnRenamed("id", "cid"), "cid")
+    rows = rows.select("hub", "cid", "component", "set", F.explode(cells).alias("c")).select(
+        "hub", "cid", "component", "set", "c.*"
+    )
+    kind = classes.schema["cid"].dataType.simpleString()
+    return rows.groupBy("hub", "b", "p").applyInPandas(_compare_crowds(percent), f"a {kind}, b {kind}")
+
+
 def groups(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -193,41 +299,33 @@ def groups(
     docs = pick(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = docs.select("id", _signatures(size)("text").alias("g")).select("id", "g.*")
     signed = materialise(signed, "signatures")
-    fields = ["tokens", "s0", "s1", "s2", "s3"]
     classes = (
         signed.where("n > 0 AND id IS NOT NULL").groupBy("set_key")
-        .agg(F.min(F.struct(F.col("id").alias("cid"), *fields)).alias("c"))
+        .agg(F.min(F.struct(F.col("id").alias("cid"), "n", "tokens", *BITS)).alias("c"))
     )
     classes = materialise(classes.select("set_key", "c.*"), "classes")
-    nodes = materialise(_nodes(classes.drop("set_key")), "members")
+    small, crowds = _nodes(classes.drop("set_key", "n"), percent)
+    small, crowds = materialise(small, "members"), materialise(crowds, "crowd-members")
 
     limit = _far(percent)
-    sketch = ["s0", "s1", "s2", "s3"]
-    hubs = nodes.groupBy("path").agg(F.min(F.struct("cid", *sketch)).alias("h")).select("path", "h.*")
-    stars = (
-        nodes.alias("m").join(hubs.alias("h"), (F.col("m.path") == F.col("h.path")) & (F.col("m.cid") > F.col("h.cid"))
-                              & (_apart("m", "h") <= limit))
-        .select(F.col("h.cid").alias("a"), F.col("m.cid").alias("b"))
-    )
-    links = materialise(_confirmed(stars, docs, size, percent), "links")
+    stars = small.unionByName(crowds, allowMissingColumns=True).where((F.col("apart") <= limit) & (F.col("hub") < F.col("cid")))
+    links = materialise(_confirmed(stars.select(F.col("hub").alias("a"), F.col("cid").alias("b")), docs, size, percent), "links")
     labels = components(links)
-    placed = materialise(
-        nodes.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        .withColumn("component", F.coalesce("component", "cid")),
-        "placed",
-    )
+
+    placed = small.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    placed = materialise(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
     apart = placed.groupBy("path").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = placed.join(apart.where("low < high").select("path"), "path", "left_semi")
-    across = (
-        mixed.alias("x").join(
-            mixed.alias("y"),
-            (F.col("x.path") == F.col("y.path")) & (F.col("x.component") < F.col("y.component"))
-            & (_apart("x", "y") <= limit))
-        .select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
+    across = mixed.alias("x").join(
+        mixed.alias("y"),
+        (F.col("x.path") == F.col("y.path")) & (F.col("x.component") < F.col("y.component"))
+        & (F.col("x.cid") != F.col("x.hub")) & (F.col("y.cid") != F.col("y.hub")) & (_apart("x.", "y.") <= limit),
+    ).select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b"))
+    more = _confirmed(across, docs, size, percent).unionByName(
+        _crowd_pairs(crowds.select("hub", "cid").distinct(), labels, classes, docs, size, percent)
     )
-    across = materialise(across.distinct().join(stars.distinct(), ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        more = _confirmed(across, docs, size, percent)
+    more = materialise(more, "more-links")
+    if not more.isEmpty():
         labels = components(links.unionByName(more))
 
     of_class = classes.select("set_key", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
