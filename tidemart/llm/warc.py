@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.llm.text import pick
+from tidemart.sources.scratch import materialise
 
 _HEX32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
@@ -54,10 +55,11 @@ def records(
     rows = pick(pages, id_col, url_col, html_col).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), payload.alias("payload")
     ).withColumns({"digest": base32_sha1(F.col("payload").cast("binary")), "bytes": F.octet_length("payload")})
-    groups = (
-        rows.where(F.col("bytes") >= min_bytes).groupBy("digest")
-        .agg(F.max("id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    groups = rows.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(
+        F.max("id").alias("first_id"), F.count("*").alias("n")
     )
+    # written first, so that its size is known and payloads are moved to it only if it is large
+    groups = materialise(groups.where("n > 1").drop("n"), "payload-groups")
     rows = rows.join(groups, "digest", "left")
     revisit = (F.col("bytes") >= min_bytes) & F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     http = F.concat(
