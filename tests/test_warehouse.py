@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import D, day, same, tuples
 from tidemart.functions.scalars import with_defaults
 from tidemart.operators.dimensions import (
-    Tracking, assign_keys, date_dim, date_dim_of, dim_history, scd1, scd2, scd6,
+    Tracking, assign_keys, date_dim, date_dim_of, dim_history, refused_changes, scd1, scd2, scd6,
 )
 from tidemart.operators.gold import revenue_by_customer, revenue_by_day, star_orders
 from tidemart.plans.warehouse import build_mart, load_dimension, start_dimension
@@ -99,8 +99,24 @@ def test_type_6_leaves_keys_without_an_open_row_alone(spark, dim):
 def test_unknown_and_repeated_changes(spark, dim):
     changes = change(spark, 999, "Nowhere", "2026-04-01").union(change(spark, 101, "X", "2026-04-01")).union(change(spark, 101, "Y", "2026-05-01"))
     got = scd2(dim, changes, ["city"], TRACK)
-    assert got.count() == 4
-    assert tuples(got.filter("customer_id = 101 and current_flag"), "city", "effective_date") == [("Y", day("2026-05-01"))]
+    assert tuples(got.filter("customer_id = 101"), "city", "effective_date", "end_date", "current_flag", "previous_city") == [
+        ("Hanoi", START, day("2026-03-31"), False, None), ("X", day("2026-04-01"), day("2026-04-30"), False, "Hanoi"),
+        ("Y", day("2026-05-01"), None, True, "X"),
+    ]
+    assert got.count() == 5 and got.select("customer_key").distinct().count() == 5
+    assert tuples(refused_changes(dim, changes, ["city"], TRACK), "customer_id", "reason") == [(999, "no open version")]
+
+
+def test_changes_out_of_order_are_applied_in_order_or_refused(spark, dim):
+    changes = change(spark, 101, "C", "2026-06-01").union(change(spark, 101, "B", "2026-04-01")).union(change(spark, 101, "B", "2026-05-01"))
+    early = change(spark, 102, "Old", "2019-01-01").union(change(spark, 102, "No date", None))
+    for apply in (scd2, scd6):
+        got = apply(dim, changes.union(early), ["city"], TRACK)
+        assert [r.city for r in dim_history(got.filter("customer_id = 101"), TRACK).collect()][1:] == ["B", "C"]
+        assert got.filter("customer_id = 102").count() == 1
+        assert got.filter("end_date < effective_date").isEmpty()
+    assert {r.current_city for r in got.filter("customer_id = 101").collect()} == {"C"}
+    assert sorted(r.reason for r in refused_changes(dim, changes.union(early), ["city"], TRACK).collect()) == ["before the open version", "no date"]
 
 
 def test_other_column_names(spark):
@@ -175,13 +191,21 @@ def test_versions_and_added_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     assert read_table(spark, path) is None
     publish(spark.createDataFrame([(1, "a")], "k int, v string"), path)
-    add_rows(spark.createDataFrame([(2, "b")], "k int, v string"), path, 5)
-    add_rows(spark.createDataFrame([(2, "c")], "k int, v string"), path, 5)
-    assert tuples(read_table(spark, path)) == [(1, "a"), (2, "c")]
+    assert add_rows(spark.createDataFrame([(2, "b")], "k int, v string"), path, "stream", 0) == 1
+    # A repeated batch is there already; the same batch number of another stream is new.
+    assert add_rows(spark.createDataFrame([(2, "b")], "k int, v string"), path, "stream", 0) is None
+    assert tuples(read_table(spark, path)) == [(1, "a"), (2, "b")]
     fold(spark, path, lambda df: df.withColumn("v", F.upper("v")))
-    assert tuples(read_table(spark, path)) == [(1, "A"), (2, "C")]
+    assert tuples(read_table(spark, path)) == [(1, "A"), (2, "B")]
+    assert add_rows(spark.createDataFrame([(3, "c")], "k int, v string"), path, "stream 2", 0) == 2
+    assert add_rows(spark.createDataFrame([(3, "d")], "k int, v string"), path) == 3
+    # A delta without a commit row is not read, and the next one takes its place.
+    spark.createDataFrame([(8, "torn")], "k int, v string").write.parquet(f"{path}/deltas/d=4")
+    assert tuples(read_table(spark, path)) == [(1, "A"), (2, "B"), (3, "c"), (3, "d")]
+    assert add_rows(spark.createDataFrame([(4, "e")], "k int, v string"), path) == 4
+    fold(spark, path, lambda df: df.filter("k < 3").withColumn("v", F.replace("v", F.lit("B"), F.lit("C"))))
     # An unfinished version leaves the current one in place.
-    spark.createDataFrame([(9, "z")], "k int, v string").write.parquet(f"{path}/base/v=3")
+    spark.createDataFrame([(9, "z")], "k int, v string").write.parquet(f"{path}/base/v=4")
     assert tuples(read_table(spark, path)) == [(1, "A"), (2, "C")]
     publish(spark.createDataFrame([(4, "d")], "k int, v string"), path)
     assert tuples(read_table(spark, path)) == [(4, "d")]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.functions.scalars import date_parts
 from tidemart.operators.ordered import global_positions, latest_per_key
+from tidemart.sources.scratch import materialise
 
 
 def date_dim(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -44,42 +45,50 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], name: str, start: int =
     return placed.select((F.col("_row") + (start - 1)).alias(name), *[c for c in df.columns if c != name])
 
 
-def _with_changes(
-    dim: DataFrame, changes: DataFrame, t: Tracking, cols: Sequence[str], how: str, effective: str | None = None
-) -> DataFrame:
-    """`dim` with the incoming values as `_new_<col>`, `_from` and the match mark `_hit`.
+def scd1(dim: DataFrame, changes: DataFrame, cols: Sequence[str], tracking: Tracking) -> DataFrame:
+    """Overwrite the open row; history columns stay as they are."""
+    t = tracking
+    # Several changes of a key: the one with the largest values counts.
+    incoming = changes.select(F.col(t.key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in cols])
+    one_each = latest_per_key(incoming, ["_key"], []).withColumn("_hit", F.lit(True))
+    joined = dim.join(one_each, F.col(t.key) == F.col("_key"), "left")
+    open_ = F.coalesce(F.col(t.flag), F.lit(False)) & F.coalesce(F.col("_hit"), F.lit(False))
+    values: dict[str, Column] = {}
+    for c in cols:
+        values[c] = F.when(open_, F.col(f"_new_{c}")).otherwise(F.col(c))
+        if c in t.current:
+            values[t.current[c]] = F.when(open_, F.col(f"_new_{c}")).otherwise(F.col(t.current[c]))
+    return joined.withColumns(values).select(*dim.columns)
 
-    Several changes of one key: the one with the latest effective date counts.
-    """
-    start = F.col(effective).cast("date") if effective else F.lit(None).cast("date")
+
+def _dated(changes: DataFrame, t: Tracking, cols: Sequence[str], effective: str) -> DataFrame:
+    """One change per key and date: `_key`, `_from` and `_new_<col>`. Of several on one day the largest counts."""
     incoming = changes.select(
-        F.col(t.key).alias("_key"), start.alias("_from"), *[F.col(c).alias(f"_new_{c}") for c in cols]
+        F.col(t.key).alias("_key"), F.col(effective).cast("date").alias("_from"), *[F.col(c).alias(f"_new_{c}") for c in cols]
     )
-    one_each = latest_per_key(incoming, ["_key"], ["_from"]).withColumn("_hit", F.lit(True))
-    return dim.join(one_each, F.col(t.key) == F.col("_key"), how)
-
+    return latest_per_key(incoming, ["_key", "_from"], [])
 
-def _open(t: Tracking) -> Column:
-    return F.coalesce(F.col(t.flag), F.lit(False)) & F.coalesce(F.col("_hit"), F.lit(False))
 
-
-def _changed(cols: Sequence[str]) -> Column:
-    changed = F.lit(False)
-    for c in cols:
-        changed = changed | ~F.col(f"_new_{c}").eqNullSafe(F.col(c))
-    return changed
+def _open_rows(dim: DataFrame, t: Tracking, cols: Sequence[str]) -> DataFrame:
+    return dim.filter(F.col(t.flag)).select(
+        F.col(t.key).alias("_key"), F.struct(F.col(t.start).alias("_from"), *[F.col(c).alias(f"_new_{c}") for c in cols]).alias("_open")
+    )
 
 
-def scd1(dim: DataFrame, changes: DataFrame, cols: Sequence[str], tracking: Tracking) -> DataFrame:
-    """Overwrite the open row; history columns stay as they are."""
+def refused_changes(
+    dim: DataFrame, changes: DataFrame, cols: Sequence[str], tracking: Tracking, effective: str = "effective_date"
+) -> DataFrame:
+    """The changes that `scd2` and `scd6` do not apply, with the `reason`."""
     t = tracking
-    joined = _with_changes(dim, changes, t, cols, "left")
-    values: dict[str, Column] = {}
-    for c in cols:
-        values[c] = F.when(_open(t), F.col(f"_new_{c}")).otherwise(F.col(c))
-        if c in t.current:
-            values[t.current[c]] = F.when(_open(t), F.col(f"_new_{c}")).otherwise(F.col(t.current[c]))
-    return joined.withColumns(values).select(*dim.columns)
+    dated = _dated(changes, t, cols, effective).join(_open_rows(dim, t, cols), "_key", "left")
+    reason = (
+        F.when(F.col("_open").isNull(), "no open version").when(F.col("_from").isNull(), "no date")
+        .when(F.col("_from") < F.col("_open._from"), "before the open version")
+    )
+    return dated.select(
+        F.col("_key").alias(t.key), F.col("_from").alias(effective), *[F.col(f"_new_{c}").alias(c) for c in cols],
+        reason.alias("reason"),
+    ).filter("reason IS NOT NULL")
 
 
 def scd2(
@@ -91,38 +100,58 @@ def scd2(
     *,
     overwrite_current: bool = False,
 ) -> DataFrame:
-    """Close the open row the day before the change and open a new version with a new key.
+    """Apply every change in date order: each closes the version before it the day before and opens one with a new key.
 
-    Equal values open no version, so applying the same changes again changes nothing. Facts keep
-    the surrogate key they have. `overwrite_current` also writes the new value to every version.
+    A change that repeats the values before it opens no version, so applying the same changes again changes
+    nothing. Changes without an open version, without a date or dated before the open version are left out; see
+    `refused_changes`. Facts keep the surrogate key they have. `overwrite_current` also writes the newest value to every
+    version. The versions of a key in one load, at most one per day, are worked out in one row.
     """
     t = tracking
-    joined = _with_changes(dim, changes, t, cols, "left", effective)
-    closing = _open(t) & _changed(cols)
-    values: dict[str, Column] = {
-        t.end: F.when(closing, F.date_sub("_from", 1)).otherwise(F.col(t.end)),
-        t.flag: F.when(closing, F.lit(False)).otherwise(F.col(t.flag)),
+    dated = _dated(changes, t, cols, effective).filter(F.col("_from").isNotNull())
+    per_key = dated.groupBy("_key").agg(
+        F.array_sort(F.collect_list(F.struct("_from", *[f"_new_{c}" for c in cols]))).alias("_changes")
+    )
+    kind = per_key.schema["_changes"].dataType
+    first = F.array(F.col("_open")).cast(kind)
+
+    def add(versions: Column, change: Column) -> Column:
+        last = F.element_at(versions, -1)
+        same = F.lit(True)
+        for c in cols:
+            same = same & change[f"_new_{c}"].eqNullSafe(last[f"_new_{c}"])
+        return F.when(same, versions).otherwise(F.concat(versions, F.array(change)))
+
+    later = F.filter("_changes", lambda x: x["_from"] >= F.element_at(first, 1)["_from"])
+    versions = per_key.join(_open_rows(dim, t, cols), "_key").select("_key", F.aggregate(later, first, add).alias("_v"))
+    joined = dim.join(versions, F.col(t.key) == F.col("_key"), "left")
+    spread = F.coalesce(F.col(t.flag), F.lit(False)) & F.col("_v").isNotNull()
+    steps = F.when(spread, F.sequence(F.lit(0), F.size("_v") - 1)).otherwise(F.array(F.lit(0)))
+    rows = joined.select("*", spread.alias("_spread"), F.explode(steps).alias("_i"))
+
+    added = F.col("_i") > 0
+    this, before, after, last = F.get("_v", F.col("_i")), F.get("_v", F.col("_i") - 1), F.get("_v", F.col("_i") + 1), F.element_at("_v", -1)
+    closed = F.col("_spread") & after.isNotNull()
+    values = {
+        t.surrogate: F.when(~added, F.col(t.surrogate)),
+        t.start: F.when(added, this["_from"]).otherwise(F.col(t.start)),
+        t.end: F.when(closed, F.date_sub(after["_from"], 1)).when(~added, F.col(t.end)),
+        t.flag: F.when(closed, F.lit(False)).when(added, F.lit(True)).otherwise(F.col(t.flag)),
     }
-    if overwrite_current:
-        for c, newest in t.current.items():
-            if c in cols:
-                values[newest] = F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(newest))
-    existing = joined.withColumns(values).select(*dim.columns)
-
-    opened = _with_changes(dim.filter(F.col(t.flag)), changes, t, cols, "inner", effective).filter(_changed(cols))
-    values = {t.start: F.col("_from"), t.end: F.lit(None).cast("date"), t.flag: F.lit(True)}
     for c in cols:
-        values[c] = F.col(f"_new_{c}")
+        values[c] = F.when(added, this[f"_new_{c}"]).otherwise(F.col(c))
         if c in t.previous:
-            values[t.previous[c]] = F.col(c)
-        if c in t.current:
-            values[t.current[c]] = F.col(f"_new_{c}")
-    newest_key = dim.agg(F.coalesce(F.max(t.surrogate), F.lit(0))).first()[0]
-    versions = assign_keys(
-        opened.withColumns(values).select(*dim.columns), [t.key], t.surrogate, int(newest_key) + 1
-    )
-    typed = versions.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
-    return existing.unionByName(typed)
+            values[t.previous[c]] = F.when(added, before[f"_new_{c}"]).otherwise(F.col(t.previous[c]))
+        if c in t.current and overwrite_current:
+            values[t.current[c]] = F.when(F.col("_v").isNotNull(), last[f"_new_{c}"]).otherwise(F.col(t.current[c]))
+        elif c in t.current:
+            values[t.current[c]] = F.when(added, this[f"_new_{c}"]).otherwise(F.col(t.current[c]))
+    rows = rows.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema], added.alias("_added"))
+    rows = materialise(rows, "versions")
+    newest = rows.agg(F.coalesce(F.max(t.surrogate), F.lit(0))).first()[0]
+    opened = assign_keys(rows.filter("_added").select(dim.columns), [t.key, t.start], t.surrogate, int(newest) + 1)
+    typed = opened.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema])
+    return rows.filter("NOT _added").drop("_added").unionByName(typed)
 
 
 def scd6(
@@ -132,12 +161,6 @@ def scd6(
 
     A key without an open row takes no change, as in type 2.
     """
-    t = tracking
-    named = changes.select(F.col(t.key).alias("_named"))
-    open_keys = dim.filter(F.col(t.flag)).select(F.col(t.key).alias("_open")).join(
-        named, F.col("_open") == F.col("_named"), "left_semi"
-    )
-    changes = changes.join(open_keys, F.col(t.key) == F.col("_open"), "left_semi")
     return scd2(dim, changes, cols, tracking, effective, overwrite_current=True)
 
 

@@ -1,66 +1,98 @@
 """Tables that change over time on plain Parquet.
 
-A table is a folder with `base/v=N` (a full version), `deltas/d=N` (rows added since) and `commits`
-(one small row per published version). A version counts only once its commit row exists, so a
-reader never sees half a version and no path is overwritten while it is read. One writer at a time.
+A table is a folder with `base/v=N` (a full version), `deltas/d=N` (rows added since) and `commits` (one small row per
+published version or added delta). The table numbers its deltas itself. A version or delta counts only once its commit row
+exists, so a reader never sees half of one, and no path is overwritten while it is read. One writer at a time.
 """
 
-import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.sources.readers import path_exists
 
-COMMITS = "version long, upto long"
+#: A version row has `version` and `upto` (the last delta it holds); a delta row has `delta`, and the `source` and `batch` it
+#: came from if a writer repeats batches.
+COMMITS = "version long, upto long, delta long, source string, batch long"
 
 
-def _last_commit(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Newest version and the highest delta it already holds; (0, -1) before the first."""
+@dataclass(frozen=True)
+class State:
+    """The newest version, the last delta it holds, the deltas since, and the last delta of all."""
+
+    version: int = 0
+    upto: int = 0
+    deltas: tuple[int, ...] = ()
+    last: int = 0
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, f"{path}/commits"):
-        return 0, -1
-    newest = spark.read.schema(COMMITS).parquet(f"{path}/commits").agg(F.max(F.struct("version", "upto"))).first()[0]
-    return (newest.version, newest.upto) if newest else (0, -1)
+        return None
+    return spark.read.schema(COMMITS).parquet(f"{path}/commits")
+
+
+def table_state(spark: SparkSession, path: str) -> State:
+    commits = _commits(spark, path)
+    if commits is None:
+        return State()
+    newest, last = commits.agg(F.max(F.struct("version", "upto")), F.max("delta")).first()
+    version, upto = (newest["version"], newest["upto"]) if newest and newest["version"] else (0, 0)
+    live = commits.where(F.col("delta") > upto).select("delta").orderBy("delta").collect()
+    return State(version, upto, tuple(r["delta"] for r in live), max(last or 0, upto))
+
+
+def _commit(spark: SparkSession, path: str, *row) -> None:
+    spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
 
 def publish(df: DataFrame, path: str, upto: int | None = None) -> DataFrame:
-    """Write `df` as the next full version and make it current."""
+    """Write `df` as the next full version and make it current. `upto` is the last delta it holds, by default all of them."""
     spark = df.sparkSession
-    version, seen = _last_commit(spark, path)
-    target = f"{path}/base/v={version + 1}"
+    state = table_state(spark, path)
+    target = f"{path}/base/v={state.version + 1}"
     # Overwrite only clears what an unfinished attempt at the same version left behind.
     df.write.mode("overwrite").parquet(target)
-    commit = [(version + 1, seen if upto is None else upto)]
-    spark.createDataFrame(commit, COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    _commit(spark, path, state.version + 1, state.last if upto is None else upto, None, None, None)
     return spark.read.schema(df.schema).parquet(target)
 
 
-def add_rows(df: DataFrame, path: str, delta: int | None = None) -> int:
-    """Add rows without rewriting the table. The same `delta` number replaces its earlier attempt."""
-    number = time.time_ns() // 1000 if delta is None else delta
+def add_rows(df: DataFrame, path: str, source: str | None = None, batch: int | None = None) -> int | None:
+    """Add rows without rewriting the table; the number of the new delta.
+
+    A writer that may repeat a batch names itself in `source` and the batch in `batch`: a batch that is already there is not
+    added again, and gives None.
+    """
+    spark = df.sparkSession
+    commits = _commits(spark, path)
+    if source is not None and commits is not None:
+        known = (F.col("source") == source) & F.col("batch").eqNullSafe(F.lit(batch).cast("long"))
+        if not commits.where(known).isEmpty():
+            return None
+    number = table_state(spark, path).last + 1
+    # Overwrite only clears what an unfinished attempt under the same number left behind.
     df.write.mode("overwrite").parquet(f"{path}/deltas/d={number}")
+    _commit(spark, path, None, None, number, source, batch)
     return number
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version together with the rows added since; None for an empty table."""
-    version, upto = _last_commit(spark, path)
-    parts = []
-    if version:
-        parts.append(spark.read.parquet(f"{path}/base/v={version}"))
-    if path_exists(spark, f"{path}/deltas"):
-        added = spark.read.parquet(f"{path}/deltas").filter(F.col("d") > upto).drop("d")
-        parts.append(added)
+def _current(spark: SparkSession, path: str, state: State) -> DataFrame | None:
+    parts = [f"{path}/base/v={state.version}"] if state.version else []
+    parts += [f"{path}/deltas/d={number}" for number in state.deltas]
     if not parts:
         return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    first = spark.read.parquet(parts[0])
+    return first if len(parts) == 1 else spark.read.schema(first.schema).parquet(*parts)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version together with the rows added since; None for an empty table. Only live files are listed."""
+    return _current(spark, path, table_state(spark, path))
 
 
 def fold(spark: SparkSession, path: str, reduce: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """Publish `reduce(current rows)` as a new version, so that reads need no deltas."""
-    _, upto = _last_commit(spark, path)
-    if path_exists(spark, f"{path}/deltas"):
-        newest = spark.read.parquet(f"{path}/deltas").agg(F.max("d")).first()[0]
-        upto = upto if newest is None else max(upto, newest)
-    current = read_table(spark, path)
-    return None if current is None else publish(reduce(current), path, upto)
+    state = table_state(spark, path)
+    current = _current(spark, path, state)
+    return None if current is None else publish(reduce(current), path, state.last)

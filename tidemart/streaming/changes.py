@@ -12,13 +12,14 @@ def stream_changes(
 ) -> StreamingQuery:
     """Keep a table at `path` up to date with a stream of parsed change events.
 
-    Each micro-batch adds its newest event per key, deletes included, under its batch number: a
-    repeated batch replaces itself, and log positions settle any order. Nothing is rewritten per
-    batch; run `compact_changes` now and then.
+    Each micro-batch adds its newest event per key, deletes included. The table numbers what is added
+    and remembers checkpoint and batch, so a repeated batch is not added twice and a stream with a new
+    checkpoint adds its events anew; log positions settle any order. Nothing is rewritten per batch;
+    run `compact_changes` now and then.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        add_rows(last_changes(batch, key), path, delta=batch_id)
+        add_rows(last_changes(batch, key), path, checkpoint, batch_id)
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
