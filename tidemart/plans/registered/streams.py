@@ -64,6 +64,26 @@ def stream_windows_json(spark, sf):
     return _windows(spark, parse_json(read_event_files(spark, landed), EVENT), "json-windows")
 
 
+#: Fixed times: where the events are cut into two landings, and up to when they arrive once more, late.
+CUT, LATE = "2024-01-16", "2024-01-03"
+
+
+@query(_WINDOWS.format(kept="TRUE"))
+def stream_windows_late(spark, sf):
+    """Two landings, a restart from the checkpoint between them, and late events that no longer count."""
+    landed, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "late-windows", "late-checkpoint"))
+    rows = events(spark, sf)
+    before = lambda day: F.col("ts") < F.lit(day).cast("timestamp")
+    for part in (rows.filter(before(CUT)), rows.filter(~before(CUT)).unionByName(rows.filter(before(LATE)))):
+        part.repartition(2).write.mode("append").parquet(landed)
+        stream = read_parquet_stream(spark, landed, rows.schema).withColumn("event_time", event_time("ts"))
+        write_stream_parquet(windowed_orders(stream, "user_id", "value"), out, checkpoint).awaitTermination()
+    return spark.read.schema(WINDOWS).parquet(out).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "user_id", "total_orders",
+        F.round("total_amount", 2).alias("total_amount"),
+    )
+
+
 def message_log(spark, sf) -> DataFrame:
     return events(spark, sf).select(
         F.col("event_type").alias("topic"), F.col("user_id").cast("int").alias("partition"),
@@ -142,6 +162,23 @@ def change_stream(spark, sf):
     return current_rows(spark, path)
 
 
+@query(f"""SELECT user_id AS id, event_type AS status, {_SIGNED} AS amount FROM (SELECT *, ROW_NUMBER() OVER
+ (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) t WHERE n = 1 AND event_type <> 'error'""")
+def change_stream_restart(spark, sf):
+    """Half of the events, a fold, and the other half by a stream that starts with a new checkpoint."""
+    path = scratch_path(spark, "restarted-changes")
+    parsed = change_json(spark, sf)
+    lsn = F.get_json_object("value", "$.payload.source.lsn").cast("long")
+    for half in (0, 1):
+        landed = scratch_path(spark, "landed-half")
+        parsed.filter((lsn % 2) == half).repartition(2).write.text(landed)
+        stream = parse_change_events(read_event_files(spark, landed, max_files=1), ROW, DECIMALS)
+        stream_changes(stream, path, "id", scratch_path(spark, "half-checkpoint")).awaitTermination()
+        if half == 0:
+            compact_changes(spark, path)
+    return current_rows(spark, path)
+
+
 @query(f"SELECT event_id, {_SIGNED} AS amount FROM events")
 def base64_decimals(spark, sf):
     cents = F.round(F.col("value") * 100).cast("long") * F.when(F.col("event_type") == "click", -1).otherwise(1)

@@ -134,6 +134,43 @@ def scd6(spark, sf):
     return d.dim_history(d.scd6(customer_dim(spark, sf), moves(spark, sf), ["city"], TRACK), TRACK)
 
 
+def all_moves(spark, sf) -> DataFrame:
+    """Every order of a customer as a change of city: many changes per key in one load, several on one day."""
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("city"),
+        F.col("o_orderdate").cast("date").alias("effective_date"),
+    )
+
+
+_ALL_VERSIONS = f"""{_DIM}, days AS (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS moved, max(o_orderpriority) AS p FROM orders GROUP BY 1, 2),
+ steps AS (SELECT customer_id, effective_date AS moved, city AS p, 0 AS n FROM dim
+  UNION ALL SELECT customer_id, days.moved, days.p, 1 FROM days SEMI JOIN dim USING (customer_id)),
+ told AS (SELECT * FROM (SELECT *, lag(p) OVER (PARTITION BY customer_id ORDER BY moved, n) AS before FROM steps) WHERE n = 0 OR p <> before),
+ spans AS (SELECT *, lead(moved) OVER k AS next, last_value(p) OVER (PARTITION BY customer_id ORDER BY moved, n
+  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS newest FROM told WINDOW k AS (PARTITION BY customer_id ORDER BY moved, n)),
+ versions AS (SELECT CASE WHEN n = 0 THEN dim.customer_key ELSE (SELECT max(customer_key) FROM dim) + row_number() OVER
+  (PARTITION BY n ORDER BY customer_id, moved) END AS customer_key, customer_id, full_name, p AS city, segment, moved AS effective_date,
+  CAST(next - INTERVAL 1 DAY AS DATE) AS end_date, next IS NULL AS current_flag, CASE WHEN n = 1 THEN before END AS previous_city,
+  {{current}} AS current_city FROM spans JOIN dim USING (customer_id))"""
+
+
+@query(f"WITH {_ALL_VERSIONS.format(current='p')} SELECT {_OUT} FROM versions")
+def scd2_all_changes(spark, sf):
+    return d.scd2(customer_dim(spark, sf), all_moves(spark, sf), ["city"], TRACK)
+
+
+@query(f"WITH {_ALL_VERSIONS.format(current='newest')} SELECT {_OUT} FROM versions")
+def scd6_all_changes(spark, sf):
+    return d.scd6(customer_dim(spark, sf), all_moves(spark, sf), ["city"], TRACK)
+
+
+@query(f"""WITH {_DIM} SELECT customer_id, new_city AS city, CAST(CAST(moved - INTERVAL 400 DAY AS DATE) AS VARCHAR) AS effective_date,
+ 'before the open version' AS reason FROM paired WHERE CAST(moved - INTERVAL 400 DAY AS DATE) < effective_date""")
+def scd2_refused(spark, sf):
+    early = moves(spark, sf).withColumn("effective_date", F.date_sub("effective_date", 400))
+    return d.refused_changes(customer_dim(spark, sf), early, ["city"], TRACK)
+
+
 @query("""SELECT c_custkey AS customer_id, c_name AS customer_name, CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_quantity,
  CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue FROM lineitem JOIN orders ON o_orderkey = l_orderkey
  JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2 ORDER BY total_revenue DESC""")
