@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemart.llm import near, ppm, repeats
 from tidemart.llm.components import components
+from tidemart.llm.sieve import sieve
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -106,6 +107,13 @@ def test_near_rows_without_id_and_repeated_rows(spark):
     assert near.groups(docs.limit(0)).count() == 0 and near.deduplicate(docs.limit(0)).count() == 0
 
 
+def test_sieve_loses_no_id(spark):
+    ids = spark.range(0, 90_000, 3).union(spark.createDataFrame([(None,)], "id long"))
+    found = spark.range(100_000).where(sieve(ids, "id")(F.col("id")))
+    assert found.where("id < 90000 AND id % 3 = 0").count() == 30_000 and found.count() < 36_000
+    assert spark.range(9).where(sieve(ids.limit(0), "id")(F.col("id"))).count() == 0
+
+
 def brute_repeats(texts):
     n, counts = repeats.LENGTH, Counter()
     for t in texts:
