@@ -21,10 +21,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType
 
 from tidemart.llm.components import components
+from tidemart.llm.sieve import sieve
 from tidemart.llm.text import LONG, array, pick, struct
 from tidemart.sources.scratch import materialise
 
-TREES, DEPTH, LEAF = 12, 4, 32
+TREES, DEPTH, LEAF = 12, 4, 16
 #: Shingles of one block of a crowd.
 BLOCK = 2_000_000
 #: Minwise values in a sketch, and how many of them can be chosen as path tokens.
@@ -159,10 +160,11 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """The members of small nodes (`path`, `hub`, `apart`, `cid`, sketch), and of crowds (`hub`, `cid`, `apart`).
 
     The hub of a node is its smallest class. In a large node, the members near the hub join the hub's crowd, whichever
-    tree they come from. Those close to the hub have all that they can be linked with in the crowd and stay there; all
-    others go on to child nodes.
+    tree they come from. Those close to the hub (an estimate of 0.75 at a threshold of 0.8) have all that they can be linked
+    with in the crowd and stay there; all others go on to child nodes. Nodes that are still large at the last level are
+    crowds as a whole.
     """
-    close, near = SKETCH * (100 - percent) // 400, _far(percent - 10)
+    close, near = SKETCH * (105 - percent) // 200, _far(percent - 25)
     small = crowds = None
     rows = _branch(classes, 0)
     for depth in range(1, DEPTH + 1):
@@ -172,14 +174,16 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         rows = rows.join(sizes, "path").withColumn("apart", _apart("", "h."))
         rows = materialise(rows.withColumn("hub", F.col("h.cid")).drop("h"), "nodes")
         last = depth == DEPTH
-        leaves = rows if last else rows.where(F.col("members") <= LEAF)
+        leaves = rows.where(F.col("members") <= LEAF)
         leaves = leaves.select("path", "hub", "apart", "cid", *BITS)
         small = leaves if small is None else small.unionByName(leaves)
         large = rows.where(F.col("members") > LEAF)
-        if last or large.isEmpty():
+        if large.isEmpty():
             break
-        crowd = large.where(F.col("apart") <= near).select("hub", "cid", "apart")
+        crowd = (large if last else large.where(F.col("apart") <= near)).select("hub", "cid", "apart")
         crowds = crowd if crowds is None else crowds.unionByName(crowd)
+        if last:
+            break
         rows = _branch(large.where(F.col("apart") > close).select("path", "cid").join(classes, "cid"), depth)
     if crowds is None:
         crowds = rows.select("hub", "cid", "apart").limit(0)
@@ -187,8 +191,9 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _set_table(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """`id` and `set` of the documents with these ids."""
-    return materialise(docs.join(ids, "id", "left_semi").select("id", _sets(size)("text").alias("set")), "sets")
+    """`id` and `set` of the documents with these ids, and of a few more. No text is shuffled."""
+    wanted = sieve(materialise(ids, "set-ids"), "id")
+    return materialise(docs.where(wanted(F.col("id"))).select("id", _sets(size)("text").alias("set")), "sets")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -344,8 +349,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     Rows without id stay. Rows that repeat a kept id with the same columns are one document and stay once.
     """
     found = materialise(groups(docs, id_col=id_col, **options), "groups")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
+    perhaps = sieve(gone, id_col)(F.col(f"`{id_col}`"))
+    doubtful = docs.where(perhaps).join(gone, id_col, "left_anti").select(docs.columns)
+    kept = docs.where(~perhaps).unionByName(doubtful)
     again = materialise(
         found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(id_col)).count().where("count > 1").drop("count"),
         "repeated",
