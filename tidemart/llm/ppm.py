@@ -24,7 +24,7 @@ from tidemart.llm.text import BOOLEAN, DOUBLE, LONG, pick
 from tidemart.sources.scratch import materialise
 
 #: Bytes scored at once, and packs whose distinct strings make up one bucket on average.
-CHUNK, PACKS_PER_BUCKET = 1 << 20, 4
+CHUNK, PACKS_PER_BUCKET = 1 << 20, 3
 #: Two bytes that UTF-8 never has: before each text, and its end.
 PAD, END = 0xFE, 0xFF
 ORDER = 3
@@ -225,7 +225,7 @@ def _model(first):
 
 
 def _answer(kind, value_kind):
-    """Rows (pack, bucket, keys, all_keys, values) to the values of the pack's keys."""
+    """Rows (pack, bucket, keys, all_keys, values) to the pack's keys with their values."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -233,49 +233,53 @@ def _answer(kind, value_kind):
             for keys, known, values in zip(batch["keys"], batch["all_keys"], batch["values"]):
                 at = np.searchsorted(np.frombuffer(known, kind), np.frombuffer(keys, kind))
                 out.append(np.frombuffer(values, value_kind)[at].tobytes())
-            yield pd.DataFrame({"pack": batch["pack"], "bucket": batch["bucket"], "values": out})
+            yield pd.DataFrame({"pack": batch["pack"], "keys": batch["keys"], "values": out})
 
     return run
 
 
 def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str) -> DataFrame:
-    """What each pack asked for: (pack, what, bucket, values)."""
+    """What each pack asked for: (pack, what, keys, values)."""
     known = known.select("bucket", F.col("keys").alias("all_keys"), "values")
     rows = asked.select("pack", "bucket", "keys").join(known, "bucket")
     got = rows.select("pack", "bucket", "keys", "all_keys", "values").mapInPandas(
-        _answer(kind, value_kind), "pack long, bucket long, values binary"
+        _answer(kind, value_kind), "pack long, keys binary, values binary"
     )
     return got.withColumn("what", F.lit(label))
 
 
-def _score(buckets: int, code_buckets: int, tokens: int, kinds: int):
+def _sorted_answers(answers: pd.DataFrame, what: str, kind, value_kind) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of one kind in order, with their values."""
+    part = answers[answers["what"] == what]
+    keys = np.concatenate([np.frombuffer(k, kind) for k in part["keys"]])
+    values = np.concatenate([np.frombuffer(v, value_kind) for v in part["values"]])
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def _score(tokens: int, kinds: int):
     floor = np.log10(tokens + 0.5 * (kinds + 1)) if tokens else 0.0
+    unknown = float(np.log10(0.5) - floor)
 
     def run(packs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        of = {
-            what: [np.frombuffer(v, kind) for v in answers[answers["what"] == what].sort_values("bucket")["values"]]
-            for what, kind in (("words", np.int64), ("codes", np.float64))
-        }
         pack = Pack(packs["body"].iloc[0])
+        hashes, counts = _sorted_answers(answers, "words", np.uint64, np.int64)
+        values = np.where(counts > 0, np.log10(counts + 0.5) - floor, unknown)
         seen: set[bytes] = set()
         for _, part in pack.words():
             seen.update(part)
-        words = list(seen)
-        _, _, order = _word_hashes(words, buckets)
-        counts = np.empty(len(words), np.int64)
-        counts[order] = np.concatenate(of["words"])
-        base = dict(zip(words, (np.log10(counts + 0.5) - floor).tolist()))
-        known = dict(zip(words, (counts > 0).tolist()))
-        rows = [
-            (len(part), sum(map(known.__getitem__, part)), sum(map(base.__getitem__, part))) for _, part in pack.words()
-        ]
-        distinct = np.unique(np.concatenate([np.unique(codes) for codes, _, _ in pack.codes()]))
-        bucket = _bucket_of_codes(distinct, code_buckets)
-        values = np.empty(len(distinct))
-        values[np.lexsort((distinct, bucket))] = np.concatenate(of["codes"])
+        own = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen))
+        base = dict(zip(seen, values[np.searchsorted(hashes, own)].tolist()))
+        rows = []
+        for _, part in pack.words():
+            found = list(map(base.__getitem__, part))
+            rows.append((len(part), len(part) - found.count(unknown), sum(found)))
+        del base, seen
+        distinct, values = _sorted_answers(answers, "codes", np.uint32, np.float64)
         scores = np.zeros(len(pack.texts))
         for codes, starts, group in pack.codes():
-            scores[group] = np.add.reduceat(values[np.searchsorted(distinct, codes)], starts)
+            part, places = np.unique(codes, return_inverse=True)
+            scores[group] = np.add.reduceat(values[np.searchsorted(distinct, part)][places], starts)
         return pd.DataFrame({
             "doc_id": pd.Series(pack.ids.to_pylist(), dtype=object), "held_out": pack.held, "n_tokens": [r[0] for r in rows],
             "n_known": [r[1] for r in rows], "train_tokens": tokens, "base_score": [r[2] for r in rows], "score": scores,
@@ -325,7 +329,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     ])
     return (
         packs.groupBy("pack").cogroup(answers.groupBy("pack"))
-        .applyInPandas(_score(n_buckets, code_buckets, tokens, kinds), schema)
+        .applyInPandas(_score(tokens, kinds), schema)
     )
 
 
