@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from helpers import plan_of
 from tidemart.operators import ordered
 from tidemart.operators.relational import filter_gt, running_total
-from tidemart.plans.registered import warehouse
+from tidemart.plans.registered import QUERIES, SQL, warehouse
 from tidemart.plans.registered.base import orders, table
 
 
@@ -38,7 +38,7 @@ def test_aggregates_reduce_before_the_shuffle(spark, sf, name):
 
 def test_no_window_runs_in_one_task_over_data(spark, sf):
     totals = orders(spark, sf).groupBy("customer_id").agg(F.sum("amount").alias("total"))
-    lines = plan_of(ordered.ranks(totals, "total", group_rows=10), "simple").splitlines()
+    lines = plan_of(ordered.ranks(totals, "total"), "simple").splitlines()
     assert not any("rank(" in line for line in lines)
     # What is brought to one task is one row per piece.
     singles = [i for i, line in enumerate(lines) if "SinglePartition" in line]
@@ -53,9 +53,9 @@ def test_hot_keys_are_split_by_piece(spark, sf):
 
 def test_queries_stay_on_the_jvm(spark, sf):
     skipped = {"on_demand_pandas"}
-    light = [n for n in entry.queries() if n not in skipped and not n.startswith(("stream", "change_stream"))]
+    light = [n for n in QUERIES if n not in skipped and not n.startswith(("stream", "change_stream"))]
     for name in light:
-        plan = plan_of(entry.queries()[name](spark, sf), "simple")
+        plan = plan_of(QUERIES[name](spark, sf), "simple")
         assert "Python" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
@@ -66,7 +66,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_fact_reads_only_needed_columns(spark, sf):

@@ -80,7 +80,7 @@ def test_gate_stops_before_any_write(spark, orders, tmp_path):
         return run
 
     with pytest.raises(QualityGateFailed, match="order_status"):
-        run_gated(step("ingest", orders), step("transform", orders), step("publish", orders), ready=step("ready", None))
+        run_gated(step("ingest", orders), step("transform", orders), step("publish", orders), orders_suite(), step("ready", None))
     assert steps == ["ready", "ingest"]
     steps.clear()
     suite = [not_null("order_id"), unique("order_id")]

@@ -29,8 +29,13 @@ def lenient(col: Column | str, type_name: str) -> Column:
 
 
 def lenient_int(col: Column | str) -> Column:
-    """Text to int; a decimal part is cut off, anything else that is no integer gives NULL."""
-    return F.regexp_replace(F.trim(_c(col)), r"(?<=\d)\.\d*$", "").try_cast("int")
+    """Text to int; white space around it and a decimal part are cut off, anything else that is no integer gives NULL.
+
+    A decimal part without digits before it is 0.
+    """
+    text = F.regexp_replace(_c(col).cast("string"), r"^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$", "")
+    whole = F.regexp_extract(text, r"^([+-]?\d*)(\.\d*)?$", 1)
+    return F.when(whole.rlike(r"\d"), whole.try_cast("int")).when(text.rlike(r"^[+-]?\.\d*$"), F.lit(0))
 
 
 def strict(col: Column | str, type_name: str) -> Column:

@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.operators.ordered import GROUP_ROWS, by_heat, null_safe_join, sorted_pieces
 
-#: Up to this many entity rows, their keys are broadcast to leave out other keys' features early.
-FEW_ENTITIES = 1_000_000
-
 
 @dataclass(frozen=True, eq=False)
 class Lookup:
@@ -93,7 +90,7 @@ def point_in_time_joins(
             "_piece", *keys, *[F.last(f"_end{v}", ignorenulls=True).over(earlier).alias(f"_carry{v}") for v in values]
         )
         local = pieced.withColumns({f"_local{v}": F.last(v, ignorenulls=True).over(upto) for v in values})
-        answers = null_safe_join(local.filter("_asked = 1"), F.broadcast(carried), ["_piece", *keys]).select(
+        answers = null_safe_join(local.filter("_asked = 1"), carried, ["_piece", *keys]).select(
             *keys, "_t", *[F.coalesce(f"_local{v}", f"_carry{v}").alias(f"_h{v}") for v in values]
         )
         asking = part.filter("_kind = 1").select(*keys, "_t", "_row")
@@ -111,26 +108,25 @@ def point_in_time_joins(
     return matched.select("_row.*", *delivered)
 
 
-def _reach(entities: DataFrame, entity_ts: str) -> tuple[int, int | None, int | None]:
-    """Number of entity rows and their first and last time in microseconds, from one pass."""
+def _reach(entities: DataFrame, entity_ts: str) -> tuple[int | None, int | None]:
+    """First and last time of the entity rows in microseconds, from one pass."""
     asked = F.unix_micros(F.col(entity_ts).cast("timestamp"))
-    return tuple(entities.agg(F.count(F.lit(1)), F.min(asked), F.max(asked)).first())
+    return tuple(entities.agg(F.min(asked), F.max(asked)).first())
 
 
 def _facts(
-    lookup: Lookup, entities: DataFrame, keys: list[str], reach: tuple[int, int | None, int | None], name: str
+    lookup: Lookup, entities: DataFrame, keys: list[str], reach: tuple[int | None, int | None], name: str
 ) -> DataFrame:
     """The feature rows some entity row could use, as timeline rows with their values in `name`.
 
-    The entities' time range reaches the scan; few entities also leave out other keys.
+    The entities' time range reaches the scan, and a semi join, which Spark plans by size, leaves out other keys.
     """
-    rows, first, last = reach
+    first, last = reach
     time = F.col(lookup.ts).cast("timestamp")
     near = lookup.features.filter(F.lit(False) if last is None else time <= F.timestamp_micros(F.lit(last)))
     if last is not None and lookup.ttl is not None:
         near = near.filter(time >= F.timestamp_micros(F.lit(first - lookup.ttl // timedelta(microseconds=1))))
-    if rows <= FEW_ENTITIES:
-        near = near.join(F.broadcast(entities.select(*keys).distinct()), keys, "left_semi")
+    near = near.join(entities.select(*keys), keys, "left_semi")
     made = F.col(lookup.created) if lookup.created else F.lit(None)
     return near.dropna(subset=keys).select(
         *keys,

@@ -4,12 +4,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemart.operators.asof import FEW_ENTITIES, Lookup, point_in_time_joins
+from tidemart.operators.asof import Lookup, point_in_time_joins
 from tidemart.operators.ordered import GROUP_ROWS, latest_per_key
 from tidemart.sources.readers import path_exists
+from tidemart.sources.scratch import materialise
 from tidemart.sources.tables import add_rows, fold, read_table
 
 # --- definitions -------------------------------------------------------------------------------
@@ -115,14 +117,15 @@ class OnDemandView:
             return df.withColumns({f.name: self.exprs[f.name].cast(f.dataType) for f in self.schema})
         inputs = [c for v in self.views for c in v.features]
         inputs += [c for r in self.requests for c in r.schema.fieldNames()]
-        fn, names, output = self.pandas_fn, self.features, StructType([*df.schema, *self.schema])
+        fn, names = self.pandas_fn, self.features
 
-        def extend(batches):
-            for batch in batches:
-                made = fn(batch[inputs])
-                yield batch.assign(**{n: made[n] for n in names})
+        @F.pandas_udf(self.schema)
+        def made(columns: pd.DataFrame) -> pd.DataFrame:
+            return fn(columns[inputs])[names]
 
-        return df.mapInPandas(extend, output)
+        # Only the inputs go through pandas; all other columns stay as they are.
+        out = df.withColumn("_made", made(F.struct(*dict.fromkeys(inputs))))
+        return out.select(*[c for c in df.columns if c not in names], "_made.*")
 
 
 @dataclass(frozen=True)
@@ -328,7 +331,6 @@ def latest_features(
     Also appends the result to the service's log destination when it has one.
     """
     stored, on_demand, names = _plan(repo.select(wanted))
-    few = keys_df.count() <= FEW_ENTITIES
     result = keys_df
     for view, features in stored.values():
         keys = list(view.entity.join_keys)
@@ -337,15 +339,15 @@ def latest_features(
             nulls = {f.name: F.lit(None).cast(f.dataType) for f in view.schema if f.name in features}
             result = result.withColumns(nulls)
             continue
-        if few:
-            # A counted, small set of keys: other keys' rows are left out before any shuffle.
-            rows = rows.join(F.broadcast(keys_df.select(*keys).distinct()), keys, "left_semi")
-        latest = latest_per_key(rows, keys, view.order)
+        # Other keys' rows are left out first; Spark plans the semi join by size.
+        latest = latest_per_key(rows.join(keys_df.select(*keys), keys, "left_semi"), keys, view.order)
         result = result.join(latest.select(*keys, *features), keys, "left")
     for view in on_demand:
         result = view.add_to(result)
     result = result.select(*keys_df.columns, *names)
     if isinstance(wanted, FeatureService) and wanted.log_path:
+        # Written first, so that what is logged and what is returned are one computation.
+        result = materialise(result, "served")
         log_features(result, f"{wanted.log_path}/{wanted.name}")
     return result
 

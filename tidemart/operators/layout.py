@@ -27,14 +27,11 @@ def compact(
 ) -> DataFrame:
     """Rewrite many small files as few large ones; without `files`, as many as the bytes need.
 
-    Merging whole inputs needs no shuffle, but leaves only as many writers as files. With many
-    inputs per file the rows are shuffled instead, so that reading stays parallel.
+    The rows are shuffled, so that reading the many stays parallel.
     """
-    total, present = stored_bytes(spark, source)
-    count = files or file_count(total, target_bytes)
+    count = files or file_count(stored_bytes(spark, source)[0], target_bytes)
     df = spark.read.parquet(source)
-    merged = df.coalesce(count) if present <= 4 * count else df.repartition(count)
-    merged.write.mode("overwrite").parquet(target)
+    df.repartition(count).write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
@@ -42,16 +39,18 @@ def cluster(
     df: DataFrame,
     cols: Sequence[str],
     path: str,
-    files: int = 2,
+    files: int | None = None,
     max_rows_per_file: int = 0,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Files that each hold one range of `cols`, sorted by them.
+    """Files that each hold one range of `cols`, sorted by them; without `files`, Spark sizes the ranges by their bytes.
 
     One frequent value fills several files instead of one task.
     """
     rows, ties = spread_ties(df, cols, group_rows)
-    placed = rows.repartitionByRange(files, *[F.col(c) for c in cols], *ties).sortWithinPartitions(*cols)
+    ranges = [F.col(c) for c in cols] + ties
+    placed = rows.repartitionByRange(files, *ranges) if files else rows.repartitionByRange(*ranges)
+    placed = placed.sortWithinPartitions(*cols)
     writer = placed.select(*df.columns).write.mode("overwrite")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)

@@ -1,14 +1,13 @@
 """Order-dependent work that survives a hot key.
 
 A plain window puts all rows of a key in one task. That is the best plan while every key is small,
-so it stays the default; keys that one pass finds to be large take another route: their rows are
+so it stays the default; keys that an exact count finds to be large take another route: their rows are
 range-sorted over many tasks ("pieces"), each piece is solved alone, and what earlier pieces carry
-over is added. The carried rows number at most one per piece and key, which bounds every broadcast
-here.
+over is added. How the few carried rows are joined is left to Spark, which knows their size.
 """
 
 import math
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,33 +15,14 @@ from tidemart.sources.scratch import materialise
 
 #: A key with more rows than this is not handed to a single task.
 GROUP_ROWS = 4_000_000
-#: Keys are counted in this many hash ranges, each with so many counters and candidates. A key that
-#: escapes holds a small part of one range's rows; only the route depends on it, not the result.
-HOT_RANGES = 64
-HOT_COUNTERS = 1_024
-HOT_CANDIDATES = 256
-#: Most keys ever treated as large, which bounds what is broadcast for them.
-HOT_KEYS = HOT_RANGES * HOT_CANDIDATES
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> dict[int, int]:
-    """Hash and estimated rows of each key with more than `group_rows` rows: one pass over the keys.
-
-    Each task keeps a sketch per hash range, so the sketches of a range meet in one task and not
-    all sketches in a single one.
-    """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    ranges = hashed.groupBy(F.pmod("h", F.lit(HOT_RANGES))).agg(
-        F.expr(f"approx_top_k(h, {HOT_CANDIDATES}, {HOT_COUNTERS})").alias("top")
-    )
-    large = ranges.select(F.inline("top")).filter(F.col("count") > group_rows)
-    return {row["item"]: row["count"] for row in large.collect()}
-
-
-def is_hot(keys: Sequence[str], hashes: Iterable[int]) -> Column:
-    return F.xxhash64(*keys).isin(sorted(hashes))
+def large_keys(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The keys with more than `group_rows` rows, and their `_rows`: an exact count, reduced in every task, written once."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return materialise(counts.filter(F.col("_rows") > group_rows), "large-keys")
 
 
 def by_heat(
@@ -52,17 +32,19 @@ def by_heat(
     split: Callable[[DataFrame, int], DataFrame],
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """`plain` for ordinary keys, `split` for large ones, results together.
+    """`plain` for ordinary keys, `split` for large ones, results together. Any number of keys can be large.
 
-    `split` also gets the number of pieces its rows need.
+    Rows find their route by a join with the table of large keys. `split` also gets the number of pieces its rows need.
     """
-    hashes = hot_hashes(df, keys, group_rows)
-    if not hashes:
+    large = large_keys(df, keys, group_rows)
+    rows = large.agg(F.sum("_rows")).first()[0]
+    if rows is None:
         return plain(df)
-    hot = is_hot(keys, hashes)
-    usual = plain(df.filter(~hot))
-    large = split(df.filter(hot), piece_count(df, sum(hashes.values()), group_rows))
-    return usual.unionByName(large.select(*[F.col(f.name).cast(f.dataType) for f in usual.schema]))
+    usual = plain(null_safe_join(df, large.drop("_rows"), keys, "left_anti"))
+    hot = null_safe_join(df, large.drop("_rows"), keys, "left_semi")
+    return usual.unionByName(
+        split(hot, piece_count(df, rows, group_rows)).select(*[F.col(f.name).cast(f.dataType) for f in usual.schema])
+    )
 
 
 def piece_count(df: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> int:
@@ -102,7 +84,7 @@ def spread_ties(df: DataFrame, cols: Sequence[str], group_rows: int = GROUP_ROWS
 
     There are none unless some value of `cols` is large.
     """
-    if not hot_hashes(df, cols, group_rows):
+    if large_keys(df, cols, group_rows).isEmpty():
         return df, []
     return stamped(df), [F.col("_stamp")]
 
@@ -122,7 +104,7 @@ def global_positions(
     """Dense positions 1, 2, 3 ... in global order, without a single-task window."""
     pieced = sorted_pieces(df, order, pieces)
     offsets = piece_offsets(pieced, _before=F.count(F.lit(1)))
-    return pieced.join(F.broadcast(offsets), "_piece").select(
+    return pieced.join(offsets, "_piece").select(
         *df.columns, (F.col("_before") + F.col("_at") + 1).alias(name)
     )
 
@@ -137,9 +119,8 @@ def row_numbers(
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
         placed = global_positions(stamped(part), [*[F.col(k) for k in keys], *order, F.col("_stamp")], "_row", pieces)
-        # One row per large key, at most HOT_KEYS of them.
         firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"))
-        return null_safe_join(placed, F.broadcast(firsts), keys).withColumn(
+        return null_safe_join(placed, firsts, keys).withColumn(
             name, F.col("_row") - F.col("_first") + 1
         ).drop("_row", "_first", "_stamp")
 
@@ -180,7 +161,7 @@ def running_sum(
         total = F.when(F.col("_carry").isNull(), F.col("_local")).otherwise(
             F.col("_carry") + F.coalesce(F.col("_local"), F.lit(0))
         )
-        upto = null_safe_join(local, F.broadcast(carried), ["_piece", *keys]).select(*ties, total.alias(name))
+        upto = null_safe_join(local, carried, ["_piece", *keys]).select(*ties, total.alias(name))
         return null_safe_join(part, upto, ties)
 
     return by_heat(df, keys, plain, split, group_rows)
@@ -195,34 +176,25 @@ def group_total(
         return part.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
 
     def split(part: DataFrame, _: int) -> DataFrame:
-        # One row per large key, at most HOT_KEYS of them.
         totals = part.groupBy(*keys).agg(F.sum(value).alias(name))
-        return null_safe_join(part, F.broadcast(totals), keys)
+        return null_safe_join(part, totals, keys)
 
     return by_heat(df, keys, plain, split, group_rows)
 
 
-def ranks(
-    df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def ranks(df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None) -> DataFrame:
     """`rank` and `dense_rank` over all rows by `value` descending, NULLs first.
 
-    One window while the rows fit one task. Beyond that it works on the distinct values: how many
-    rows and how many values come before each. `df` is read more than once, so pass a table or a
-    materialised result.
+    It works on the distinct values, range-sorted over many tasks: how many rows and how many values come before
+    each. `df` is read more than once, so pass a table or a materialised result.
     """
     names = [rank] + ([dense_rank] if dense_rank else [])
-    rows = df.count()
-    if rows <= group_rows:
-        everything = Window.orderBy(F.col(value).desc_nulls_first())
-        numbers = [F.rank().over(everything), F.dense_rank().over(everything)]
-        return df.select("*", *[n.cast("long").alias(name) for n, name in zip(numbers, names)])
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-    pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()], piece_count(df, rows, group_rows))
+    pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()])
     inside = Window.partitionBy("_piece").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = piece_offsets(pieced, _rows_before=F.sum("_rows"), _values_before=F.count(F.lit(1)))
     placed = pieced.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(
-        F.broadcast(offsets), "_piece"
+        offsets, "_piece"
     )
     numbers = [F.col("_rows_before") + F.col("_inside") + 1, F.col("_values_before") + F.col("_at") + 1]
     ranked = placed.select(value, *[n.alias(name) for n, name in zip(numbers, names)])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.functions.scalars import days_before, lenient
 from tidemart.operators.ordered import (
-    GROUP_ROWS, group_total, hot_hashes, is_hot, ranks, row_numbers, running_sum, spread_ties,
+    GROUP_ROWS, group_total, large_keys, ranks, row_numbers, running_sum, spread_ties,
 )
 from tidemart.sources.scratch import materialise
 
@@ -90,17 +90,20 @@ def _outer(
     unmatched rows, found against the distinct keys of the other side.
     """
     if customers.schema[key].dataType != orders.schema[fk].dataType:
-        # Keys are routed by hash, so equal keys must have one type.
+        # Keys are routed before they are joined, so equal keys must have one type.
         raise TypeError(f"cast {key} and {fk} to one type before an outer join")
     how = "full" if keep_orders else "left"
-    hashes = hot_hashes(orders, [fk], group_rows)
+    large = large_keys(orders, [fk], group_rows).select(F.col(fk).alias("_k"))
     if keep_orders:
-        hashes |= hot_hashes(customers, [key], group_rows)
-    if not hashes:
+        large = large.union(large_keys(customers, [key], group_rows).select(F.col(key).alias("_k"))).distinct()
+    if large.isEmpty():
         return _joined(customers, orders, how, key, fk)
-    hot_customer, hot_order = is_hot([key], hashes), is_hot([fk], hashes)
-    usual = _joined(customers.filter(~hot_customer), orders.filter(~hot_order), how, key, fk)
-    hot_c, hot_o = customers.filter(hot_customer), orders.filter(hot_order)
+
+    def part(rows: DataFrame, col: str, kind: str) -> DataFrame:
+        return rows.join(large, rows[col].eqNullSafe(large["_k"]), kind)
+
+    usual = _joined(part(customers, key, "left_anti"), part(orders, fk, "left_anti"), how, key, fk)
+    hot_c, hot_o = part(customers, key, "left_semi"), part(orders, fk, "left_semi")
 
     def unmatched(rows: DataFrame, col: str, others: DataFrame, other_col: str) -> DataFrame:
         seen = others.select(F.col(other_col).alias("_seen")).distinct()
@@ -204,20 +207,15 @@ def order_sequence(
     return row_numbers(orders, [customer], order, "order_sequence", group_rows)
 
 
-def customer_rank(
-    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def customer_rank(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
     """Customers ranked by total amount, with and without gaps."""
     totals = materialise(revenue_per_customer(orders, customer, amount, "total_amount"), "totals")
-    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank", group_rows)
+    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank")
 
 
-def ranked_customers(
-    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def ranked_customers(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
     """Revenue per customer, then its rank."""
-    revenue = materialise(revenue_per_customer(orders, customer, amount), "revenue")
-    return ranks(revenue, "total_revenue", "rank", group_rows=group_rows)
+    return ranks(materialise(revenue_per_customer(orders, customer, amount), "revenue"), "total_revenue", "rank")
 
 
 def with_customer_total(

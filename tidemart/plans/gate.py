@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tidemart.operators.quality import (
     QualityGateFailed, Rule, between, failures, in_set, not_null, row_count_between, unique, validate,
 )
+from tidemart.sources.scratch import materialise
 
 # The statuses and limits every order load is held to.
 ORDER_STATUSES = ("created", "paid", "shipped", "delivered", "cancelled")
@@ -27,9 +28,9 @@ def orders_suite() -> list[Rule]:
     ]
 
 
-def check(df: DataFrame, suite: Sequence[Rule] | None = None) -> DataFrame:
-    """`df` itself when it passes the suite (by default the orders suite); raises otherwise."""
-    failed = failures(validate(df, orders_suite() if suite is None else suite))
+def check(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
+    """`df` itself when it passes the suite; raises otherwise."""
+    failed = failures(validate(df, suite))
     if failed:
         raise QualityGateFailed(failed)
     return df
@@ -39,15 +40,14 @@ def run_gated(
     ingest: Callable[[], DataFrame],
     transform: Callable[[DataFrame], DataFrame],
     publish: Callable[[DataFrame], DataFrame],
-    suite: Sequence[Rule] | None = None,
+    suite: Sequence[Rule],
     ready: Callable[[], object] | None = None,
 ) -> DataFrame:
     """Ready check, ingest, validate, transform, publish, in this order; the first error ends the run.
 
     `ready` raises when the input is not there yet. Nothing of silver or gold is written unless the
-    ingested rows pass. Both validation and transform read what `ingest` returns, so let it be a
-    stored table.
+    ingested rows pass. What `ingest` returns is written once; validation and transform both read that.
     """
     if ready is not None:
         ready()
-    return publish(transform(check(ingest(), suite)))
+    return publish(transform(check(materialise(ingest(), "ingested"), suite)))

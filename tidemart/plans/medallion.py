@@ -32,7 +32,7 @@ def run_layout(
     many = f"{root}/silver/orders_many_small_files"
     scattered = write_files(orders, many, small_files)
     compacted = compact(spark, many, f"{root}/silver/orders_compacted", files)
-    clustered = cluster(orders, ["payment_method", "order_timestamp"], f"{root}/silver/orders_clustered", files or 2)
+    clustered = cluster(orders, ["payment_method", "order_timestamp"], f"{root}/silver/orders_clustered", files)
     return {"small": scattered, "compacted": compacted, "clustered": clustered}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tidemart.operators import features as f
 from tidemart.operators.asof import point_in_time_join
 from tidemart.plans.registered.base import events, query
-from tidemart.plans.registered.relational import small_limit
+from tidemart.plans.registered.relational import SPLIT_ROWS
 from tidemart.sources.scratch import scratch_path
 
 # How long a view stays valid, and the two ends of the incremental load.
@@ -71,7 +71,7 @@ def point_in_time_hot(spark, sf):
     """The same join with users of many events taking the route for large keys."""
     joined = point_in_time_join(
         purchases(spark, sf), seen(spark, sf), ["user_id"], ["seen_value"], created="created", ttl=TTL,
-        group_rows=small_limit(events(spark, sf), 500),
+        group_rows=SPLIT_ROWS // 10,
     )
     return joined.select("event_id", "seen_value")
 

@@ -42,39 +42,36 @@ def order_by_columns(spark, sf):
     return r.order_asc(orders(spark, sf).select("status", "order_id"), "status", "order_id")
 
 
-def _recent(spark, sf):
-    return r.recent(orders(spark, sf), "order_date", DAYS, AS_OF)
+# Orders in state P have no customer here, so that both sides of a join have rows without a partner.
+_PLACED = "(SELECT order_id, CASE WHEN status <> 'P' THEN customer_id END AS customer_id, amount FROM {orders} o0)"
+
+
+def _placed(spark, sf):
+    return orders(spark, sf).withColumn("customer_id", F.when(F.col("status") != "P", F.col("customer_id")))
 
 
 _RECENT = f"(SELECT * FROM {{orders}} WHERE order_date >= DATE '{AS_OF}' - INTERVAL {DAYS} DAY)"
 _COLS = "c.id, c.name, o.order_id, CAST(o.amount AS DOUBLE) AS amount"
 
 
-@query(f"SELECT {_COLS} FROM {{customers}} c JOIN {_RECENT} o ON c.id = o.customer_id")
+@query(f"SELECT {_COLS} FROM {{customers}} c JOIN {_PLACED} o ON c.id = o.customer_id")
 def join_inner(spark, sf):
-    return r.customers_with_orders(customers(spark, sf), _recent(spark, sf)).select("id", "name", "order_id", "amount")
+    return r.customers_with_orders(customers(spark, sf), _placed(spark, sf)).select("id", "name", "order_id", "amount")
 
 
-@query(f"SELECT {_COLS} FROM {{customers}} c LEFT JOIN {_RECENT} o ON c.id = o.customer_id")
+@query(f"SELECT {_COLS} FROM {{customers}} c LEFT JOIN {_PLACED} o ON c.id = o.customer_id")
 def join_left(spark, sf):
-    return r.all_customers(customers(spark, sf), _recent(spark, sf)).select("id", "name", "order_id", "amount")
+    return r.all_customers(customers(spark, sf), _placed(spark, sf)).select("id", "name", "order_id", "amount")
 
 
-@query(f"SELECT {_COLS} FROM {_RECENT} o RIGHT JOIN {{customers}} c ON c.id = o.customer_id")
+@query(f"SELECT {_COLS} FROM {_PLACED} o RIGHT JOIN {{customers}} c ON c.id = o.customer_id")
 def join_right(spark, sf):
-    return r.orders_right_customers(_recent(spark, sf), customers(spark, sf)).select("id", "name", "order_id", "amount")
+    return r.orders_right_customers(_placed(spark, sf), customers(spark, sf)).select("id", "name", "order_id", "amount")
 
 
-@query(
-    "SELECT c.id, c.name, o.order_id, CAST(o.amount AS DOUBLE) AS amount "
-    "FROM (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 0) c "
-    f"FULL JOIN {_RECENT} o ON c.id = o.customer_id"
-)
+@query(f"SELECT {_COLS} FROM {{customers}} c FULL JOIN {_PLACED} o ON c.id = o.customer_id")
 def join_full(spark, sf):
-    in_credit = table(spark, sf, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
-    )
-    return r.customers_full_orders(in_credit, _recent(spark, sf)).select("id", "name", "order_id", "amount")
+    return r.customers_full_orders(customers(spark, sf), _placed(spark, sf)).select("id", "name", "order_id", "amount")
 
 
 @query(f"WITH recent_orders AS {_RECENT} SELECT c.name, o.order_id, CAST(o.amount AS DOUBLE) AS amount, CAST(o.order_date AS VARCHAR) AS order_date FROM {{customers}} c JOIN recent_orders o ON c.id = o.customer_id")
@@ -112,12 +109,8 @@ def customer_rank(spark, sf):
     return r.customer_rank(orders(spark, sf))
 
 
-def small_limit(df, parts: int) -> int:
-    """A group limit of 1/parts of the rows, so that small tables take the route for large keys too.
-
-    The limit only picks the route; the usual one is a fixed number of rows.
-    """
-    return max(1, df.count() // parts)
+# Rows of a key from which the `_hot` queries split it: few, so that small tables take that route too.
+SPLIT_ROWS = 100
 
 
 @query(
@@ -128,8 +121,7 @@ def rank_with_ties(spark, sf):
     sold = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(
         F.sum("l_quantity").cast("long").alias("quantity")
     )
-    stored = materialise(sold, "sold")
-    return ranks(stored, "quantity", "rank", "dense_rank", small_limit(stored, 10))
+    return ranks(materialise(sold, "sold"), "quantity", "rank", "dense_rank")
 
 
 @query(
@@ -158,8 +150,7 @@ def customer_total(spark, sf):
     "SELECT order_id, status, CAST(SUM(amount) OVER (PARTITION BY status ORDER BY order_date) AS DOUBLE) AS running_total FROM {orders}"
 )
 def running_total_hot(spark, sf):
-    rows = orders(spark, sf)
-    total = r.running_total(rows, "status", group_rows=small_limit(rows, 10))
+    total = r.running_total(orders(spark, sf), "status", group_rows=SPLIT_ROWS)
     return total.select("order_id", "status", "running_total")
 
 
@@ -167,8 +158,7 @@ def running_total_hot(spark, sf):
     "SELECT order_id, status, ROW_NUMBER() OVER (PARTITION BY status ORDER BY order_date, order_id) AS order_sequence FROM {orders}"
 )
 def order_sequence_hot(spark, sf):
-    rows = orders(spark, sf)
-    numbered = r.order_sequence(rows, "status", group_rows=small_limit(rows, 10))
+    numbered = r.order_sequence(orders(spark, sf), "status", group_rows=SPLIT_ROWS)
     return numbered.select("order_id", "status", "order_sequence")
 
 
@@ -176,23 +166,23 @@ def order_sequence_hot(spark, sf):
     "SELECT order_id, status, CAST(SUM(amount) OVER (PARTITION BY status) AS DOUBLE) AS total_customer_amount FROM {orders}"
 )
 def group_total_hot(spark, sf):
-    rows = orders(spark, sf)
-    total = r.with_customer_total(rows, "status", group_rows=small_limit(rows, 10))
+    total = r.with_customer_total(orders(spark, sf), "status", group_rows=SPLIT_ROWS)
     return total.select("order_id", "status", "total_customer_amount")
 
 
 @query(f"SELECT {_COLS} FROM {{customers}} c FULL JOIN {{orders}} o ON c.id = o.customer_id")
 def join_full_hot(spark, sf):
-    rows = orders(spark, sf)
-    joined = r.customers_full_orders(customers(spark, sf), rows, group_rows=small_limit(rows, 1000))
+    joined = r.customers_full_orders(customers(spark, sf), orders(spark, sf), group_rows=SPLIT_ROWS // 10)
     return joined.select("id", "name", "order_id", "amount")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE -o_orderkey END FROM orders)")
 def orphans(spark, sf):
-    finished = table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+    """Keys of unfinished orders are negative here, so that their lines have no parent."""
+    key = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).otherwise(-F.col("o_orderkey"))
+    parents = table(spark, sf, "orders").withColumn("o_orderkey", key)
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return r.orphans(lines, finished, "l_orderkey", "o_orderkey")
+    return r.orphans(lines, parents, "l_orderkey", "o_orderkey")
 
 
 _LINE = "concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR), o_orderpriority)"
@@ -221,14 +211,14 @@ def delimited_messages(spark, sf):
 
 
 @query(
-    "WITH revenue_per_customer AS (SELECT customer_id, SUM(amount) AS total_revenue FROM {orders} GROUP BY customer_id) "
-    "SELECT c.name, CAST(r.total_revenue AS DOUBLE) AS total_revenue FROM {customers} c JOIN revenue_per_customer r ON c.id = r.customer_id"
+    "WITH by_status AS (SELECT status, customer_id, MAX(amount) AS largest FROM {orders} GROUP BY status, customer_id) "
+    "SELECT c.name, s.status, CAST(s.largest AS DOUBLE) AS largest FROM {customers} c JOIN by_status s ON c.id = s.customer_id"
 )
 def common_table_expression(spark, sf):
     """The same text as a user would send to `spark.sql`."""
     return spark.sql(
-        "WITH revenue_per_customer AS (SELECT customer_id, SUM(amount) AS total_revenue FROM {o} GROUP BY customer_id) "
-        "SELECT c.name, r.total_revenue FROM {c} c JOIN revenue_per_customer r ON c.id = r.customer_id",
+        "WITH by_status AS (SELECT status, customer_id, MAX(amount) AS largest FROM {o} GROUP BY status, customer_id) "
+        "SELECT c.name, s.status, s.largest FROM {c} c JOIN by_status s ON c.id = s.customer_id",
         o=orders(spark, sf), c=customers(spark, sf),
     )
 

@@ -33,6 +33,35 @@ def silver(spark, sf):
     return cleaning.to_silver(raw_orders(spark, sf, text_time=True))
 
 
+_TEXT_QUANTITY = """CASE l_linenumber WHEN 1 THEN CAST(l_quantity AS INTEGER) WHEN 2 THEN CAST(l_quantity AS INTEGER) WHEN 3 THEN 0
+ WHEN 4 THEN CAST(l_quantity AS INTEGER) WHEN 5 THEN -CAST(l_quantity AS INTEGER) END"""
+
+
+@query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, epoch_us(o_orderdate) AS order_timestamp, CAST({_TEXT_QUANTITY} AS BIGINT) AS quantity,
+ CASE WHEN l_linenumber <> 6 THEN l_extendedprice END AS unit_price, lower(trim(o_orderstatus)) AS order_status,
+ lower(trim(o_orderpriority)) AS payment_method,
+ {_TEXT_QUANTITY} * CASE WHEN l_linenumber <> 6 THEN l_extendedprice END AS gross_amount
+ FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")
+def silver_text(spark, sf):
+    """All columns as text, with quantities like `12.`, `.5`, `12.5<tab>`, ` -12`, `1e1` and words."""
+    o, l = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    n, number = F.col("l_linenumber"), F.col("l_quantity").cast("int").cast("string")
+    quantity = (
+        F.when(n == 1, F.concat(number, F.lit("."))).when(n == 2, F.concat(number, F.lit(".5\t"))).when(n == 3, F.lit(".5"))
+        .when(n == 4, F.concat(F.lit("\t "), number)).when(n == 5, F.concat(F.lit(" -"), number)).when(n == 6, F.lit("1e1"))
+        .when(n.isNotNull(), F.lit("many"))
+    )
+    raw = o.join(l, o.o_orderkey == l.l_orderkey, "left").select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.date_format("o_orderdate", s.TIMESTAMP_PATTERN).alias("order_timestamp"),
+        quantity.alias("quantity"),
+        F.when(n == 6, "free").otherwise(F.col("l_extendedprice").cast("string")).alias("unit_price"),
+        F.concat(F.lit(" "), "o_orderstatus").alias("order_status"),
+        F.concat("o_orderpriority", F.lit(" ")).alias("payment_method"),
+    )
+    return cleaning.to_silver(raw)
+
+
 @query(f"""SELECT CAST(CAST(order_timestamp AS DATE) AS VARCHAR) AS order_date, payment_method, COUNT(*) AS total_orders,
  round(SUM(gross_amount), 2) AS total_revenue FROM {_SILVER} s GROUP BY 1, 2 ORDER BY 1, 2""")
 def daily_sales(spark, sf):

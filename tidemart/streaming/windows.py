@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.operators.ordered import GROUP_ROWS, spread_ties
 
 
 def windowed_orders(
@@ -42,14 +41,13 @@ def write_stream_parquet(
     return writer.start()
 
 
-def order_within_partition(messages: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def order_within_partition(messages: DataFrame) -> DataFrame:
     """Messages of each topic partition in offset order.
 
-    A range sort, so that one busy partition, or one message sent very often, is sorted by many
-    tasks. No order between partitions is implied.
+    A range sort, so that one busy partition is sorted by many tasks; an offset occurs once in its partition. No order
+    between partitions is implied.
     """
-    rows, ties = spread_ties(messages, ["topic", "partition", "offset"], group_rows)
-    return rows.orderBy("topic", "partition", "offset", *ties).select(*messages.columns)
+    return messages.orderBy("topic", "partition", "offset")
 
 
 def lag(offsets: DataFrame, ends: DataFrame) -> DataFrame:
