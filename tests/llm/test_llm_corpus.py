@@ -177,7 +177,7 @@ def test_merged_transform_is_that_of_all_strings():
     rng = np.random.default_rng(2)
     strings = 20 + rng.integers(0, 3, (9, 12))
     depth = 12
-    parts = [repeats.transform(strings[i:i + 3], i, 20, depth) for i in range(0, 9, 3)]
+    parts = [repeats.transform(strings[i:i + 3], i) for i in range(0, 9, 3)]
     whole = repeats.merge_all(parts, depth)
     suffix = {(s, a): tuple(strings[s, a:]) + (s,) for s in range(9) for a in range(13)}
     order = sorted(suffix, key=suffix.get)
