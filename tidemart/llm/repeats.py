@@ -31,7 +31,9 @@ ANCHOR = 200
 REACH = LENGTH - ANCHOR
 SYMBOL = 16
 #: Bytes of one text looked at together, contexts in a shard, and anchors with so many contexts that no single task sorts them.
-PIECE, SHARD, CROWD = 1 << 20, 1024, 20_000
+PIECE, SHARD, CROWD = 1 << 20, 512, 20_000
+#: Contexts merged at once, if no anchor has more: few enough that their symbols have short numbers.
+BATCH = 1200
 #: Contexts that one group of anchors has on average.
 GROUP = 4096
 
@@ -149,27 +151,27 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def transform(strings: np.ndarray, first: int, ends: int, depth: int) -> Transform:
-    """The transform of a shard: the rows of `strings`, symbols from `ends` upwards; their numbers begin at `first`.
+def transform(strings: np.ndarray, first: int) -> Transform:
+    """The transform of a shard: the rows of `strings`; their numbers begin at `first`, and their symbols lie above all numbers.
 
     The end of string s is symbol s. Suffixes are sorted by doubling the prefix that ranks are known for.
     """
     count, width = strings.shape
     text = np.column_stack((strings, np.arange(first, first + count))).ravel()
-    rank = np.unique(text, return_inverse=True)[1]
     offset = np.tile(np.arange(width + 1), count)
-    span, block = 1, rank
+    rank, span = text, 1
     while True:
-        later = np.full(len(text), -1, np.int64)
-        inside = offset + span <= width
-        later[inside] = rank[np.flatnonzero(inside) + span]
-        order = np.lexsort((later, rank))
+        later = np.zeros(len(text), np.int64)
+        inside = np.flatnonzero(offset + span <= width)
+        later[inside] = rank[inside + span] + 1
+        key = rank * (int(rank.max()) + 2) + later
+        order = np.argsort(key)
         rank = np.empty(len(text), np.int64)
-        rank[order] = _runs(*(key[order] for key in (block, later)))
-        block, span = rank, 2 * span
+        rank[order] = _runs(key[order])
+        span *= 2
         if span > width or rank.max() == len(text) - 1:
             break
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     before = np.where(offset > 0, text[np.arange(len(text)) - 1], text[np.arange(len(text)) - offset + width])
     return Transform(before[order], first + order // (width + 1), order % (width + 1), np.arange(len(text)))
 
@@ -183,9 +185,11 @@ def merge(a: Transform, b: Transform, depth: int) -> Transform:
     """
     side = np.concatenate((np.zeros(len(a.symbols), bool), np.ones(len(b.symbols), bool)))
     block = np.zeros(len(side), np.int64)
-    merged = np.empty(len(side), a.symbols.dtype)
+    highest = max(part.symbols.max(initial=0) for part in (a, b))
+    kind = np.uint16 if highest < 1 << 16 else np.int64  # short numbers are sorted by radix
+    left, right, merged = a.symbols.astype(kind), b.symbols.astype(kind), np.empty(len(side), kind)
     for _ in range(depth):
-        merged[~side], merged[side] = a.symbols, b.symbols
+        merged[~side], merged[side] = left, right
         order = np.argsort(merged, kind="stable")
         refined = _runs(merged[order], block[order])
         new = side[order]
@@ -209,6 +213,11 @@ def merge_all(parts: list[Transform], depth: int) -> Transform:
     return parts[0]
 
 
+def _mask(high: int) -> np.uint64:
+    """Of the eight bytes of a word, the last `high`."""
+    return np.uint64((1 << 64) - (1 << 8 * (8 - high)) if high else 0)
+
+
 def covered(contexts: list[bytes], before: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each context, the bytes before and after its anchor's start that repeated strings reach; 0, 0 if none do.
 
@@ -222,8 +231,8 @@ def covered(contexts: list[bytes], before: np.ndarray, starts: np.ndarray) -> tu
     for i, c in enumerate(contexts):
         frame[i, low[i]:low[i] + len(c)] = np.frombuffer(c, np.uint8)
     high = low + length
-    words = frame.view([("a", np.uint64), ("b", np.uint64)])
-    pairs = words["a"] ^ _mixed(words["b"] + np.uint64(0x9E3779B97F4A7C15))
+    words = frame.view(np.uint64)
+    pairs = _mixed(words[:, 0::2]) ^ _mixed(words[:, 1::2] + np.uint64(0x9E3779B97F4A7C15))
     begin = np.arange(width) * SYMBOL
     partial = (begin[None, :] < low[:, None]) | (begin[None, :] + SYMBOL > high[:, None])
     known = np.unique(pairs[~partial], return_inverse=True)[1]
@@ -232,34 +241,33 @@ def covered(contexts: list[bytes], before: np.ndarray, starts: np.ndarray) -> tu
     strings[~partial] = ends + known
     strings[partial] = len(contexts) + np.arange(int(partial.sum()))  # symbols of their own: they equal nothing
     depth = LENGTH // SYMBOL - 1
-    whole = merge_all(
-        [transform(strings[i:i + SHARD], i, ends, depth) for i in range(0, len(strings), SHARD)], depth
-    )
+    whole = merge_all([transform(strings[i:i + SHARD], i) for i in range(0, len(strings), SHARD)], depth)
+
     # blocks of at least two suffixes that can lie in a string around the anchor
     size = np.bincount(whole.block)
-    fit = (size[whole.block] > 1) & (whole.at * SYMBOL <= lead + SYMBOL - 1) & (whole.at <= width - 1 - depth)
-    string, at, block = whole.string[fit], whole.at[fit] * SYMBOL, whole.block[fit]
+    fit = (size[whole.block] > 1) & (whole.at > 0) & (whole.at * SYMBOL < lead + SYMBOL) & (whole.at <= width - 1 - depth)
+    string, at, block = whole.string[fit], whole.at[fit] * SYMBOL, whole.block[fit].astype(np.uint64)
     left, right = np.full(len(contexts), -1), np.full(len(contexts), -1)
-    if not len(string):
-        return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
-    core = depth * SYMBOL
+    # the sixteen bytes before the symbols that are known to agree, and the sixteen after them
+    a0, a1 = words[string, at // 8 - 2], words[string, at // 8 - 1]
+    b0, b1 = (words[string, (at + depth * SYMBOL) // 8 + i] for i in (0, 1))
     for d in range(SYMBOL):  # the string starts d bytes before a symbol
-        ok = (at - d >= low[string]) & (at - d + LENGTH <= high[string]) & (at - d <= lead) & (at - d >= lead - REACH)
-        s, o, b = string[ok], at[ok], block[ok]
-        if not len(s):
+        first = at - d
+        ok = np.flatnonzero((first >= low[string]) & (first + LENGTH <= high[string]) & (first <= lead) & (first >= lead - REACH))
+        if not len(ok):
             continue
-        columns = np.concatenate((np.arange(-d, 0), np.arange(core, core + SYMBOL - d)))
-        rest = np.ascontiguousarray(frame[s[:, None], o[:, None] + columns[None, :]]).view(np.uint64)
-        place = starts[s] + (o - d - lead)
-        order = np.lexsort((place, rest[:, 1], rest[:, 0], b))
-        run = _runs(b[order], rest[order, 0], rest[order, 1])
-        lowest = np.full(run[-1] + 1, np.iinfo(np.int64).max)
-        highest = np.full(run[-1] + 1, np.iinfo(np.int64).min)
-        np.minimum.at(lowest, run, place[order])
-        np.maximum.at(highest, run, place[order])
-        hit = order[lowest[run] != highest[run]]
-        np.maximum.at(left, s[hit], lead - (o[hit] - d))
-        np.maximum.at(right, s[hit], o[hit] - d + LENGTH - lead)
+        if d <= 8:
+            x, y = b0[ok], a1[ok] & _mask(d) | b1[ok] & ~_mask(d)
+        else:
+            x, y = a1[ok], a0[ok] & _mask(d - 8) | b0[ok] & ~_mask(d - 8)
+        key = _mixed(x ^ _mixed(y ^ _mixed(block[ok])))
+        order = np.argsort(key)
+        run = _runs(block[ok][order], x[order], y[order])
+        place = (starts[string[ok]] + (first[ok] - lead))[order]
+        edges = np.flatnonzero(np.diff(run, prepend=-1))
+        hit = ok[order[(np.minimum.reduceat(place, edges) != np.maximum.reduceat(place, edges))[run]]]
+        np.maximum.at(left, string[hit], lead - first[hit])
+        np.maximum.at(right, string[hit], first[hit] + LENGTH - lead)
     none = left < 0
     left[none] = right[none] = 0
     return left, right
@@ -274,8 +282,16 @@ def _merge_contexts(group: pd.DataFrame) -> pd.DataFrame:
     text, base = np.unique(group[["pack", "doc"]].to_numpy(), axis=0, return_inverse=True)
     span = int(group["at"].max()) + 4 * LENGTH
     starts = base.ravel() * span + group["at"].to_numpy()
-    left, right = covered(group["bytes"].tolist(), group["before"].to_numpy(), starts)
-    return pd.DataFrame({"anchor": group["anchor"], "context": group["context"], "left": left, "right": right})
+    group = group.assign(start=starts).sort_values("anchor", ignore_index=True)
+    # contexts of one anchor stay together; the shards of a few anchors at a time are merged
+    firsts = np.flatnonzero(np.diff(group["anchor"].to_numpy(), prepend=group["anchor"].iloc[0] - 1))
+    cuts = [0, *firsts[np.flatnonzero(np.diff(firsts // BATCH)) + 1].tolist(), len(group)]
+    out = []
+    for low, high in zip(cuts, cuts[1:]):
+        part = group.iloc[low:high]
+        left, right = covered(part["bytes"].tolist(), part["before"].to_numpy(), part["start"].to_numpy())
+        out.append(pd.DataFrame({"anchor": part["anchor"], "context": part["context"], "left": left, "right": right}))
+    return pd.concat(out)
 
 
 def _all_strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
