@@ -26,8 +26,8 @@ from tidemart.llm.text import LONG, array, pick, struct
 from tidemart.sources.scratch import materialise
 
 TREES, DEPTH, LEAF = 12, 4, 16
-#: Shingles of one block of a crowd.
-BLOCK = 2_000_000
+#: Shingles of one block of a crowd, and words whose hashes a task remembers.
+BLOCK, REMEMBERED = 2_000_000, 1 << 16
 #: Minwise values in a sketch, and how many of them can be chosen as path tokens.
 SKETCH, TOKENS = 256, 64
 
@@ -46,9 +46,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, each computed once."""
+    """64-bit hashes of words. Those of the latest words are remembered, which most words are found among."""
 
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
 
