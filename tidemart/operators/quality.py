@@ -36,7 +36,8 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 class Rule:
     """`bad` marks an unexpected row, `counted` the rows looked at, `verdict` turns counts into success.
 
-    A rule that is not about single rows gives `measure` instead: a one-row result for a DataFrame.
+    A `grouped` rule gets its counts from one grouping by its column, which all such rules on the column share. Any other
+    rule that is not about single rows gives `measure` instead: a one-row result for a DataFrame.
     """
 
     name: str
@@ -45,6 +46,12 @@ class Rule:
     counted: Column | None = None
     verdict: Callable[[Column, Column], Column] = lambda checked, unexpected: unexpected == 0
     measure: Callable[[DataFrame], DataFrame] | None = None
+    grouped: bool = False
+
+    def result(self, checked: Column, unexpected: Column) -> Column:
+        return F.struct(*_result(
+            self.name, self.column, self.verdict(checked, unexpected), checked, unexpected, _share(checked, unexpected)
+        ))
 
 
 def not_null(col: str) -> Rule:
@@ -96,23 +103,16 @@ def _repeats(df: DataFrame, col: str) -> DataFrame:
 
 def unique(col: str) -> Rule:
     """No value twice; NULLs are not looked at."""
-
-    def measure(df: DataFrame) -> DataFrame:
-        checked, unexpected = F.col("checked"), F.col("unexpected")
-        return _repeats(df, col).select(*_result("unique", col, unexpected == 0, checked, unexpected, _share(checked, unexpected)))
-
-    return Rule("unique", col, measure=measure)
+    return Rule("unique", col, grouped=True)
 
 
 def uniqueness(col: str, min_ratio: float = 1.0) -> Rule:
     """Share of values that occur once, exact."""
 
-    def measure(df: DataFrame) -> DataFrame:
-        checked, unexpected = F.col("checked"), F.col("unexpected")
-        ratio = F.coalesce((checked - unexpected) / F.nullif(checked, F.lit(0)), F.lit(1.0))
-        return _repeats(df, col).select(*_result("uniqueness", col, ratio >= min_ratio, checked, unexpected, _share(checked, unexpected)))
+    def enough(checked: Column, unexpected: Column) -> Column:
+        return F.coalesce((checked - unexpected) / F.nullif(checked, F.lit(0)), F.lit(1.0)) >= min_ratio
 
-    return Rule("uniqueness", col, measure=measure)
+    return Rule("uniqueness", col, verdict=enough, grouped=True)
 
 
 def foreign_key(fk: str, parent: DataFrame, pk: str) -> Rule:
@@ -172,7 +172,7 @@ def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """One result row per rule. A rule on a missing column fails and says so."""
     absent = [r for r in suite if r.column is not None and r.column not in df.columns]
     present = [r for r in suite if r not in absent]
-    row_rules = [r for r in present if r.measure is None]
+    row_rules = [r for r in present if r.measure is None and not r.grouped]
     results = []
     if row_rules:
         counts = []
@@ -181,13 +181,11 @@ def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
                 F.count_if(rule.counted).alias(f"c{i}"),
                 F.count_if(F.coalesce(rule.bad, F.lit(False))).alias(f"u{i}"),
             ]
-        structs = []
-        for i, rule in enumerate(row_rules):
-            checked, unexpected = F.col(f"c{i}"), F.col(f"u{i}")
-            structs.append(F.struct(*_result(
-                rule.name, rule.column, rule.verdict(checked, unexpected), checked, unexpected, _share(checked, unexpected)
-            )))
+        structs = [rule.result(F.col(f"c{i}"), F.col(f"u{i}")) for i, rule in enumerate(row_rules)]
         results.append(df.agg(*counts).select(F.inline(F.array(*structs))))
+    for col in dict.fromkeys(r.column for r in present if r.grouped):
+        structs = [r.result(F.col("checked"), F.col("unexpected")) for r in present if r.grouped and r.column == col]
+        results.append(_repeats(df, col).select(F.inline(F.array(*structs))))
     results += [rule.measure(df) for rule in present if rule.measure is not None]
     if absent:
         structs = [
@@ -203,7 +201,7 @@ def unexpected_values(df: DataFrame, rule: Rule) -> DataFrame:
     if rule.column not in df.columns:
         return df.sparkSession.createDataFrame([], "value string, rows long")
     counted = F.count(F.lit(1)).alias("rows")
-    if rule.name in ("unique", "uniqueness"):
+    if rule.grouped:
         groups = df.filter(F.col(rule.column).isNotNull()).groupBy(F.col(rule.column).alias("value")).agg(counted)
         return groups.filter(F.col("rows") > 1)
     if rule.bad is None:

@@ -118,3 +118,36 @@ def pushed_features(spark, sf):
     f.push(spark, loaded, "view_events", seen(spark, sf, "click"))
     asked = events(spark, sf).select("user_id").distinct()
     return f.latest_features(spark, asked, ["seen:seen_value"], loaded)
+
+
+@query(f"""SELECT event_id, user_id, CASE WHEN event_id % 3 > 0 THEN 9007199254740993 + event_id END AS whole,
+ seen_value + paid AS seen_plus_paid FROM {_ASOF} a""")
+def on_demand_passes_columns(spark, sf):
+    """Columns that the pandas function does not read stay as they are: whole numbers above 2^53, with NULLs."""
+    whole = F.when(F.col("event_id") % 3 > 0, F.lit(9007199254740993) + F.col("event_id"))
+    asked = purchases(spark, sf).withColumn("whole", whole)
+    got = f.historical_features(spark, asked, ["sums:seen_plus_paid"], repo(spark, sf, pandas=True))
+    seen_plus_paid = F.when(~F.isnan("seen_plus_paid"), F.col("seen_plus_paid")).alias("seen_plus_paid")
+    return got.select("event_id", "user_id", "whole", seen_plus_paid)
+
+
+@query(f"SELECT event_id, seen_value FROM {_ASOF} a")
+def features_from_files(spark, sf):
+    """A view on Parquet files in which every row has an older copy of the same event time; the later `created` wins."""
+    path = scratch_path(spark, "view-files")
+    rows = seen(spark, sf)
+    older = rows.withColumns({"created": F.expr("created - INTERVAL 1 HOUR"), "seen_value": F.col("seen_value") + 1})
+    rows.unionByName(older).write.parquet(path)
+    view = f.FeatureView("seen", USER, SEEN, f.FeatureSource("view_files", path=path), TTL)
+    got = f.historical_features(spark, purchases(spark, sf), ["seen:seen_value"], f.FeatureRepo((view,), (), None))
+    return got.select("event_id", "seen_value")
+
+
+@query(f"""SELECT k.user_id, v.value AS seen_value FROM (SELECT DISTINCT user_id FROM events) k
+ LEFT JOIN {_LAST.format(kinds="= 'view'")} v ON v.user_id = k.user_id""")
+def served_log(spark, sf):
+    """What a service with a log served, read from the log."""
+    loaded, log = _loaded(spark, sf), scratch_path(spark, "served")
+    service = f.FeatureService("seen_only", (f.Selection(loaded.view("seen"), ("seen_value",)),), log)
+    f.latest_features(spark, events(spark, sf).select("user_id").distinct(), service, loaded)
+    return spark.read.parquet(f"{log}/seen_only").drop("served_at")

@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from tidemart.functions.scalars import as_text
 from tidemart.operators.layout import cluster, compact, write_files
-from tidemart.plans.ingest import ingest_orders
-from tidemart.plans.medallion import run_lake
+from tidemart.plans.ingest import ingest_orders, run_etl
+from tidemart.plans.medallion import run_batch, run_lake
 from tidemart.plans.registered.base import orders, query, table
-from tidemart.plans.registered.sales import bronze_events
-from tidemart.sources.readers import read_csv, read_parquet
+from tidemart.plans.registered.sales import bronze_events, raw_orders
+from tidemart.sources.readers import read_csv, read_lines, read_parquet
 from tidemart.sources.scratch import scratch_path
 from tidemart.sources.writers import append, write_csv, write_parquet
 
@@ -82,3 +83,47 @@ def ingested(spark, sf):
 def ingest_log(spark, sf):
     _, log = _ingested(spark, sf)
     return spark.read.parquet(log).select("job", "level", "rows")
+
+
+_TEXT = "concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderpriority)"
+
+
+@query(f"SELECT {_TEXT} AS value FROM orders")
+def raw_lines(spark, sf):
+    path = scratch_path(spark, "lines")
+    table(spark, sf, "orders").select(F.concat_ws("|", "o_orderkey", "o_orderpriority").alias("value")).write.text(path)
+    return read_lines(spark, path)
+
+
+@query("SELECT o_orderkey AS id, o_orderpriority AS value FROM orders")
+def binary_as_text(spark, sf):
+    body = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.encode("o_orderpriority", "UTF-8").alias("value"))
+    return body.select("id", as_text("value").alias("value"))
+
+
+_RAW = """(SELECT CAST(o_orderdate AS DATE) AS day, lower(o_orderpriority) AS payment_method, CAST(l_quantity AS INTEGER) * l_extendedprice AS gross
+ FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
+
+
+@query(f"""SELECT CAST(day AS VARCHAR) AS order_date, payment_method, count(*) AS total_orders, round(sum(gross), 2) AS total_revenue
+ FROM {_RAW} r GROUP BY 1, 2""")
+def batch_job(spark, sf):
+    """Raw CSV to silver and gold files; the daily sales table."""
+    raw = scratch_path(spark, "raw-orders")
+    rows = raw_orders(spark, sf, text_time=True).filter("quantity IS NOT NULL")
+    write_csv(rows.select(*[F.trim(c).alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes]), raw)
+    daily = run_batch(spark, raw, scratch_path(spark, "batch"))["daily_sales"]
+    return daily.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
+ o_totalprice AS amount, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m') AS year_month FROM orders WHERE o_orderstatus = 'O'""")
+def etl_job(spark, sf):
+    """A file of orders in which finished ones have no readable date and pending ones no readable amount."""
+    source, status = scratch_path(spark, "etl-in"), F.col("o_orderstatus")
+    write_csv(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.when(status == "F", "soon").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("order_date"),
+        F.when(status == "P", "-1").otherwise(F.col("o_totalprice").cast("string")).alias("amount"), status.alias("status"),
+    ), source)
+    return run_etl(spark, source, scratch_path(spark, "etl-out"))

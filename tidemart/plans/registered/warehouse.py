@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemart.functions.scalars import date_key, with_defaults
 from tidemart.operators import dimensions as d, gold
 from tidemart.plans.registered.base import query, table
+from tidemart.plans.warehouse import build_mart, load_dimension
+from tidemart.sources.scratch import scratch_path
+from tidemart.sources.tables import publish, read_table
 
 TRACK = d.Tracking(previous={"city": "previous_city"}, current={"city": "current_city"})
 
@@ -57,6 +60,14 @@ def mart_daily_category(spark, sf):
     return gold.mart_daily_category_sales(fact(spark, sf), dates(spark, sf), products(spark, sf))
 
 
+@query("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS full_date, p_type AS category,
+ CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_qty, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue
+ FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2 ORDER BY 1, 2""")
+def mart_table(spark, sf):
+    """The mart as a stored table."""
+    return build_mart(fact(spark, sf), dates(spark, sf), products(spark, sf), scratch_path(spark, "mart"))
+
+
 @query("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue
  FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")
 def revenue_by_day(spark, sf):
@@ -134,6 +145,15 @@ def scd6(spark, sf):
     return d.dim_history(d.scd6(customer_dim(spark, sf), moves(spark, sf), ["city"], TRACK), TRACK)
 
 
+@query(f"WITH {_DIM} SELECT {_OUT} FROM ({_CLOSED.format(current='current_city')} UNION ALL SELECT * FROM opened) v")
+def dimension_load(spark, sf):
+    """The same load into a stored dimension, whose next version is published."""
+    path = scratch_path(spark, "dimension")
+    publish(customer_dim(spark, sf), path)
+    load_dimension(spark, path, moves(spark, sf), ["city"], TRACK, 2)
+    return read_table(spark, path)
+
+
 def all_moves(spark, sf) -> DataFrame:
     """Every order of a customer as a change of city: many changes per key in one load, several on one day."""
     return table(spark, sf, "orders").select(
