@@ -10,7 +10,7 @@ from helpers import same, tuples
 from tidemart.operators.asof import Lookup, point_in_time_join, point_in_time_joins
 from tidemart.operators.features import (
     FeatureService, OnDemandView, compact_latest, historical_features, latest_features, materialize_incremental,
-    parse_ref, push, read_latest,
+    parse_ref, push, read_latest, view_history,
 )
 from tidemart.plans.driver_features import RATES, REQUEST, driver_repo
 
@@ -178,7 +178,10 @@ def test_latest_values_and_push(spark, stats, tmp_path):
 
     now = T("2021-04-14 00:00:00")
     pushed = spark.createDataFrame([(1001, now, now, 1.0, 1.0, 1000)], STATS)
-    push(spark, repo, "driver_stats_push_source", pushed)
+    push(spark, repo, "driver_stats_push_source", pushed, batch=1)
+    before = view_history(spark, repo.view("driver_hourly_stats_fresh"), repo).count()
+    push(spark, repo, "driver_stats_push_source", pushed, batch=1)  # a retry
+    assert view_history(spark, repo.view("driver_hourly_stats_fresh"), repo).count() == before
     assert rate("driver_hourly_stats_fresh")[1001] == 1.0
     assert rate("driver_hourly_stats")[1001] == pytest.approx(0.9)
     v3 = latest_features(spark, asked, repo.service("driver_activity_v3"), repo)

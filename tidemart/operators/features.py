@@ -258,9 +258,8 @@ def _history_path(view: FeatureView, repo: FeatureRepo) -> str:
 def view_history(spark: SparkSession, view: FeatureView, repo: FeatureRepo) -> DataFrame:
     """The source rows and any rows pushed since."""
     rows = view.source.read(spark)
-    if repo.store and path_exists(spark, _history_path(view, repo)):
-        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(_history_path(view, repo)))
-    return rows
+    pushed = read_table(spark, _history_path(view, repo)) if repo.store else None
+    return rows if pushed is None else rows.unionByName(pushed)
 
 
 # --- latest values -----------------------------------------------------------------------------
@@ -357,8 +356,13 @@ def log_features(df: DataFrame, path: str) -> None:
     df.withColumn("served_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
-def push(spark: SparkSession, repo: FeatureRepo, source: str, df: DataFrame, to: str = "both") -> None:
-    """Add rows to the history and/or the latest values of every view on `source`."""
+def push(
+    spark: SparkSession, repo: FeatureRepo, source: str, df: DataFrame, to: str = "both", batch: int | None = None
+) -> None:
+    """Add rows to the history and/or the latest values of every view on `source`.
+
+    With a `batch` number, a repeated push of that batch adds nothing to the history. To the latest values it never does.
+    """
     if to not in ("history", "latest", "both"):
         raise ValueError("to must be history, latest or both")
     fed = [v for v in repo.views if isinstance(v, FeatureView) and v.source.name == source]
@@ -367,7 +371,7 @@ def push(spark: SparkSession, repo: FeatureRepo, source: str, df: DataFrame, to:
     if to in ("history", "both"):
         schema = fed[0].source.read(spark).schema
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        rows.write.mode("append").parquet(_history_path(fed[0], repo))
+        add_rows(rows, _history_path(fed[0], repo), None if batch is None else source, batch)
     if to in ("latest", "both"):
         for view in fed:
             upsert_latest(latest_per_key(view.typed(df), list(view.entity.join_keys), view.order), _store_path(view, repo))
