@@ -109,6 +109,10 @@ def test_main_text_between_surge_and_dive():
     assert html.main_text(page)[0] == " ".join([*body[:2], "Yes.", *body[2:]])
 
 
+def test_unclosed_paragraphs_end_at_the_next_block():
+    assert html.main_text("<article><p class=ad>Buy<div>Text <i>goes</i> on</div><li>one<li>two</article>")[0] == "Text goes on one two"
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain"), (None, "u", "<p>a</p><p>b"), (4, "u", "<div class='ad'>x</div>"),
             (5, "u", "<p title=\"unclosed>text</p>"), (6, "u", "<article><p>" + "word " * 100_000 + "</article>"), (6, "u", "a < b & c")]

@@ -118,7 +118,6 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
                     marks -= n in _MARKED
                     if n == name:
                         break
-                links = links if marks or n != "body" else 0
             elif not inline:
                 end_line()
             continue
@@ -130,9 +129,9 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
             continue
         if out and inline:
             end_line()
-        if name == "p" or name == "li":  # end tags are optional
-            if open_elements and open_elements[-1][0] == name:
-                outside -= open_elements.pop()[1]
+        top = open_elements[-1][0] if open_elements else ""
+        if top == "p" and not inline or top == name == "li":  # end tags are optional
+            outside -= open_elements.pop()[1]
         open_elements.append((name, out))
         outside += out
         marks += name in _MARKED
