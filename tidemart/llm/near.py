@@ -186,7 +186,10 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         crowds = crowd if crowds is None else crowds.unionByName(crowd)
         if last:
             break
-        rows = _branch(large.where(F.col("apart") > close).select("path", "cid").join(classes, "cid"), depth)
+        # one row per class for the join, whatever the number of its paths: at most two to the depth in each tree
+        going = large.where(F.col("apart") > close).groupBy("cid").agg(F.collect_list("path").alias("paths"))
+        going = going.join(classes, "cid").select(F.explode("paths").alias("path"), "cid", "tokens", *BITS)
+        rows = _branch(going, depth)
     if crowds is None:
         crowds = rows.select("hub", "cid", "apart").limit(0)
     return small, crowds.distinct()
