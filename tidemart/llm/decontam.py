@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm.text import LONG, STRING, array, free_name, pick, struct
+from tidemart.llm.text import LONG, STRING, array, free_name, in_small_batches, pick, struct
 from tidemart.sources.scratch import materialise
 
 WINDOW = 10
@@ -138,7 +138,7 @@ def with_hits(
     NULL and empty texts, of documents and items, have no words and no hits. Items without id are ignored. An
     item of fewer words than a window is one window as a whole. Repeated rows are scanned each for itself.
     """
-    spark: SparkSession = docs.sparkSession
+    spark: SparkSession = in_small_batches(docs).sparkSession
     pairs, blocks = gram_blocks(benchmark, item_col, item_text_col, size, block)
     text = F.col(f"`{text_col}`")
     out = None

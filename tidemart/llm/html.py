@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.text import LONG, STRING, pick, struct
+from tidemart.llm.text import LONG, STRING, in_small_batches, pick, struct
 
 WIDTH = 3
 SURGE = 80
@@ -185,7 +185,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     NULL, empty and text-free pages have an empty text. Unclosed elements end with the element around them. Pages are
     taken whole, repeated rows each for itself; other columns of `pages` are not read.
     """
-    found = pick(pages, id_col, url_col, html_col).select(
+    found = in_small_batches(pick(pages, id_col, url_col, html_col)).select(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), _main(F.col(f"`{html_col}`")).alias("m")
     )
     return found.select(

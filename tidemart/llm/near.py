@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType, IntegerType
 
 from tidemart.llm.components import components
 from tidemart.llm.sieve import sieve
-from tidemart.llm.text import LONG, array, pick, struct
+from tidemart.llm.text import LONG, array, in_small_batches, pick, struct
 from tidemart.sources.scratch import materialise
 
 TREES, DEPTH, LEAF = 12, 4, 16
@@ -306,7 +306,7 @@ def groups(
     NULL, empty and blank texts have no shingles and are linked with nothing. A row without id is linked with nothing,
     has no component and is kept. Rows that repeat an id are one document. An empty table gives no rows.
     """
-    docs = pick(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    docs = in_small_batches(pick(docs, id_col, text_col)).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = docs.select("id", _signatures(size)("text").alias("g")).select("id", "g.*")
     signed = materialise(signed, "signatures")
     classes = (

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.text import LONG, free_name, pick, struct
+from tidemart.llm.text import LONG, free_name, in_small_batches, pick, struct
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_bangs",
@@ -94,7 +94,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     NULL or empty texts have no words and fail `few_words`. Repeated rows are measured each for itself; columns
     other than the two named are not read. An empty table gives an empty ledger.
     """
-    measured = pick(docs, id_col, text_col).select(
+    measured = in_small_batches(pick(docs, id_col, text_col)).select(
         F.col(f"`{id_col}`").alias("doc_id"), _measures(F.col(f"`{text_col}`")).alias("m")
     )
     return measured.select("doc_id", *(F.col(f"m.{n}") for n in MEASURES), _bits("m").alias("failed_bits"))
@@ -111,7 +111,7 @@ def keep(docs: DataFrame, policy: str, text_col: str = "text") -> DataFrame:
     NULL and empty texts fail. Column names of `docs` may clash with the measurements.
     """
     name = free_name(docs, "measured")
-    measured = docs.withColumn(name, _measures(F.col(f"`{text_col}`")))
+    measured = in_small_batches(docs).withColumn(name, _measures(F.col(f"`{text_col}`")))
     accepted = _bits(name).bitwiseAND(F.lit(mask(POLICIES[policy])).cast("long")) == 0
     return measured.where(accepted).drop(name)
 

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.text import BOOLEAN, DOUBLE, LONG, STRING, array, free_name, pick, struct
+from tidemart.llm.text import DOUBLE, LONG, STRING, array, free_name, in_small_batches, pick, struct
 from tidemart.sources.scratch import materialise
 
 #: Bound of the training sample; the forest is fitted on the driver.
@@ -211,7 +211,7 @@ def _find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per candidate: `doc_id`, `start` (code points), `length`, `features`, `value_sha256`, and `label` where
     context alone decides."""
-    found = pick(docs, id_col, text_col).select(
+    found = in_small_batches(pick(docs, id_col, text_col)).select(
         F.col(f"`{id_col}`").alias("doc_id"), F.explode(_find(F.col(f"`{text_col}`"))).alias("f")
     )
     return found.select("doc_id", "f.*")
@@ -254,8 +254,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, limit: float = LIMI
 
 
 def _redactor(forest, limit: float):
-    @F.pandas_udf(struct(text=STRING, changed=BOOLEAN))
-    def redact(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(STRING)
+    def redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """The new text where there is a secret, else NULL."""
         for texts in batches:
             spans = [candidates(t) for t in texts]
             rows = [describe(t, a, b) for t, found in zip(texts, spans) for a, b in found]
@@ -265,8 +266,8 @@ def _redactor(forest, limit: float):
                 cut = [span for span in found if next(secret)]
                 for a, b in reversed(cut):
                     text = text[:a] + MASK + text[b:]
-                out.append((text, bool(cut)))
-            yield pd.DataFrame(out, columns=["text", "changed"])
+                out.append(text if cut else None)
+            yield pd.Series(out, dtype=object)
 
     return redact
 
@@ -283,8 +284,7 @@ def redact(
     forest = docs.sparkSession.sparkContext.broadcast(train(found, labelled))
     into = free_name(docs, "redacted")
     out = docs.withColumn(into, _redactor(forest, limit)(F.col(f"`{text_col}`")))
-    changed = {text_col: F.when(F.col(f"{into}.changed"), F.col(f"{into}.text")).otherwise(F.col(f"`{text_col}`"))}
+    changed = {text_col: F.coalesce(F.col(into), F.col(f"`{text_col}`"))}
     if length_col:
-        length = F.length(f"{into}.text").cast(docs.schema[length_col].dataType)
-        changed[length_col] = F.when(F.col(f"{into}.changed"), length).otherwise(F.col(f"`{length_col}`"))
+        changed[length_col] = F.coalesce(F.length(into).cast(docs.schema[length_col].dataType), F.col(f"`{length_col}`"))
     return out.withColumns(changed).drop(into)

@@ -24,6 +24,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows that go to Python at a time. Texts are long, so Spark's usual 10,000 would be a large part of a worker's memory.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, with the session set to send at most `BATCH_ROWS` rows to Python at a time."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, whatever else `df` carries."""
     return df.select(*(F.col(f"`{n}`") for n in names))
