@@ -230,7 +230,25 @@ def op8_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"))
 
 
-@query()
+@query(rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format(t="coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM d WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, w.b FROM reached r JOIN both_ways w ON r.other = w.a
+), component AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN component USING (doc_id) LEFT JOIN n USING (doc_id)
+""")
 def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near.groups(table(spark, sf, "documents"), size=4)
 
@@ -241,6 +259,26 @@ def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return ppm.scores(table(spark, sf, "documents"), held_out)
 
 
-@query()
+@query("""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+starts AS (
+  SELECT rn, i, md5(substr(hx, 2 * i + 1, 800)) AS h
+  FROM (SELECT rn, hx, unnest(range(0, length(hx) // 2 - 399)) AS i FROM d WHERE length(hx) >= 800)
+), repeated AS (
+  SELECT rn, i FROM starts SEMI JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)
+), runs AS (
+  SELECT rn, i, sum(CASE WHEN i > before + 400 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY rn ORDER BY i) AS run
+  FROM (SELECT rn, i, lag(i) OVER (PARTITION BY rn ORDER BY i) AS before FROM repeated)
+), spans AS (SELECT rn, min(i) AS low, max(i) + 400 AS high FROM runs GROUP BY rn, run),
+pieces AS (SELECT rn, low, high, coalesce(lag(high) OVER (PARTITION BY rn ORDER BY low), 0) AS since FROM spans),
+kept AS (
+  SELECT rn, count(*) AS n_spans, sum(high - low) AS n_removed,
+    string_agg(substr(hx, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) || substr(any_value(hx), 2 * max(high) + 1) AS rest
+  FROM pieces JOIN d USING (rn) GROUP BY rn
+)
+SELECT doc_id, CAST(length(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, hx))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rn)
+""")
 def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf, "documents")).drop("kept")
