@@ -163,8 +163,8 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     The hub of a node is its smallest class. In a large node, the members near the hub join the hub's crowd, whichever
     tree they come from. Those close to the hub (an estimate of 0.75 at a threshold of 0.8) have all that they can be linked
-    with in the crowd and stay there; all others go on to child nodes. Nodes that are still large at the last level are
-    crowds as a whole.
+    with in the crowd and stay there; all others go on to child nodes, if the node has members that are not near the hub.
+    Nodes that are still large at the last level are crowds as a whole.
     """
     close, near = SKETCH * (105 - percent) // 200, _far(percent - 25)
     small = crowds = None
@@ -186,8 +186,11 @@ def _nodes(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         crowds = crowd if crowds is None else crowds.unionByName(crowd)
         if last:
             break
+        # Where all members are near the hub, the crowd has all their pairs, and there is nothing to go on for.
+        mixed = large.where(F.col("apart") > near).select("path").distinct()
+        going = large.where(F.col("apart") > close).join(mixed, "path", "left_semi")
         # one row per class for the join, whatever the number of its paths: at most two to the depth in each tree
-        going = large.where(F.col("apart") > close).groupBy("cid").agg(F.collect_list("path").alias("paths"))
+        going = going.groupBy("cid").agg(F.collect_list("path").alias("paths"))
         going = going.join(classes, "cid").select(F.explode("paths").alias("path"), "cid", "tokens", *BITS)
         rows = _branch(going, depth)
     if crowds is None:
