@@ -238,6 +238,20 @@ def _answer(kind, value_kind):
     return run
 
 
+def _word_answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """The counts of the words that packs asked one bucket for."""
+    hashes = np.frombuffer(known["keys"].iloc[0], np.uint64)
+    counts = np.frombuffer(known["counts"].iloc[0], np.int64)
+    found = [counts[np.searchsorted(hashes, np.frombuffer(keys, np.uint64))].tobytes() for keys in asked["keys"]]
+    return pd.DataFrame({"pack": asked["pack"], "keys": asked["keys"], "values": found})
+
+
+def _word_answers(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """As `_answers`. A word's bucket is random, so what all packs ask a bucket for is as much as a few packs hold."""
+    rows = asked.select("pack", "bucket", "keys").groupBy("bucket").cogroup(vocabulary.groupBy("bucket"))
+    return rows.applyInPandas(_word_answer, "pack long, keys binary, values binary").withColumn("what", F.lit("words"))
+
+
 def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str) -> DataFrame:
     """What each pack asked for: (pack, what, keys, values)."""
     known = known.select("bucket", F.col("keys").alias("all_keys"), "values")
@@ -309,8 +323,6 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     vocabulary = materialise(_merged(words, np.uint64), "vocabulary")
     totals = vocabulary.mapInPandas(_totals, "tokens long, kinds long").agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = totals[0] or 0, totals[1] or 0
-    known = vocabulary.withColumnRenamed("counts", "values")
-
     codes = materialise(packs.mapInPandas(_ask_codes(code_buckets), ASKED), "asked-codes")
     trie = materialise(_merged(codes, np.uint32), "trie")
     first = np.zeros((256, 256), np.int64)
@@ -318,7 +330,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         first[row["pair"] >> 8, row["pair"] & 0xFF] = row["n"]  # at most 65,536 rows
     model = trie.mapInPandas(_model(docs.sparkSession.sparkContext.broadcast(first)), VALUES)
 
-    answers = _answers(words, known, np.uint64, np.int64, "words").unionByName(
+    answers = _word_answers(words, vocabulary).unionByName(
         _answers(codes, model, np.uint32, np.float64, "codes")
     )
     kind = rows.schema["id"].dataType
