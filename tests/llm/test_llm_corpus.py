@@ -165,6 +165,19 @@ def test_repeats_of_crowded_anchors_take_the_exact_way(spark, monkeypatch):
     assert got == dict(enumerate(brute_repeats([t.encode() for t in texts])))
 
 
+def test_crowded_anchors_keep_text_beside_a_run(spark, monkeypatch):
+    """Every place of a run is an anchor of one hash, so contexts of one place hold the same strings."""
+    rng = random.Random(8)
+    noise = lambda: "".join(rng.choice("abcdefgh ") for _ in range(900))
+    texts = [noise() + "z" * 500 + noise(), noise() + "xy" * 250 + noise(), noise() + "z" * 390 + noise()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = dict(enumerate(brute_repeats([t.encode() for t in texts])))
+    for crowd in (3, repeats.CROWD):
+        monkeypatch.setattr(repeats, "CROWD", crowd)
+        rows = repeats.without_repeats(docs).collect()
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows} == expected
+
+
 def test_anchors_do_not_depend_on_pieces(monkeypatch):
     data = random.Random(1).randbytes(9000)
     whole = repeats.anchors(data)

@@ -294,19 +294,26 @@ def _merge_contexts(group: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out)
 
 
+STRINGS = "anchor long, context long, pack long, doc long, start long, ahead long, string binary"
+
+
 def _all_strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Every string of the contexts of crowded anchors, as a hash: the exact way without sorting."""
     for batch in batches:
         out = []
-        for anchor, context, before, data in zip(batch["anchor"], batch["context"], batch["before"], batch["bytes"]):
+        for anchor, context, pack, doc, at, before, data in batch[[c.split()[0] for c in CONTEXTS.split(", ")]].itertuples(index=False):
             for i in range(min(before, len(data) - LENGTH) + 1):
-                out.append((anchor, context, before - i, xxhash.xxh3_128_digest(data[i:i + LENGTH])))
-        yield pd.DataFrame(out, columns=["anchor", "context", "ahead", "string"])
+                string = xxhash.xxh3_128_digest(data[i:i + LENGTH])
+                out.append((anchor, context, pack, doc, at - before + i, before - i, string))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in STRINGS.split(", ")])
 
 
 def _crowded(contexts: DataFrame) -> DataFrame:
-    strings = contexts.mapInPandas(_all_strings, "anchor long, context long, ahead long, string binary")
-    twice = strings.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1")
+    """As `covered`. A string counts as repeated if it starts at two places, not if two contexts hold one place."""
+    strings = contexts.mapInPandas(_all_strings, STRINGS)
+    place = ("pack", "doc", "start")
+    twice = strings.groupBy("anchor", "string").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in place for f in (F.min, F.max)))
+    twice = twice.where(" OR ".join(f"min_{c} < max_{c}" for c in place)).select("anchor", "string")
     return (
         strings.join(twice, ["anchor", "string"]).groupBy("anchor", "context")
         .agg(F.max("ahead").alias("left"), (LENGTH - F.min("ahead")).alias("right"))
