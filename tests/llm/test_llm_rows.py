@@ -244,6 +244,20 @@ def test_blocks_reach_aliases_unless_an_alias_is_allowed(spark):
                    10: "block", 11: "block"}
 
 
+def test_rules_reach_pages_through_urls_without_a_page(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://b.net/1"), (2, "http://c.net/2"), (3, "http://d.net/3"), (4, "http://e.net/4"), (5, "http://a.com/de/9")],
+        "page_id long, url string",
+    )
+    chains = [
+        ("http://b.net/1", "http://x.net/hop"), ("http://x.net/hop", "https://www.a.com/de/1/"), ("http://a.com/de/2", "http://c.net/2"),
+        ("http://d.net/3", "http://a.com/de/3"), ("http://f.com/fr/3", "http://d.net/3"), ("http://e.net/4", "http://y.net/"),
+        (None, "http://a.com/de/5"), ("http://z.net/", None),
+    ]
+    got = urls.verdicts(pages, RULES, spark.createDataFrame(chains, "source string, target string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "block"}
+
+
 def test_mixing_meets_targets_and_reruns_agree(spark):
     rows = [(i, "w " * (i % 50 + 1), "abc"[i % 3] if i % 10 else "big") for i in range(600)] + [(None, "x y", None), (7, None, None)]
     docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, source string, size int, target string")

@@ -2,7 +2,8 @@
 
 Urls that lead to the same page are one class: those that differ only in scheme, `www.`, trailing slash, index page,
 fragment or tracking parameters, and those tied by a canonical link or a redirect. A url that a rule fits has that
-rule's verdict. Any other url is blocked if a block rule fits some alias of its class and no allow rule fits any.
+rule's verdict. Any other url is blocked if a block rule fits some alias of its class and no allow rule fits any; aliases
+that have no page of their own count as well.
 """
 
 from collections.abc import Sequence
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.llm.components import components
 from tidemart.llm.text import ascii_lower, free_name
+from tidemart.sources.scratch import materialise
 
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
@@ -87,6 +89,13 @@ def rule_of(url: Column, rules: Sequence[Rule]) -> Column:
     return F.array_max(F.array_compact(F.array(empty, *fitting)))
 
 
+def _explicit(judged: DataFrame, found: str, key: str) -> DataFrame:
+    """`node`, `verdict` of the rows that a rule fits."""
+    return judged.where(F.col(found).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("node"), F.col(f"{found}.verdict").alias("verdict")
+    )
+
+
 def verdicts(
     pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None, url_col: str = "url"
 ) -> DataFrame:
@@ -99,13 +108,15 @@ def verdicts(
     url = F.col(f"`{url_col}`")
     found, key = free_name(pages, "found"), free_name(pages, "alias")
     judged = pages.withColumns({found: rule_of(url, rules), key: F.md5(alias_key(url))})
-    explicit = judged.where(F.col(found).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(key).alias("node"), F.col(f"{found}.verdict").alias("verdict")
-    )
+    explicit = _explicit(judged, found, key)
     node = free_name(pages, "node")
     if redirects is None:
         judged = judged.withColumnRenamed(key, node)
     else:
+        redirects = materialise(redirects.select("source", "target"), "redirects")
+        ends = redirects.select(F.explode(F.array("source", "target")).alias("url"))
+        ends = ends.select(rule_of(F.col("url"), rules).alias(found), F.md5(alias_key(F.col("url"))).alias(key))
+        explicit = explicit.unionByName(_explicit(ends, found, key))
         labels = components(
             redirects.select(F.md5(alias_key(F.col("source"))).alias("a"), F.md5(alias_key(F.col("target"))).alias("b"))
         )
