@@ -109,6 +109,17 @@ def test_main_text_between_surge_and_dive():
     assert html.main_text(page)[0] == " ".join([*body[:2], "Yes.", *body[2:]])
 
 
+def test_main_text_outside_light_marks_and_around_adverts():
+    body = [f"Sentence number {i} of a long article that goes on for quite a while and then some more." for i in range(9)]
+    teasers = "".join(f"<article><h3>Teaser {i}</h3></article>" for i in range(2))
+    page = "".join(f"<p>{b}</p>" for b in body)
+    assert html.main_text(f"<div>{page}</div><a href=x>More</a>{teasers}")[0].startswith(" ".join(body))
+    assert "Teaser" not in html.main_text(f"<div>{page}</div>" + "<div><a href=x>More</a></div>" * 3 + teasers)[0]
+    advert = "<div class=ad><p>Buy</p><p>this</p><p>now</p><p>here</p></div>"
+    assert html.main_text(page + advert + "<p>The end.</p>")[0] == " ".join([*body, "The end."])
+    assert html.main_text(f"<p>Some text beside.</p><article>{page}</article>{'<p>' + body[0] + '</p>'}")[0] == " ".join(body)
+
+
 def test_unclosed_paragraphs_end_at_the_next_block():
     assert html.main_text("<article><p class=ad>Buy<div>Text <i>goes</i> on</div><li>one<li>two</article>")[0] == "Text goes on one two"
 
