@@ -25,8 +25,13 @@ TREES, DEPTH, LEAF, BINS = 31, 7, 4, 32
 LIMIT = 0.5
 MASK = "[SECRET]"
 
-_CANDIDATE = re.compile(r"[A-Za-z0-9_+/-]{12,}={0,2}")
-_OPENING = re.compile(r"""([A-Za-z0-9_.-]*)\s{0,2}(:=|=>|[=:])\s{0,2}["'`]?$""")
+#: Dots join what they stand in, and one of the parts is long.
+_CANDIDATE = re.compile(r"[A-Za-z0-9_+/-]+(?:[.][A-Za-z0-9_+/-]+)*={0,2}")
+_LONG = re.compile(r"[A-Za-z0-9_+/-]{12}")
+_OPENING = re.compile(r"""([A-Za-z0-9_.-]*)["'`]?\s{0,2}(:=|=>|[=:])\s{0,2}["'`]?$""")
+_ASSIGNMENT = re.compile(r"""(?::=|=>|[=:])\s{0,2}(["'`]?)""")
+#: The value of an assignment, by the quote it opens with.
+_VALUE = {"": re.compile(r"""[^\s"'`]{6,}""")} | {q: re.compile(rf"[^\r\n{q}]{{6,200}}(?={q})") for q in "\"'`"}
 _WORDS = re.compile(r"[A-Za-z]{2,}")
 
 #: Names that announce a secret.
@@ -45,12 +50,12 @@ DICTIONARY = tuple(
 _DICTIONARY = re.compile("|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), re.I)
 _PROVIDER = re.compile(
     r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,}"
-    r"|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+[.][A-Za-z0-9_-]+"
 )
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "marks", "entropy", "transitions", "longest_run", "repeats", "is_hex",
-    "dictionary", "assigned", "key_word", "key_near", "quoted", "path_parts", "glued",
+    "dictionary", "assigned", "key_word", "key_near", "quoted", "path_parts", "glued", "provider",
 )
 
 
@@ -87,25 +92,49 @@ def describe(text: str, start: int, end: int) -> list[float]:
         float(before[-1:] in ("'", '"', "`")),
         float(value.count("/") + value.count("-")),
         float(before[-1:] in ("@", ".", "/", ":") or after[:1] in ("@", "/", ".") and after[1:2].isalnum()),
+        float(_PROVIDER.search(value) is not None),
     ]
 
 
-def candidates(text: str | None) -> list[tuple[int, int]]:
-    """Character ranges of the strings of a text that could be secrets: long enough and with a digit, or after an
-    assignment."""
-    found = []
-    for m in _CANDIDATE.finditer(text or ""):
-        if any(c.isdigit() for c in m[0]) or _OPENING.search(text[max(0, m.start() - 48):m.start()]):
-            found.append(m.span())
+def _assigned(text: str) -> list[tuple[int, int]]:
+    """The values that are assigned to names with `KEY_WORDS`, up to the quote or white space."""
+    found: list[tuple[int, int]] = []
+    for m in _ASSIGNMENT.finditer(text):
+        if found and m.start() < found[-1][1]:
+            continue
+        opening = _OPENING.search(text[max(0, m.end() - 48):m.end()])
+        if opening and _context_words(opening[1]) & KEY_WORDS:
+            value = _VALUE[m[1]].match(text, m.end()) or _VALUE[""].match(text, m.end())
+            length = len(value[0].rstrip(",;.)]}")) if value else 0
+            if length >= 6:
+                found.append((m.end(), m.end() + length))
     return found
 
 
+def candidates(text: str | None) -> list[tuple[int, int]]:
+    """Character ranges of the strings of a text that could be secrets, in order: assigned to a name that announces one, or
+    long enough and with a digit or after any assignment."""
+    text = text or ""
+    found = _assigned(text)
+    for m in _CANDIDATE.finditer(text):
+        if m.end() - m.start() >= 12 and _LONG.search(m[0]):
+            if any(c.isdigit() for c in m[0]) or _OPENING.search(text[max(0, m.start() - 48):m.start()]):
+                found.append(m.span())
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(found):
+        if out and low < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
 def weak_label(text: str, start: int, end: int) -> int | None:
     """1 or 0 where shape or context alone decide, else None."""
-    value, row = text[start:end], dict(zip(FEATURES, describe(text, start, end)))
+    row = dict(zip(FEATURES, describe(text, start, end)))
     if row["dictionary"] > 0.4 or row["repeats"] > 0.5 or row["entropy"] < 2.2 or row["digits"] == 1 or row["digits"] == 0:
         return 0
-    if _PROVIDER.fullmatch(value) or (row["assigned"] and row["key_word"]):
+    if row["provider"] or (row["assigned"] and row["key_word"]):
         return 1
     return 0 if row["glued"] or not (row["assigned"] or row["key_near"]) and row["transitions"] < 0.2 else None
 
@@ -118,6 +147,12 @@ SEED_FINDINGS: tuple[tuple[str, str, int], ...] = (
     ("api_key: c3VwZXJzZWNyZXQtMTIz", "c3VwZXJzZWNyZXQtMTIz", 1),
     ("auth ghp_1a2B3c4D5e6F7g8H9i0J1k2L3m4N5o6P7q8R", "ghp_1a2B3c4D5e6F7g8H9i0J1k2L3m4N5o6P7q8R", 1),
     ("secret=5d41402abc4b2a76b9719d91", "5d41402abc4b2a76b9719d91", 1),
+    ("password=Xq27eLm9", "Xq27eLm9", 1),
+    ('password="Tr@v3l!2031"', "Tr@v3l!2031", 1),
+    ("pass: k3yr1ng.V4lu3", "k3yr1ng.V4lu3", 1),
+    ("sent eyJhbGciOiJub25lIn0.eyJpZCI6NDd9.Zk3tPq81sWm0 along", "eyJhbGciOiJub25lIn0.eyJpZCI6NDd9.Zk3tPq81sWm0", 1),
+    ("password: please enter", "please", 0),
+    ("see www.example-store24.com/index there", "www.example-store24.com/index", 0),
     ("card 4556737586899855 was paid", "4556737586899855", 0),
     ("password=changeme12345", "changeme12345", 0),
     ("see example-page-number-12 there", "example-page-number-12", 0),
