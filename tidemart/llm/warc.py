@@ -2,8 +2,8 @@
 
 Archives are written by Spark's text writer with the record separator as line separator, so they go to any store that
 Spark can write to. The reader checks each record (version line, header, length, digest, end mark). After a failed
-check it searches for the next version line, or the next gzip member, that begins a valid record, goes on there and
-reports the bytes between as a gap.
+check it searches for the next version line, or the next gzip member, that begins a valid record, whichever comes first,
+goes on there and reports the bytes between as a gap.
 """
 
 import base64
@@ -163,28 +163,41 @@ def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
     return (content, len(data) - len(reader.unused_data)) if reader.eof else None
 
 
+def _holds_record(content: bytes) -> bool:
+    return any(not why for _, _, why, _, _ in _plain(content, 0))
+
+
 def salvage(data: bytes) -> Iterator[Part]:
-    """Records and gaps of one archive, plain or with gzip members, in order."""
-    if data[:2] != _GZIP[:2] and (_VERSION.match(data) or _GZIP not in data):
-        yield from _plain(data, 0)
-        return
-    at, bad = 0, None
+    """Records and gaps of one archive, of plain records and gzip members in any order."""
+    at, bad, why = 0, None, ""
+    version = member = -1  # the next places where a record can begin, at or after `at`
     while at < len(data):
-        found = _member(data, at) if data[at:at + 3] == _GZIP else None
-        if found is None or (bad is not None and not _VERSION.match(found[0])):
-            bad = at if bad is None else bad
-            after = data.find(_GZIP, at + 1)
-            at = after if after >= 0 else len(data)
+        zipped = data[at:at + 3] == _GZIP
+        found = _member(data, at) if zipped else _record(data, at)
+        # after a failed check a member must hold a record: payloads have members of their own
+        if found is None or isinstance(found, str) or (zipped and bad is not None and not _holds_record(found[0])):
+            if bad is None:
+                bad, why = at, found if isinstance(found, str) else "damaged member"
+            if version <= at:
+                after = _VERSION.search(data, at + 1)
+                version = after.start() if after else len(data)
+            if member <= at:
+                member = data.find(_GZIP, at + 1)
+                member = len(data) if member < 0 else member
+            at = min(version, member)
             continue
         if bad is not None:
-            yield bad, at - bad, "damaged member", {}, b""
+            yield bad, at - bad, why, {}, b""
             bad = None
-        content, end = found
-        for _, length, why, headers, block in _plain(content, 0, fixed=at):
-            yield at, end - at if not why else length, why, headers, block
+        end = found[-1]
+        if zipped:
+            for _, length, fault, headers, block in _plain(found[0], 0, fixed=at):
+                yield at, end - at if not fault else length, fault, headers, block
+        else:
+            yield at, end - at, "", found[0], found[1]
         at = end
     if bad is not None:
-        yield bad, len(data) - bad, "damaged member", {}, b""
+        yield bad, len(data) - bad, why, {}, b""
 
 
 READ = (
