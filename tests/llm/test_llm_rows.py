@@ -88,6 +88,15 @@ def test_decontamination_in_any_number_of_blocks(spark, block):
     assert decontam.remove(docs, bench.limit(0)).count() == 7
 
 
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_items_without_id_contaminate(spark, block):
+    docs = spark.createDataFrame([(1, "it has No Id at all!"), (2, "no id, at all; tiny item"), (3, "no id")], "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.contamination(docs, bench, block=block).collect()}
+    assert found == {1: (4, [None]), 2: (6, ["10", "2", None]), 3: (0, [])}
+    assert [r["doc_id"] for r in decontam.remove(docs, bench, block=block).collect()] == [3]
+
+
 PAGE = """<html><head><title>Title</title><style>p{}</style></head><body class="has-sidebar">
 <header class="site-header"><a href="/">Home</a></header><nav><li>Menu</li></nav>
 <div id="cookie-notice">We use cookies</div><div class="ad">Buy</div>

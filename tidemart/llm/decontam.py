@@ -47,9 +47,9 @@ def _grams(size: int):
 class Grams:
     """One block of the benchmark: the n-grams as tuples of word numbers, and the items each belongs to."""
 
-    def __init__(self, rows: list[tuple[str, bytes]]):
+    def __init__(self, rows: list[tuple[str | None, bytes]]):
         self.ids: dict[bytes, int] = {}
-        self.items: dict[bytes, list[str]] = {}
+        self.items: dict[bytes, list[str | None]] = {}
         self.lengths: list[int] = []
         lengths = set()
         for item, gram in rows:
@@ -59,7 +59,7 @@ class Grams:
             self.items.setdefault(coded.tobytes(), []).append(item)
         self.lengths = sorted(lengths)
 
-    def find(self, tokens: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def find(self, tokens: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Word ranges that some n-gram covers, merged, and the items found."""
         coded = np.fromiter(map(self.ids.get, tokens, repeat(0)), dtype=np.int32, count=len(tokens))
         known = np.concatenate(([0], np.cumsum(coded > 0)))
@@ -84,6 +84,10 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _in_order(items: set[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda item: (item is None, item or ""))
+
+
 FOUND = struct(n_words=LONG, n_hit=LONG, spans=array(struct(start=LONG, end=LONG)), items=array(STRING))
 
 
@@ -100,7 +104,7 @@ def _scan(block):
                 if ranges:  # from word numbers to characters of the text
                     at = [m.span() for m in _WORD.finditer(text)]
                     spans = [{"start": at[low][0], "end": at[high - 1][1]} for low, high in ranges]
-                rows.append((len(tokens), sum(high - low for low, high in ranges), spans, sorted(items)))
+                rows.append((len(tokens), sum(high - low for low, high in ranges), spans, _in_order(items)))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "items"])
 
     return scan
@@ -113,7 +117,7 @@ def _joined(texts: pd.Series, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFr
     for text, n_words, a, b, x, y in zip(texts, old["n_words"], old["spans"], new["spans"], old["items"], new["items"]):
         spans = merged([(s["start"], s["end"]) for s in [*a, *b]])
         n_hit = sum(len(_WORD.findall(text, low, high)) for low, high in spans)
-        rows.append((n_words, n_hit, [{"start": s, "end": e} for s, e in spans], sorted({*x, *y})))
+        rows.append((n_words, n_hit, [{"start": s, "end": e} for s, e in spans], _in_order({*x, *y})))
     return pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "items"])
 
 
@@ -121,7 +125,7 @@ def gram_blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int, blo
     """The distinct (item, gram) pairs with a block number, and the number of blocks."""
     items = pick(benchmark, id_col, text_col).select(
         F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").alias("text")
-    ).where("item IS NOT NULL")
+    )
     pairs = items.mapInPandas(_grams(size), "item string, gram binary").distinct()
     pairs = materialise(pairs, "grams")
     blocks = max(1, -(-pairs.count() // block))
@@ -135,8 +139,8 @@ def with_hits(
     """`docs` with the struct column `into`: `n_words`, `n_hit` words inside a benchmark window, character `spans` of
     the hits, and the `items` they come from, as sorted strings.
 
-    NULL and empty texts, of documents and items, have no words and no hits. Items without id are ignored. An
-    item of fewer words than a window is one window as a whole. Repeated rows are scanned each for itself.
+    NULL and empty texts, of documents and items, have no words and no hits. Items without id hit like others, and
+    together stand as one NULL at the end of `items`. An item of fewer words than a window is one window as a whole. Repeated rows are scanned each for itself.
     """
     spark: SparkSession = in_small_batches(docs).sparkSession
     pairs, blocks = gram_blocks(benchmark, item_col, item_text_col, size, block)
