@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, mixing, near, ppm, quality, repeats, secrets, urls, warc
+from tidemart.llm import decontam, html, merkle, mixing, near, ppm, quality, repeats, secrets, urls, warc
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,3 +282,54 @@ FROM d LEFT JOIN kept USING (rn)
 """)
 def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+_PART = "CASE WHEN {v} IS NULL THEN '-' ELSE octet_length(encode(CAST({v} AS VARCHAR))) || ':' || {v} END"
+_LEAF = "sha256(" + " || ".join(_PART.format(v=c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+_CRC32 = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[],
+    lambda r, k: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b)), 4294967295::BIGINT), 4294967295)"""
+_RUN = """SELECT level, tree, spot // 8 AS run, list(digest ORDER BY spot) AS ds FROM {levels} WHERE n > 1 GROUP BY level, tree, spot // 8"""
+_STEP = """SELECT rn, w.level + 1, w.tree, w.spot // 8, (n + 7) // 8,
+    sha256(array_to_string(list_transform(ds, lambda d, i: CASE WHEN i = spot % 8 + 1 THEN acc ELSE d END), '')),
+    proof || array_to_string(list_filter(ds, lambda d, i: i <> spot % 8 + 1), '')
+  FROM {walk} w JOIN {runs} r ON w.level = r.level AND w.tree = r.tree AND w.spot // 8 = r.run WHERE n > 1"""
+
+
+@query(rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rn, *, CASE WHEN {_CRC32} % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS later
+  FROM documents
+), h AS (
+  SELECT rn, doc_id, lang, {_LEAF.format(text="text")} AS leaf, {_LEAF.format(text="later")} AS found FROM d
+), p AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rn) - 1 AS spot
+  FROM h
+), inner_levels AS (
+  SELECT 0 AS level, tree, spot, n, leaf AS digest FROM p
+  UNION ALL
+  SELECT level + 1, tree, spot // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY spot))
+  FROM inner_levels WHERE n > 1 GROUP BY level, tree, n, spot // 8
+), subroots AS (SELECT tree, digest FROM inner_levels WHERE n = 1),
+top_levels AS (
+  SELECT 0 AS level, 0 AS tree, tree AS spot, count(*) OVER () AS n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, tree, spot // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY spot))
+  FROM top_levels WHERE n > 1 GROUP BY level, tree, n, spot // 8
+), inner_runs AS ({_RUN.format(levels="inner_levels")}), top_runs AS ({_RUN.format(levels="top_levels")}),
+inner_walk AS (
+  SELECT rn, 0 AS level, tree, spot, n, found AS acc, '' AS proof FROM p
+  UNION ALL {_STEP.format(walk="inner_walk", runs="inner_runs")}
+), top_walk AS (
+  SELECT rn, 0 AS level, 0 AS tree, tree AS spot, (SELECT count(*) FROM subroots) AS n, acc, proof FROM inner_walk WHERE n = 1
+  UNION ALL {_STEP.format(walk="top_walk", runs="top_runs")}
+)
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+  acc = r.digest AS verified
+FROM p JOIN subroots s USING (tree) JOIN (SELECT rn, acc, proof FROM top_walk WHERE n = 1) w USING (rn),
+  (SELECT digest FROM top_levels WHERE n = 1) r
+""")
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf, "documents"), changed={"text": merkle.lowered_third()})
