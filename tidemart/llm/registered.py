@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, merkle, mixing, near, ppm, quality, repeats, secrets, urls, warc
+from tidemart.llm import decontam, html, merkle, mixing, near, ppm, quality, repeats, secrets, urls, warc, whitening
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -333,3 +333,8 @@ FROM p JOIN subroots s USING (tree) JOIN (SELECT rn, acc, proof FROM top_walk WH
 """)
 def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(table(spark, sf, "documents"), changed={"text": merkle.lowered_third()})
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
