@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontam, html, merkle, mixing, near, ppm, quality, repeats, secrets, urls, warc, whitening
+from tidemart.llm import copies, decontam, html, merkle, mixing, near, ppm, quality, repeats, secrets, urls, warc, whitening
 from tidemart.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -338,3 +338,23 @@ def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, {_WORDS} AS ws FROM documents),
+starts AS (
+  SELECT rn, doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h
+  FROM (SELECT rn, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d WHERE len(ws) >= 13)
+), late AS (
+  SELECT rn, i FROM starts JOIN (SELECT h, min(doc_id) AS low FROM starts GROUP BY h) USING (h) WHERE low < doc_id
+), gone AS (SELECT DISTINCT rn, i + k AS at_word FROM late, (SELECT unnest(range(13)) AS k)),
+words AS (SELECT rn, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS at_word FROM d),
+kept AS (
+  SELECT rn, count(*) AS n, string_agg(w, ' ' ORDER BY at_word) AS text FROM words ANTI JOIN gone USING (rn, at_word) GROUP BY rn
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rn)
+""")
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return copies.without_copies(table(spark, sf, "documents")).drop("spans", "kept")
