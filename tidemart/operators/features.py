@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,9 +10,9 @@ from pyspark.sql.types import StructType
 
 from tidemart.operators.asof import Lookup, point_in_time_joins
 from tidemart.operators.ordered import GROUP_ROWS, latest_per_key
-from tidemart.sources.readers import path_exists
 from tidemart.sources.scratch import materialise
-from tidemart.sources.tables import add_rows, fold, read_table
+from tidemart.sources.store import Store
+from tidemart.sources.tables import add_rows, fold, read_reduced, read_table
 
 # --- definitions -------------------------------------------------------------------------------
 
@@ -159,11 +159,15 @@ def parse_ref(ref: str) -> tuple[str, str]:
 
 @dataclass(frozen=True)
 class FeatureRepo:
-    """The views and services that belong together, and where their latest values are kept."""
+    """The views and services that belong together, and where their latest values are kept, in so many buckets of keys.
+
+    A fold rewrites a bucket as a whole, so choose as many as make a bucket some hundred MB.
+    """
 
     views: tuple
     services: tuple = ()
     store: str | None = None
+    buckets: int = 8
 
     def view(self, name: str):
         for view in self.views:
@@ -271,22 +275,29 @@ def _store_path(view: FeatureView, repo: FeatureRepo) -> str:
     return f"{repo.store}/latest/{view.name}"
 
 
-def upsert_latest(df: DataFrame, path: str) -> None:
+def upsert_latest(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 8) -> None:
     """Offer rows to a latest-value table.
 
     Rows carry their time, so they are only added here; readers take the newest per key and
-    `compact_latest` rewrites the table to one row per key. A repeated upsert changes nothing.
+    `compact_latest` brings the buckets they fall into to one row per key. A repeated upsert changes nothing.
     """
-    add_rows(df, path)
+    add_rows(df, path, keys=keys, buckets=buckets)
+
 
+def _newest(keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    return lambda rows: latest_per_key(rows, list(keys), list(order))
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
-    rows = read_table(spark, path)
-    return None if rows is None else latest_per_key(rows, list(keys), list(order))
+
+def read_latest(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], wanted: DataFrame | None = None
+) -> DataFrame | None:
+    """One row per key. With `wanted`, a DataFrame of keys, only buckets that can hold them are opened, and only their rows come."""
+    rows = read_reduced(spark, path, _newest(keys, order), wanted)
+    return rows if rows is None or wanted is None else rows.join(wanted.select(*keys), list(keys), "left_semi")
 
 
 def compact_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
-    return fold(spark, path, lambda rows: latest_per_key(rows, list(keys), list(order)))
+    return fold(spark, path, _newest(keys, order))
 
 
 def materialize_incremental(
@@ -309,17 +320,27 @@ def materialize_incremental(
         rows = view.typed(view_history(spark, view, repo)).filter(ts <= F.lit(end).cast("timestamp"))
         if start is not None:
             rows = rows.filter(ts > F.lit(start).cast("timestamp"))
-        upsert_latest(latest_per_key(rows, list(view.entity.join_keys), view.order), path)
-        marks = spark.createDataFrame([(end,)], "end timestamp")
-        marks.coalesce(1).write.mode("append").parquet(f"{path}/marks")
+        upsert_latest(latest_per_key(rows, list(view.entity.join_keys), view.order), path, view.entity.join_keys, repo.buckets)
+        _mark(spark, path, end)
         done[view.name] = (start, end)
     return done
 
 
+#: How the end of a load is written in a file name.
+MARK = "%Y%m%dT%H%M%S.%f"
+
+
+def _mark(spark: SparkSession, path: str, end: datetime) -> None:
+    """Record that rows up to `end` are loaded. A later mark replaces earlier ones."""
+    utc = end.astimezone(timezone.utc) if end.tzinfo else end
+    store, name = Store(spark, path), utc.strftime(MARK)
+    if name not in store.names(f"{path}/marks"):
+        store.create(f"{path}/marks/{name}")
+
+
 def _last_end(spark: SparkSession, path: str) -> datetime | None:
-    if not path_exists(spark, f"{path}/marks"):
-        return None
-    return spark.read.schema("end timestamp").parquet(f"{path}/marks").agg(F.max("end")).first()[0]
+    marks = [datetime.strptime(n, MARK) for n in Store(spark, path).names(f"{path}/marks") if not n.startswith(".")]
+    return max(marks, default=None)
 
 
 def latest_features(
@@ -333,13 +354,16 @@ def latest_features(
     result = keys_df
     for view, features in stored.values():
         keys = list(view.entity.join_keys)
-        rows = read_table(spark, _store_path(view, repo))
-        if rows is None:
+        # Other keys' rows are left out first; Spark plans the semi join by size.
+        asked = keys_df.select(*keys)
+        latest = read_reduced(
+            spark, _store_path(view, repo),
+            lambda rows: latest_per_key(rows.join(asked, keys, "left_semi"), keys, view.order),
+        )
+        if latest is None:
             nulls = {f.name: F.lit(None).cast(f.dataType) for f in view.schema if f.name in features}
             result = result.withColumns(nulls)
             continue
-        # Other keys' rows are left out first; Spark plans the semi join by size.
-        latest = latest_per_key(rows.join(keys_df.select(*keys), keys, "left_semi"), keys, view.order)
         result = result.join(latest.select(*keys, *features), keys, "left")
     for view in on_demand:
         result = view.add_to(result)
@@ -374,4 +398,5 @@ def push(
         add_rows(rows, _history_path(fed[0], repo), None if batch is None else source, batch)
     if to in ("latest", "both"):
         for view in fed:
-            upsert_latest(latest_per_key(view.typed(df), list(view.entity.join_keys), view.order), _store_path(view, repo))
+            keys = view.entity.join_keys
+            upsert_latest(latest_per_key(view.typed(df), list(keys), view.order), _store_path(view, repo), keys, repo.buckets)

@@ -7,7 +7,7 @@ from tidemart.functions.scalars import decode_decimal
 from tidemart.operators.changes import apply_changes, change_delta, parse_change_events
 from tidemart.plans.registered.base import events, query, table
 from tidemart.sources.scratch import scratch_path
-from tidemart.streaming.changes import compact_changes, current_rows, stream_changes
+from tidemart.streaming.changes import add_changes, compact_changes, current_rows, stream_changes
 from tidemart.streaming.sources import accepted, event_time, parse_json, read_event_files, read_parquet_stream, rejected
 from tidemart.streaming.windows import lag, order_within_partition, windowed_orders, write_stream_parquet
 
@@ -179,6 +179,21 @@ def change_stream_restart(spark, sf):
     return current_rows(spark, path)
 
 
+@query(f"""SELECT user_id AS id, event_type AS status, {_SIGNED} AS amount FROM (SELECT *, ROW_NUMBER() OVER
+ (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events WHERE event_id % 3 < 2 OR user_id % 10 < 2) t
+ WHERE n = 1 AND event_type <> 'error' AND user_id % 4 = 1""")
+def change_table_buckets(spark, sf):
+    """Three loads of changes, the last for a few keys, folds of the buckets they touch, and a read of some keys."""
+    path, parsed = scratch_path(spark, "bucketed-changes"), parse_change_events(change_json(spark, sf), ROW, DECIMALS)
+    key = F.coalesce("after.id", "before.id")
+    for load, part in enumerate((F.col("lsn") % 3 == 0, F.col("lsn") % 3 == 1, (F.col("lsn") % 3 == 2) & (key % 10 < 2))):
+        add_changes(parsed.filter(part), path, "id", "loads", load, buckets=16)
+        if load != 1:
+            compact_changes(spark, path)
+    asked = events(spark, sf).filter("user_id % 4 = 1").select(F.col("user_id").alias("key")).distinct()
+    return current_rows(spark, path, asked)
+
+
 @query(f"SELECT event_id, {_SIGNED} AS amount FROM events")
 def base64_decimals(spark, sf):
     cents = F.round(F.col("value") * 100).cast("long") * F.when(F.col("event_type") == "click", -1).otherwise(1)
