@@ -1,9 +1,10 @@
 """Star schema over the order tables: joins, mart, dashboard queries and dimension history."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemart.functions.scalars import date_key, with_defaults
 from tidemart.operators import dimensions as d, gold
+from tidemart.operators.marts import Mart, fold_mart, read_mart, update_mart
 from tidemart.plans.registered.base import query, table
 from tidemart.plans.warehouse import build_mart, load_dimension
 from tidemart.sources.scratch import scratch_path
@@ -200,3 +201,113 @@ def revenue_by_customer(spark, sf):
         F.col("c_name").alias("customer_name"), F.lit(True).alias("is_current"),
     )
     return gold.revenue_by_customer(fact(spark, sf), people)
+
+
+# --- days with orders of a customer, told out of order ---------------------------------------------
+
+
+def told_days(spark, sf) -> DataFrame:
+    """A city per customer and day with orders, numbered by day in `n` of `days`."""
+    days = table(spark, sf, "orders").groupBy(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("effective_date")
+    ).agg(F.max("o_orderpriority").alias("city"))
+    of = Window.partitionBy("customer_id")
+    return days.select("*", F.row_number().over(of.orderBy("effective_date")).alias("n"), F.count(F.lit(1)).over(of).alias("days"))
+
+
+def opening_dim(spark, sf, days: DataFrame) -> DataFrame:
+    """Customers as of their second day, or the only one."""
+    base = days.filter(F.col("n") == F.least(F.lit(2), "days")).join(
+        table(spark, sf, "customer"), F.col("customer_id") == F.col("c_custkey")
+    ).select(
+        "customer_id", F.col("c_name").alias("full_name"), "city", F.col("c_mktsegment").alias("segment"), "effective_date",
+        F.lit(None).cast("date").alias("end_date"), F.lit(None).cast("string").alias("previous_city"), F.col("city").alias("current_city"),
+    )
+    return d.assign_keys(with_defaults(base, {"current_flag": True}), ["customer_id"], "customer_key")
+
+
+_TOLD = """days AS (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS day, max(o_orderpriority) AS p FROM orders
+ SEMI JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY day) AS n, count(*) OVER (PARTITION BY customer_id) AS cnt FROM days),
+ early AS (SELECT *, n = least(2, cnt) AS base, lag(p) OVER (PARTITION BY customer_id ORDER BY day) AS before FROM placed
+  WHERE n = least(2, cnt) OR (n > 2 AND n % 2 = 0)),
+ first_load AS (SELECT customer_id, day, p, row_number() OVER (ORDER BY NOT base, customer_id, day) AS key FROM early WHERE base OR p <> before),
+ every AS (SELECT customer_id, day, p, key FROM first_load UNION ALL
+  SELECT customer_id, day, p, NULL FROM placed WHERE (n = 1 AND cnt > 1) OR (n > 2 AND n % 2 = 1)),
+ marked AS (SELECT *, lag(p) OVER (PARTITION BY customer_id ORDER BY day) IS DISTINCT FROM p AS opens FROM every),
+ numbered AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id ORDER BY day) AS run FROM marked),
+ runs AS (SELECT customer_id, run, min(day) AS start, any_value(p) AS p, max(key) AS key FROM numbered GROUP BY 1, 2),
+ versions AS (SELECT coalesce(key, (SELECT max(key) FROM first_load) + row_number() OVER (PARTITION BY key IS NULL ORDER BY customer_id, start))
+   AS customer_key, customer_id, c_name AS full_name, p AS city, c_mktsegment AS segment, start AS effective_date,
+   CAST(lead(start) OVER w - INTERVAL 1 DAY AS DATE) AS end_date, lead(start) OVER w IS NULL AS current_flag,
+   lag(p) OVER w AS previous_city, {current} AS current_city
+  FROM runs JOIN customer ON c_custkey = customer_id WINDOW w AS (PARTITION BY customer_id ORDER BY start))"""
+
+
+def _backdated(spark, sf, kind: int) -> DataFrame:
+    """Even days in one load, then odd days, which lie before, between and after what is there."""
+    path, days = scratch_path(spark, "backdated"), told_days(spark, sf)
+    publish(opening_dim(spark, sf, days), path)
+    n = F.col("n")
+    load_dimension(spark, path, days.filter((n > 2) & (n % 2 == 0)), ["city"], TRACK, kind)
+    odd = days.filter(((n == 1) & (F.col("days") > 1)) | ((n > 2) & (n % 2 == 1)))
+    return load_dimension(spark, path, odd, ["city"], TRACK, kind, backdated=True)
+
+
+@query(f"WITH {_TOLD.format(current='p')} SELECT {_OUT} FROM versions")
+def scd2_backdated(spark, sf):
+    return _backdated(spark, sf, 2)
+
+
+@query(f"WITH {_TOLD.format(current='last_value(p) OVER (PARTITION BY customer_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)')} SELECT {_OUT} FROM versions")
+def scd6_backdated(spark, sf):
+    return _backdated(spark, sf, 6)
+
+
+# --- a mart kept up from changes of order lines ------------------------------------------------------
+
+
+def line_loads(spark, sf) -> list[DataFrame]:
+    """Three loads of changes of order lines: new lines; more lines and updates; deletes."""
+    rows = fact(spark, sf).select("order_id", "date_key", "product_key", "quantity", "gross_amount")
+    order = F.col("order_id")
+    first, updated, deleted = order % 3 < 2, (order % 3 < 2) & (order % 5 == 0), order % 7 == 0
+    later = F.struct(
+        order.alias("order_id"), "date_key", F.when(F.col("product_key") > 1, F.col("product_key") - 1).otherwise(1).cast("long").alias("product_key"),
+        F.when(F.col("quantity") > 10, F.col("quantity") + 1).alias("quantity"), (F.col("gross_amount") + 1).cast("decimal(12,2)").alias("gross_amount"),
+    )
+    now = F.struct(order.alias("order_id"), "date_key", F.col("product_key").cast("long").alias("product_key"), "quantity", "gross_amount")
+
+    def load(where: Column, before: Column | None, after: Column | None) -> DataFrame:
+        none = F.lit(None).cast(rows.select(now.alias("x")).schema["x"].dataType)
+        return rows.filter(where).select((none if before is None else before).alias("before"), (none if after is None else after).alias("after"))
+
+    return [
+        load(first, None, now),
+        load(~first, None, now).unionByName(load(updated, now, later)),
+        load(deleted, F.when(updated, later).otherwise(now), None),
+    ]
+
+
+@query("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS full_date, p_type AS category, CAST(SUM(q) AS BIGINT) AS total_qty,
+ CAST(SUM(g) AS DOUBLE) AS total_revenue, count(*) AS lines, count(q) AS counted, round(avg(q), 6) AS avg_qty
+ FROM (SELECT *, o_orderkey % 3 < 2 AND o_orderkey % 5 = 0 AS upd,
+  CASE WHEN upd THEN CASE WHEN l_quantity::INTEGER > 10 THEN l_quantity::INTEGER + 1 END ELSE l_quantity::INTEGER END AS q,
+  CAST(l_extendedprice AS DECIMAL(12,2)) + CASE WHEN upd THEN 1 ELSE 0 END AS g,
+  CASE WHEN upd AND l_partkey > 1 THEN l_partkey - 1 ELSE l_partkey END AS part_now
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderkey % 7 <> 0) x
+ JOIN part ON p_partkey = part_now GROUP BY 1, 2""")
+def mart_incremental(spark, sf):
+    """Daily sales per category after three loads of changes, one of them sent twice; the lines are never read again."""
+    mart = Mart(scratch_path(spark, "mart"), ("full_date", "category"), {
+        "total_qty": ("sum", "quantity"), "total_revenue": ("sum", "gross_amount"), "lines": ("rows", None),
+        "counted": ("count", "quantity"), "avg_qty": ("avg", "quantity"),
+    })
+    calendar, parts = dates(spark, sf).select("date_key", "full_date"), products(spark, sf).select("product_key", "category")
+    shape = lambda deltas: deltas.join(parts, "product_key").join(calendar, "date_key")
+    for number, load in enumerate(line_loads(spark, sf)):
+        for _ in range(2 if number == 1 else 1):
+            update_mart(load, mart, shape, ["date_key", "product_key"], "lines", number)
+        if number == 1:
+            fold_mart(spark, mart)
+    return read_mart(spark, mart).withColumn("avg_qty", F.round("avg_qty", 6))

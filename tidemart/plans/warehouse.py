@@ -1,6 +1,7 @@
 """Warehouse loads: dimensions kept as versioned tables, and the mart built from a star schema."""
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,13 +18,16 @@ def start_dimension(rows: DataFrame, path: str, tracking: Tracking, order_by: Se
 
 
 def load_dimension(
-    spark: SparkSession, path: str, changes: DataFrame, cols: Sequence[str], tracking: Tracking, kind: int = 2
+    spark: SparkSession, path: str, changes: DataFrame, cols: Sequence[str], tracking: Tracking, kind: int = 2,
+    backdated: bool = False,
 ) -> DataFrame:
     """Apply changes of type 1, 2 or 6 to the dimension at `path` and publish the next version.
 
+    With `backdated`, changes of type 2 and 6 may lie before the open version.
+
     Readers of the version before are not disturbed, and a load that fails leaves it current.
     """
-    apply = {1: scd1, 2: scd2, 6: scd6}[kind]
+    apply = {1: scd1, 2: partial(scd2, backdated=backdated), 6: partial(scd6, backdated=backdated)}[kind]
     return publish(apply(read_table(spark, path), changes, cols, tracking), path)
 
 
