@@ -44,34 +44,38 @@ def _over(value: str, arity: int) -> Column:
     return F.expr(f"{value} DIV {arity}")
 
 
+def text_of(digests: Column) -> Column:
+    """Digests that lie in bytes, one after the other, as lowercase hex text."""
+    return F.lower(F.hex(digests))
+
+
 def climb(nodes: DataFrame, arity: int = ARITY) -> tuple[list[DataFrame], DataFrame]:
-    """All levels above `nodes` (`tree` long, `at`, `n` nodes on the level, `digest`), and the top of each tree: `tree`, `top`.
+    """All levels above `nodes` (`tree` long, `at`, `n` nodes on the level, `digest` in bytes), and the top of each tree: `tree`, `top`.
 
     A level has a row per node below a parent: `tree`, `at`, `left` and `right` (the digests of its siblings on either side, joined)
-    and `parent`. A tree of one node has no level.
+    and `parent`. A tree of one node has no level. Digests are moved and stored as bytes, half as long as their text.
     """
     levels, tops = [], nodes.where("n = 1").select("tree", F.col("digest").alias("top"))
     height, widest = 0, nodes.agg(F.max("n")).first()[0] or 0
+    slot, none = F.pmod("at", F.lit(arity)), F.lit(bytearray())
     while widest > 1:
         open_ = nodes.where("n > 1")
-        run = F.col("at") - F.pmod("at", F.lit(arity))
-        slots = F.sequence(run, F.least(run + arity - 1, F.col("n") - 1))
+        slots = F.sequence(F.col("at") - slot, F.least(F.col("at") - slot + arity - 1, F.col("n") - 1))
         asks = open_.select("tree", "at", "n", F.explode(slots).alias("other"))
         digests = open_.select("tree", F.col("at").alias("other"), "digest")
         met = asks.join(digests, ["tree", "other"]).groupBy("tree", "at", "n").agg(
-            F.array_sort(F.collect_list(F.struct("other", "digest"))).alias("run")
+            F.array_sort(F.collect_list(F.struct("other", "digest")))["digest"].alias("run")
         )
 
-        def side(keep) -> Column:
-            return F.array_join(F.transform(F.filter("run", keep), lambda x: x["digest"]), "")
+        def joined(keep) -> Column:
+            return F.concat(*(F.when(keep(i), F.coalesce(F.get("run", F.lit(i)), none)).otherwise(none) for i in range(arity)))
 
         level = materialise(met.select(
-            "tree", "at", "n", side(lambda x: x["other"] < F.col("at")).alias("left"),
-            side(lambda x: x["other"] > F.col("at")).alias("right"),
-            F.sha2(F.array_join(F.col("run.digest"), ""), 256).alias("parent"),
+            "tree", "at", "n", joined(lambda i: i < slot).alias("left"), joined(lambda i: i > slot).alias("right"),
+            F.when(slot == 0, F.unhex(F.sha2(text_of(joined(lambda i: F.lit(True))), 256))).alias("parent"),
         ), f"merkle-{height}")
         levels.append(level)
-        nodes = level.where(F.pmod("at", F.lit(arity)) == 0).select(
+        nodes = level.where(slot == 0).select(
             "tree", _over("at", arity).alias("at"), _over(f"(n + {arity - 1})", arity).alias("n"),
             F.col("parent").alias("digest"),
         )
@@ -80,31 +84,34 @@ def climb(nodes: DataFrame, arity: int = ARITY) -> tuple[list[DataFrame], DataFr
     return levels, tops
 
 
-STEPS = "array<struct<left:string,right:string>>"
+STEPS = "array<struct<left:binary,right:binary>>"
 
 
-def paths(levels: list[DataFrame], arity: int = ARITY) -> DataFrame | None:
-    """For each node that has a parent, the siblings on its way to the top, lowest level first: `tree`, `at`, `steps`.
+def with_paths(leaves: DataFrame, levels: list[DataFrame], arity: int = ARITY) -> DataFrame:
+    """`leaves` (`tree`, `at` and more) with `steps`: the siblings on the way to the top of the tree, lowest level first.
 
-    From the top down each level joins its parents' paths, so a path is only ever sent once per run of siblings.
+    From the top down each level joins its parents' paths, so a path is sent once per run of siblings, never once per node.
     """
-    above = None
-    for level in reversed(levels):
-        own = F.array(F.struct("left", "right"))
+    none, above = F.array().cast(STEPS), None
+    for height in range(len(levels) - 1, -1, -1):
+        own = levels[height].select("tree", "at", F.struct("left", "right").alias("own"))
+        nodes = leaves.join(own, ["tree", "at"], "left") if height == 0 else own
+        step = F.when(F.col("own").isNotNull(), F.array("own")).otherwise(none)
         if above is None:
-            above = level.select("tree", "at", own.alias("steps"))
-            continue
-        parents = above.select("tree", F.col("at").alias("up"), F.col("steps").alias("rest"))
-        up = level.withColumn("up", _over("at", arity))
-        above = up.join(parents, ["tree", "up"], "left").select(
-            "tree", "at", F.concat(own, F.coalesce("rest", F.array().cast(STEPS))).alias("steps")
-        )
-    return above
+            above = nodes.withColumn("steps", step).drop("own")
+        else:
+            parents = above.select("tree", F.col("at").alias("up"), F.col("steps").alias("rest"))
+            above = nodes.withColumn("up", _over("at", arity)).join(parents, ["tree", "up"], "left").withColumn(
+                "steps", F.concat(step, F.coalesce("rest", none))
+            ).drop("own", "up", "rest")
+    return leaves.withColumn("steps", none) if above is None else above
 
 
 def folded(leaf: Column, steps: Column) -> Column:
-    """The top that a leaf and the siblings on its way lead to."""
-    return F.aggregate(steps, leaf, lambda digest, step: F.sha2(F.concat(step["left"], digest, step["right"]), 256))
+    """The top, as text, that a leaf's text and the siblings on its way lead to."""
+    return F.aggregate(
+        steps, leaf, lambda digest, step: F.sha2(F.concat(text_of(step["left"]), digest, text_of(step["right"])), 256)
+    )
 
 
 def manifest(
@@ -127,7 +134,7 @@ def manifest(
     now = [changed.get(c, F.col(f"`{c}`")) for c in columns]
     leaves = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{tree_col}`").cast("string").alias("name"),
-        leaf_digest(*(F.col(f"`{c}`") for c in columns)).alias("leaf"), leaf_digest(*now).alias("found"),
+        F.unhex(leaf_digest(*(F.col(f"`{c}`") for c in columns))).alias("leaf"), F.unhex(leaf_digest(*now)).alias("found"),
     )
     placed = numbered(leaves, "name", [F.col("doc_id").asc_nulls_first(), F.col("leaf")], "at", "n")
     names = placed.select("name").distinct()
@@ -137,29 +144,18 @@ def manifest(
 
     levels, tops = climb(placed.select("tree", "at", "n", F.col("leaf").alias("digest")), arity)
     tops = materialise(tops.join(trees.select("tree", "trees"), "tree"), "subroots")
-    last, root = climb(
-        tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), F.col("trees").alias("n"), F.col("top").alias("digest")),
-        arity,
-    )
-    none = F.array().cast(STEPS)
-    whole = root.select(F.col("tree").alias("whole"), F.col("top").alias("root"))  # one row
-    ends = tops.withColumn("whole", F.lit(0).cast("long")).join(whole, "whole").select(
-        "tree", F.col("top").alias("subroot"), "root"
-    )
-    onward = paths(last, arity)
-    if onward is None:
-        ends = ends.withColumn("onward", none)
-    else:
-        ends = ends.join(onward.select(F.col("at").alias("tree"), F.col("steps").alias("onward")), "tree", "left")
-    inside = paths(levels, arity)
-    placed = placed.withColumn("steps", none) if inside is None else placed.join(inside, ["tree", "at"], "left")
-    found = placed.join(materialise(ends, "tops"), "tree").withColumn(
-        "way", F.concat(F.coalesce("steps", none), F.coalesce("onward", none))
+    ends = tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), F.col("trees").alias("n"), F.col("top").alias("digest"))
+    last, root = climb(ends, arity)
+    whole = root.select("tree", F.col("top").alias("root"))  # one row
+    ends = with_paths(ends.select("tree", "at", F.col("digest").alias("subroot")), last, arity).join(whole, "tree").select(
+        F.col("at").alias("tree"), "subroot", "root", F.col("steps").alias("onward")
     )
-    proof = F.array_join(F.transform("way", lambda s: F.concat(s["left"], s["right"])), "")
+    found = with_paths(placed.drop("n", "trees"), levels, arity).join(materialise(ends, "tops"), "tree")
+    way = F.concat("steps", "onward")
+    proof = F.array_join(F.transform(way, lambda s: text_of(F.concat(s["left"], s["right"]))), "")
     return found.select(
-        "doc_id", "leaf", "subroot", "root", F.sha2(proof, 256).alias("proof_sha256"),
-        folded(F.col("found"), F.col("way")).alias("folded_root"),
+        "doc_id", *(text_of(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")), F.sha2(proof, 256).alias("proof_sha256"),
+        folded(text_of(F.col("found")), way).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
