@@ -4,9 +4,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemart.operators.ordered import GROUP_ROWS, by_heat, null_safe_join, sorted_pieces
+from tidemart.operators.ordered import GROUP_ROWS, by_heat, large_keys, null_safe_join, sorted_pieces
 
 
 @dataclass(frozen=True, eq=False)
@@ -55,24 +55,14 @@ def point_in_time_joins(
     the last feature rows of earlier ranges are carried over.
     """
     keys = list(keys)
-    line = entities.select(
-        *keys,
-        F.col(entity_ts).cast("timestamp").alias("_t"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("timestamp").alias("_made"),
-        F.struct(*entities.columns).alias("_row"),
-    )
+    line = _asking(entities, keys, entity_ts)
     reach = _reach(entities, entity_ts)
     for i, lookup in enumerate(lookups):
         line = line.unionByName(_facts(lookup, entities, keys, reach, f"_v{i}"), allowMissingColumns=True)
     values = [f"_v{i}" for i in range(len(lookups))]
-    # Features sort before entities of the same time; the values only settle full ties.
-    order = [F.col(c) for c in ("_t", "_kind", "_made", *values)]
 
     def plain(part: DataFrame) -> DataFrame:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        hits = {f"_h{v}": F.last(v, ignorenulls=True).over(upto) for v in values}
-        return part.withColumns(hits).filter("_kind = 1").select("_row", *hits)
+        return _solved(part, keys, values)
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
         # One row per key and time, so that any number of copies or of rows at one time can be cut:
@@ -96,7 +86,30 @@ def point_in_time_joins(
         asking = part.filter("_kind = 1").select(*keys, "_t", "_row")
         return null_safe_join(asking, answers, [*keys, "_t"]).drop(*keys, "_t")
 
-    matched = by_heat(line, keys, plain, split, group_rows)
+    return _delivered(by_heat(line, keys, plain, split, group_rows), lookups, values, entity_ts)
+
+
+def _asking(entities: DataFrame, keys: Sequence[str], entity_ts: str) -> DataFrame:
+    """Entity rows as rows of the timeline."""
+    return entities.select(
+        *keys,
+        F.col(entity_ts).cast("timestamp").alias("_t"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast("timestamp").alias("_made"),
+        F.struct(*entities.columns).alias("_row"),
+    )
+
+
+def _solved(line: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """For each entity row of a timeline the last feature rows before it, by one window per key."""
+    # Features sort before entities of the same time; the values only settle full ties.
+    order = [F.col(c) for c in ("_t", "_kind", "_made", *values)]
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    hits = {f"_h{v}": F.last(v, ignorenulls=True).over(upto) for v in values}
+    return line.withColumns(hits).filter("_kind = 1").select("_row", *hits)
+
+
+def _delivered(matched: DataFrame, lookups: Sequence, values: Sequence[str], entity_ts: str) -> DataFrame:
     asked = F.col(f"_row.{entity_ts}").cast("timestamp")
     delivered = []
     for lookup, v in zip(lookups, values):
@@ -121,17 +134,139 @@ def _facts(
 
     The entities' time range reaches the scan, and a semi join, which Spark plans by size, leaves out other keys.
     """
+    near = _within(lookup.features, lookup, reach).join(entities.select(*keys), keys, "left_semi")
+    return _known(near.dropna(subset=keys), lookup, [F.col(k) for k in keys], name)
+
+
+def _within(features: DataFrame, lookup, reach: tuple[int | None, int | None]) -> DataFrame:
     first, last = reach
     time = F.col(lookup.ts).cast("timestamp")
-    near = lookup.features.filter(F.lit(False) if last is None else time <= F.timestamp_micros(F.lit(last)))
+    near = features.filter(F.lit(False) if last is None else time <= F.timestamp_micros(F.lit(last)))
     if last is not None and lookup.ttl is not None:
         near = near.filter(time >= F.timestamp_micros(F.lit(first - lookup.ttl // timedelta(microseconds=1))))
-    near = near.join(entities.select(*keys), keys, "left_semi")
+    return near
+
+
+def _known(features: DataFrame, lookup, keys: Sequence[Column], name: str) -> DataFrame:
+    """Feature rows as rows of the timeline."""
+    time = F.col(lookup.ts).cast("timestamp")
     made = F.col(lookup.created) if lookup.created else F.lit(None)
-    return near.dropna(subset=keys).select(
+    return features.select(
         *keys,
         time.alias("_t"),
         F.lit(0).alias("_kind"),
         made.cast("timestamp").alias("_made"),
         F.struct(time.alias("_t"), *lookup.columns).alias(name),
     )
+
+
+# --- history that stays where it is --------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class StoredHistory:
+    """A history laid out for point-in-time joins: a table bucketed by its keys and sorted by keys and time.
+
+    `wide` holds the rows of keys that are too large for one bucket, `hot` those keys; both are files, and None if there are none.
+    """
+
+    table: str
+    keys: tuple[str, ...]
+    ts: str
+    created: str | None
+    buckets: int
+    wide: str | None = None
+    hot: str | None = None
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """All of it, as a plain DataFrame."""
+        usual = spark.table(self.table)
+        return usual if self.wide is None else usual.unionByName(spark.read.schema(usual.schema).parquet(self.wide))
+
+
+@dataclass(frozen=True)
+class StoredLookup:
+    """What to deliver from a stored history, and how long a row stays valid."""
+
+    history: StoredHistory
+    columns: Sequence[str]
+    ttl: timedelta | None = None
+
+    @property
+    def ts(self) -> str:
+        return self.history.ts
+
+    @property
+    def created(self) -> str | None:
+        return self.history.created
+
+
+def store_history(
+    df: DataFrame,
+    table: str,
+    path: str,
+    keys: Sequence[str],
+    ts: str = "event_timestamp",
+    created: str | None = None,
+    buckets: int = 64,
+    group_rows: int = GROUP_ROWS,
+) -> StoredHistory:
+    """Lay out a history once, as table `table` with files below `path`, so that joins move entity rows only.
+
+    Choose as many buckets as make one some hundred MB. Rows without a key can never be asked for and are left out. Keys with more than
+    `group_rows` rows are laid out in ranges of key and time next to the table.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    rows = df.dropna(subset=keys)
+    large = large_keys(rows, keys, group_rows).drop("_rows")
+    wide = hot = None
+    if not large.isEmpty():
+        wide, hot = f"{path}/wide", f"{path}/hot"
+        large.coalesce(1).write.parquet(hot)
+        heavy = rows.join(large, keys, "left_semi")
+        heavy.repartitionByRange(*keys, ts).sortWithinPartitions(*keys, ts).write.parquet(wide)
+        rows = rows.join(large, keys, "left_anti")
+    placed = rows.select(*df.columns).repartition(buckets, *keys)
+    placed.write.bucketBy(buckets, *keys).sortBy(*keys, ts).option("path", f"{path}/buckets").saveAsTable(table)
+    return StoredHistory(table, tuple(keys), ts, created, buckets, wide, hot)
+
+
+def point_in_time_stored(
+    entities: DataFrame,
+    lookups: Sequence[StoredLookup],
+    entity_ts: str = "event_timestamp",
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """As `point_in_time_joins`, on stored histories with the same keys and buckets.
+
+    Entity rows are dealt to the histories' buckets and each bucket is solved where it lies: no history row is shuffled. Keys that
+    are large in a history or among the entities take the route of `point_in_time_joins`.
+    """
+    layouts = {(look.history.keys, look.history.buckets) for look in lookups}
+    if len(layouts) != 1:
+        raise ValueError("histories that are joined together need the same keys and buckets")
+    ((keys, buckets),) = layouts
+    spark, keys = entities.sparkSession, list(keys)
+    hot = large_keys(entities, keys, group_rows).drop("_rows")
+    for path in dict.fromkeys(look.history.hot for look in lookups if look.history.hot):
+        hot = hot.unionByName(spark.read.schema(hot.schema).parquet(path))
+    rest = None
+    if not hot.isEmpty():
+        hot = hot.distinct()
+        rows = null_safe_join(entities, hot, keys, "left_semi")
+        plain = [Lookup(look.history.rows(spark), look.columns, look.ts, look.created, look.ttl) for look in lookups]
+        rest = point_in_time_joins(rows, plain, keys, entity_ts, group_rows)
+        entities = null_safe_join(entities, hot, keys, "left_anti")
+    values = [f"_v{i}" for i in range(len(lookups))]
+    # Under other names the keys of table and entities compare as equal, which lets the union keep the buckets.
+    own = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    names = [f"_key{i}" for i in range(len(keys))]
+    asking = _asking(entities, keys, entity_ts)
+    line = asking.select(*own, *[c for c in asking.columns if c not in keys]).repartition(buckets, *names)
+    reach = _reach(entities, entity_ts)
+    asked = entities.select(*keys).distinct()
+    for look, name in zip(lookups, values):
+        near = _within(spark.table(look.history.table), look, reach).join(asked, keys, "left_semi")
+        line = line.unionByName(_known(near, look, own, name), allowMissingColumns=True)
+    found = _delivered(_solved(line, names, values), lookups, values, entity_ts)
+    return found if rest is None else found.unionByName(rest)

@@ -8,11 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemart.operators.asof import Lookup, point_in_time_joins
+from tidemart.operators.asof import Lookup, StoredHistory, StoredLookup, point_in_time_joins, point_in_time_stored
 from tidemart.operators.ordered import GROUP_ROWS, latest_per_key
 from tidemart.sources.scratch import materialise
 from tidemart.sources.store import Store
-from tidemart.sources.tables import add_rows, fold, read_reduced, read_table
+from tidemart.sources.tables import add_rows, fold, read_reduced, read_table, table_state
 
 # --- definitions -------------------------------------------------------------------------------
 
@@ -25,15 +25,21 @@ class Entity:
 
 @dataclass(frozen=True)
 class FeatureSource:
-    """Parquet rows with an event time and, optionally, a creation time. `rows` replaces the path."""
+    """Parquet rows with an event time and, optionally, a creation time. `rows` replaces the path.
+
+    A `stored` history, laid out by the views' keys, replaces both: training sets then leave its rows where they are.
+    """
 
     name: str
     path: str | None = None
     timestamp: str = "event_timestamp"
     created: str | None = "created"
     rows: DataFrame | None = field(default=None, compare=False)
+    stored: StoredHistory | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
+        if self.stored is not None:
+            return self.stored.rows(spark)
         return self.rows if self.rows is not None else spark.read.parquet(self.path)
 
 
@@ -243,13 +249,23 @@ def historical_features(
         entity_df = entity_df.withColumn(entity_ts, F.lit(as_of).cast("timestamp"))
     entity_columns = entity_df.columns
     by_keys: dict[tuple[str, ...], list[Lookup]] = {}
+    in_place: dict[tuple[tuple[str, ...], int], list[StoredLookup]] = {}
+    types = {}
     for view, features in stored.values():
+        laid = view.source.stored
+        if laid is not None and laid.keys == view.entity.join_keys and not _has_pushed(spark, view, repo):
+            in_place.setdefault((laid.keys, laid.buckets), []).append(StoredLookup(laid, features, view.ttl))
+            types.update({f.name: f.dataType for f in view.schema if f.name in features})
+            continue
         history = view.typed(view_history(spark, view, repo))
         lookup = Lookup(history, features, view.source.timestamp, view.source.created, view.ttl)
         by_keys.setdefault(view.entity.join_keys, []).append(lookup)
     result = entity_df
     for keys, lookups in by_keys.items():
         result = point_in_time_joins(result, lookups, keys, entity_ts, group_rows)
+    for lookups in in_place.values():
+        result = point_in_time_stored(result, lookups, entity_ts, group_rows)
+    result = result.withColumns({name: F.col(name).cast(kind) for name, kind in types.items()})
     for view in on_demand:
         result = view.add_to(result)
     return result.select(*entity_columns, *names)
@@ -259,6 +275,10 @@ def _history_path(view: FeatureView, repo: FeatureRepo) -> str:
     return f"{repo.store}/history/{view.source.name}"
 
 
+def _has_pushed(spark: SparkSession, view: FeatureView, repo: FeatureRepo) -> bool:
+    return bool(repo.store) and table_state(spark, _history_path(view, repo)).schema is not None
+
+
 def view_history(spark: SparkSession, view: FeatureView, repo: FeatureRepo) -> DataFrame:
     """The source rows and any rows pushed since."""
     rows = view.source.read(spark)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemart.operators import features as f
-from tidemart.operators.asof import point_in_time_join
+from tidemart.operators.asof import StoredLookup, point_in_time_join, point_in_time_stored, store_history
 from tidemart.plans.registered.base import events, query
 from tidemart.plans.registered.relational import SPLIT_ROWS
 from tidemart.sources.scratch import scratch_path
@@ -59,6 +59,30 @@ def historical_features(spark, sf):
     return f.historical_features(spark, purchases(spark, sf), refs, repo(spark, sf))
 
 
+def stored_seen(spark, sf, **more):
+    """The view's history in buckets of users."""
+    path = scratch_path(spark, "history")
+    return store_history(seen(spark, sf), path.rpartition("/")[2].replace("-", "_"), path, ["user_id"], created="created", buckets=8, **more)
+
+
+@query(f"""SELECT event_id, user_id, epoch_us(ts) AS event_timestamp, paid, seen_value, seen_props,
+ seen_value + paid AS seen_plus_paid FROM {_ASOF} a""")
+def historical_features_stored(spark, sf):
+    """The training set on a history that was laid out once: only the purchases are shuffled."""
+    view = f.FeatureView("seen", USER, SEEN, f.FeatureSource("view_events", stored=stored_seen(spark, sf)), TTL)
+    sums = f.OnDemandView("sums", (view, REQUEST), SUMS, exprs={"seen_plus_paid": F.col("seen_value") + F.col("paid")})
+    refs = ["seen:seen_value", "seen:seen_props", "sums:seen_plus_paid"]
+    return f.historical_features(spark, purchases(spark, sf), refs, f.FeatureRepo((view, sums)))
+
+
+@query(f"SELECT event_id, seen_value FROM {_ASOF} a")
+def point_in_time_stored_hot(spark, sf):
+    """The same with users of many events stored in ranges of time next to the buckets."""
+    rows = SPLIT_ROWS // 10
+    lookup = StoredLookup(stored_seen(spark, sf, group_rows=rows), ["seen_value"], TTL)
+    return point_in_time_stored(purchases(spark, sf), [lookup], group_rows=rows).select("event_id", "seen_value")
+
+
 @query(f"SELECT event_id, seen_value + paid AS seen_plus_paid FROM {_ASOF} a")
 def on_demand_pandas(spark, sf):
     got = f.historical_features(spark, purchases(spark, sf), ["sums:seen_plus_paid"], repo(spark, sf, pandas=True))
