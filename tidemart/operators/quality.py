@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 RESULT = ("rule", "column", "success", "checked", "unexpected", "detail")
 
@@ -168,21 +168,52 @@ def _share(checked: Column, unexpected: Column) -> Column:
     return F.concat(unexpected.cast("string"), F.lit(" of "), checked.cast("string"), F.lit(" unexpected"))
 
 
+def _row_rules(df: DataFrame, suite: Sequence[Rule]) -> list[Rule]:
+    """The rules about single rows whose column is there."""
+    return [r for r in suite if r.measure is None and not r.grouped and (r.column is None or r.column in df.columns)]
+
+
+def _counts(row_rules: Sequence[Rule]) -> list[Column]:
+    counts = []
+    for i, rule in enumerate(row_rules):
+        counts += [
+            F.count_if(rule.counted).alias(f"c{i}"),
+            F.count_if(F.coalesce(rule.bad, F.lit(False))).alias(f"u{i}"),
+        ]
+    return counts
+
+
+def observed(df: DataFrame, suite: Sequence[Rule]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`df` with the row rules of a suite counted while it is written, and a function from what was written to all results.
+
+    The function is called after the write, with its rows: uniqueness and other rules that need more than single rows read those.
+    """
+    row_rules = _row_rules(df, suite)
+    if not row_rules:
+        return df, lambda rows: validate(rows, suite)
+    seen = Observation()
+    rest = [r for r in suite if r not in row_rules]
+
+    def results(rows: DataFrame) -> DataFrame:
+        counts = seen.get
+        structs = [
+            rule.result(F.lit(counts[f"c{i}"]).cast("long"), F.lit(counts[f"u{i}"]).cast("long")) for i, rule in enumerate(row_rules)
+        ]
+        counted = rows.sparkSession.range(1).select(F.inline(F.array(*structs)))
+        return counted.unionByName(validate(rows, rest)) if rest else counted
+
+    return df.observe(seen, *_counts(row_rules)), results
+
+
 def validate(df: DataFrame, suite: Sequence[Rule]) -> DataFrame:
     """One result row per rule. A rule on a missing column fails and says so."""
     absent = [r for r in suite if r.column is not None and r.column not in df.columns]
     present = [r for r in suite if r not in absent]
-    row_rules = [r for r in present if r.measure is None and not r.grouped]
+    row_rules = _row_rules(df, suite)
     results = []
     if row_rules:
-        counts = []
-        for i, rule in enumerate(row_rules):
-            counts += [
-                F.count_if(rule.counted).alias(f"c{i}"),
-                F.count_if(F.coalesce(rule.bad, F.lit(False))).alias(f"u{i}"),
-            ]
         structs = [rule.result(F.col(f"c{i}"), F.col(f"u{i}")) for i, rule in enumerate(row_rules)]
-        results.append(df.agg(*counts).select(F.inline(F.array(*structs))))
+        results.append(df.agg(*_counts(row_rules)).select(F.inline(F.array(*structs))))
     for col in dict.fromkeys(r.column for r in present if r.grouped):
         structs = [r.result(F.col("checked"), F.col("unexpected")) for r in present if r.grouped and r.column == col]
         results.append(_repeats(df, col).select(F.inline(F.array(*structs))))

@@ -1,13 +1,19 @@
 """Streams, message logs and change events fed from the events table."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tidemart.functions.scalars import decode_decimal
 from tidemart.operators.changes import apply_changes, change_delta, parse_change_events
+from tidemart.operators.ordered import row_numbers
+from tidemart.operators.quality import in_set, not_null, row_count_between, unique
 from tidemart.plans.registered.base import events, query, table
 from tidemart.sources.scratch import scratch_path
+from tidemart.sources.tables import read_table
 from tidemart.streaming.changes import add_changes, compact_changes, current_rows, stream_changes
+from tidemart.streaming.gate import stream_gated
+from tidemart.streaming.ordering import in_order, rocksdb
 from tidemart.streaming.sources import accepted, event_time, parse_json, read_event_files, read_parquet_stream, rejected
 from tidemart.streaming.windows import lag, order_within_partition, windowed_orders, write_stream_parquet
 
@@ -84,6 +90,88 @@ def stream_windows_late(spark, sf):
     )
 
 
+@query(_WINDOWS.format(kept="TRUE"))
+def stream_windows_repeats(spark, sf):
+    """Four landings in time order, each of which arrives twice."""
+    landed, out, checkpoint = (scratch_path(spark, n) for n in ("twice", "repeat-windows", "repeat-checkpoint"))
+    rows = events(spark, sf)
+    day = F.dayofmonth("ts")
+    for low, high in ((0, 8), (8, 16), (16, 24), (24, 40)):
+        for _ in range(2):
+            rows.filter((day >= low) & (day < high)).coalesce(1).write.mode("append").parquet(landed)
+    stream = read_parquet_stream(spark, landed, rows.schema, max_files=1).withColumn("event_time", event_time("ts"))
+    grouped = windowed_orders(stream, "user_id", "value", once=["event_id"])
+    write_stream_parquet(grouped, out, checkpoint).awaitTermination()
+    return spark.read.schema(WINDOWS).parquet(out).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "user_id", "total_orders",
+        F.round("total_amount", 2).alias("total_amount"),
+    )
+
+
+def numbered_log(spark, sf) -> DataFrame:
+    """Events as messages with offsets 0, 1, 2 ... per topic and partition, in event order."""
+    rows = events(spark, sf).select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"), "event_id",
+        F.col("ts").alias("timestamp"), F.col("event_id").cast("string").alias("value"),
+    )
+    placed = row_numbers(rows, ["topic", "partition"], [F.col("timestamp"), F.col("event_id")], "n")
+    return placed.select("topic", "partition", (F.col("n") - 1).cast("long").alias("offset"), "timestamp", "value", "event_id")
+
+
+@query("""WITH log AS (SELECT event_type AS topic, user_id % 4 AS partition, event_id, ts,
+  row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY ts, event_id) - 1 AS o, max(ts) OVER () AS newest FROM events),
+ sent AS (SELECT *, max(CASE WHEN o = 6 THEN ts END) OVER (PARTITION BY topic, partition) AS after_hole FROM log WHERE o <> 5)
+ SELECT topic, partition, o AS "offset", CAST(event_id AS VARCHAR) AS value,
+  row_number() OVER (PARTITION BY topic, partition ORDER BY o) AS position, CASE WHEN o = 6 THEN 1 ELSE 0 END AS skipped
+ FROM sent WHERE o < 5 OR after_hole <= newest - INTERVAL 12 DAY""")
+def stream_in_order(spark, sf):
+    """Landings in which messages come up to two landings late, one offset of each partition never comes, and some come twice."""
+    landed, out, checkpoint = (scratch_path(spark, n) for n in ("log", "ordered", "ordered-checkpoint"))
+    log = numbered_log(spark, sf).filter("offset <> 5")
+    landing = F.floor(F.dayofmonth("timestamp") / 5) + F.col("event_id") % 2
+    again = log.filter("offset % 10 = 3").withColumn("landing", F.floor(F.dayofmonth("timestamp") / 5) + 1)
+    sent = log.withColumn("landing", landing).unionByName(again).drop("event_id")
+    sent.write.partitionBy("landing").parquet(f"{landed}-all")
+    for number in range(0, 8):
+        part = spark.read.parquet(f"{landed}-all").filter(F.col("landing") == number).drop("landing")
+        part.orderBy(F.xxhash64("value")).coalesce(1).write.mode("append").parquet(landed)
+    schema = sent.drop("landing").schema
+    stream = in_order(read_parquet_stream(spark, landed, schema, max_files=1), patience="12 days")
+    with rocksdb(spark):
+        write_stream_parquet(stream, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select("topic", "partition", "offset", "value", "position", "skipped")
+
+
+#: Fixed times: where the events are cut into three landings, of which the last holds errors.
+GATE_CUTS = ("2024-01-11", "2024-01-21")
+
+
+@query("""SELECT CASE WHEN ts < TIMESTAMP '2024-01-21' THEN 'published' ELSE 'quarantined' END AS state, event_id,
+ CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN 2 END AS batch, CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN 1 END AS reasons
+ FROM events WHERE event_type <> 'error' OR ts >= TIMESTAMP '2024-01-21'""")
+def gated_stream(spark, sf):
+    """Three landings through the gate; the last one fails, is set aside and stops the stream."""
+    landed, path, aside, checkpoint = (scratch_path(spark, n) for n in ("gate-landed", "gate", "quarantine", "gate-checkpoint"))
+    rows = events(spark, sf)
+    before = [F.col("ts") < F.lit(cut).cast("timestamp") for cut in GATE_CUTS]
+    good = F.col("event_type") != "error"
+    for part in (before[0] & good, ~before[0] & before[1] & good, ~before[1]):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(landed)
+    kinds = ["view", "click", "purchase", "signup"]
+    suite = [not_null("event_id"), unique("event_id"), in_set("event_type", kinds), row_count_between(1, 100_000_000_000)]
+    try:
+        stream_gated(read_parquet_stream(spark, landed, rows.schema, max_files=1), suite, path, aside, checkpoint).awaitTermination()
+    except StreamingQueryException as stopped:
+        if "QualityGateFailed" not in str(stopped):
+            raise
+    published = read_table(spark, path).select(
+        F.lit("published").alias("state"), "event_id", F.lit(None).cast("long").alias("batch"), F.lit(None).cast("long").alias("reasons")
+    )
+    return published.unionByName(read_table(spark, aside).select(
+        F.lit("quarantined").alias("state"), "event_id", F.col("_batch").alias("batch"), F.size("_reasons").cast("long").alias("reasons")
+    ))
+
+
 def message_log(spark, sf) -> DataFrame:
     return events(spark, sf).select(
         F.col("event_type").alias("topic"), F.col("user_id").cast("int").alias("partition"),

@@ -29,9 +29,12 @@ def read_event_files(spark: SparkSession, path: str, max_files: int | None = Non
     return reader.text(path)
 
 
-def read_parquet_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Landed Parquet files as a stream."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_parquet_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """Landed Parquet files as a stream, oldest first."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def parse_json(
