@@ -158,28 +158,20 @@ def mix(
     ).drop(size, key, source, tie, *ends.columns)
 
 
-PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+def mixture(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: a row for each time a document is taken, with the columns of `docs`, `epoch` (from 0) and `words`, its size.
 
-
-def mixture(docs: DataFrame, text_col: str = "text", length_col: str | None = None, **options) -> DataFrame:
-    """The mix itself: a row for each time a document is taken, with the columns of `docs`, `epoch` (from 0) and `words`.
-
-    Documents that nothing is taken of are left out. The last copy of a boundary document has only its first `words` words;
-    `length_col`, if given, gets the length of texts cut so.
+    Documents that nothing is taken of are left out. The last copy of a document on the boundary is there as a whole if at least half of
+    its words are taken, else not at all: no text is cut, and a source misses its target by half a document at most, not
+    counting equal ones. NULL texts have no words and are left out. An empty table gives no rows.
     """
     names = [c for c in docs.columns if c not in ("epoch", "words")]
     clash = {c: f"_own_{c}" for c in names if c in ("size", "source_size", "target", "taken")}
     mixed = mix(docs.withColumnsRenamed(clash), text_col=text_col, **options).where("taken > 0")
-    last = F.floor((F.col("taken") - 1) / F.col("size"))
-    copies = mixed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_epoch"))
-    words = F.least(F.col("size"), F.col("taken") - F.col("_epoch") * F.col("size"))
-    text = F.col(f"`{text_col}`")
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), F.lit(1), words.cast("int")), "")
-    short = words < F.col("size")
-    own = {text_col: F.when(short, cut).otherwise(text)}
-    if length_col:
-        length = F.length(cut).cast(docs.schema[length_col].dataType)
-        own[length_col] = F.when(short, length).otherwise(F.col(f"`{length_col}`"))
+    times = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))
+    copies = mixed.withColumn("_times", times).where("_times > 0").select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)).alias("_epoch")
+    )
     return copies.select(
-        *(own.get(c, F.col(f"`{clash.get(c, c)}`")).alias(c) for c in names), F.col("_epoch").alias("epoch"), words.alias("words")
+        *(F.col(f"`{clash.get(c, c)}`").alias(c) for c in names), F.col("_epoch").alias("epoch"), F.col("size").alias("words")
     )

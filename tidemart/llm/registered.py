@@ -217,7 +217,9 @@ FROM g
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf, "pages"), path)
-    found = warc.read_archives(spark, path).where("gap IS NULL")
+    found = warc.read_archives(spark, path)
+    lost = F.raise_error(F.concat(F.lit("unreadable bytes in a new archive: "), F.col("gap").cast("string"))).cast("boolean")
+    found = found.where(F.when(F.col("gap").isNotNull(), lost).otherwise(True))
     return found.select(
         warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes",
         F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type",
