@@ -32,8 +32,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time the mix takes a document, with `epoch` and `words`."""
-    return mixing.mixture(docs, length_col="n_chars")
+    """A row for each time the mix takes a document, as a whole, with `epoch` and `words`."""
+    return mixing.mixture(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
