@@ -1,15 +1,20 @@
 """File formats and layout: what is written must be read back whole."""
 
+from datetime import date
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import as_text
-from tidemart.operators.layout import cluster, compact, write_files
+from tidemart.operators.layout import cluster, cluster_together, compact, pack_small_files, read_live, read_ranges, write_files
 from tidemart.plans.ingest import ingest_orders, run_etl
 from tidemart.plans.medallion import run_batch, run_lake
 from tidemart.plans.registered.base import orders, query, table
 from tidemart.plans.registered.sales import bronze_events, raw_orders
+from tidemart.sources.partitions import replace_partitions
 from tidemart.sources.readers import read_csv, read_lines, read_parquet
 from tidemart.sources.scratch import scratch_path
+from tidemart.sources.store import Store
 from tidemart.sources.writers import append, write_csv, write_parquet
 
 _ORDERS = """SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, CAST(amount AS DOUBLE) AS amount, status FROM {orders}"""
@@ -48,6 +53,42 @@ def clustered(spark, sf):
     return cluster(orders(spark, sf), ["status", "order_date"], scratch_path(spark, "clustered"))
 
 
+@query("""SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, CAST(amount AS DOUBLE) AS amount, status FROM {orders}
+ WHERE amount BETWEEN 20000 AND 60000 AND order_date BETWEEN DATE '1994-03-01' AND DATE '1995-06-30'""")
+def clustered_together(spark, sf):
+    """A filter on two columns, of files that are narrow in both."""
+    path = scratch_path(spark, "z-order")
+    rows = orders(spark, sf)
+    cluster_together(rows, ["order_date", "amount"], path, files=32)
+    return read_ranges(spark, path, {"amount": (Decimal(20000), Decimal(60000)), "order_date": (date(1994, 3, 1), date(1995, 6, 30))}, rows.schema)
+
+
+@query(_ORDERS)
+def packed_small_files(spark, sf):
+    """One large file, many small ones, and one that is added after they were packed."""
+    path, rows = scratch_path(spark, "small-files"), orders(spark, sf)
+    part = F.col("order_id") % 10
+    rows.filter(part < 6).coalesce(1).write.mode("append").parquet(path)
+    rows.filter((part >= 6) & (part < 9)).repartition(12).write.mode("append").parquet(path)
+    largest = max(size for _, size in Store(spark, path).files(path))
+    pack_small_files(spark, path, largest)
+    rows.filter(part == 9).coalesce(1).write.mode("append").parquet(path)
+    return read_live(spark, path, rows.schema)
+
+
+@query("""SELECT order_id, customer_id, CAST(order_date AS VARCHAR) AS order_date, CAST(CASE WHEN m = '1995-03' THEN amount + 1 ELSE amount END AS DOUBLE) AS amount,
+ status, m AS month FROM (SELECT *, strftime(order_date, '%Y-%m') AS m FROM {orders}) t WHERE m <> '1995-03' OR order_id % 2 = 0""")
+def partition_replaced(spark, sf):
+    """Late data for one month takes the place of that month; the same load again, with other rows, changes nothing."""
+    path = scratch_path(spark, "months")
+    rows = orders(spark, sf).withColumn("month", F.date_format("order_date", "yyyy-MM"))
+    replace_partitions(rows, path, ["month"], "orders", 0)
+    late = rows.filter("month = '1995-03' AND order_id % 2 = 0").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    replace_partitions(late, path, ["month"], "orders", 1)
+    replace_partitions(rows.filter("month < '1995-01'").limit(5), path, ["month"], "orders", 1)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query("""SELECT user_id AS customer_id, count(*) AS total_orders, round(sum(value), 2) AS total_revenue
  FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def lake_tables(spark, sf):

@@ -1,12 +1,16 @@
 """Quality suites, unexpected values, the gate and profiles."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemart.operators import quality as q
 from tidemart.operators.gold import revenue_by_day
+from tidemart.operators.sketches import merge_sketches, profile_of, sketch
+from tidemart.operators.uniques import KeyIndex, fold_index, remember, repeated_keys
 from tidemart.plans.gate import run_gated
 from tidemart.plans.registered.base import query, table
 from tidemart.plans.registered.warehouse import fact
+from tidemart.sources.readers import path_exists
+from tidemart.sources.scratch import scratch_path
 
 _SHOWN = ["rule", "column", "success", "checked", "unexpected"]
 
@@ -89,11 +93,75 @@ def _profile_sql(source: str, columns: dict[str, str]) -> str:
     "l_shipdate": "CAST(l_shipdate AS DATE)",
 }))
 def profile(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
+    return q.profile(profiled_lines(spark, sf), exact=True)
+
+
+def profiled_lines(spark, sf) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("l_extendedprice"),
         "l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate"),
     )
-    return q.profile(lines, exact=True)
+
+
+_MERGED = {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_extendedprice": "CAST(l_extendedprice AS DECIMAL(18,2))",
+           "l_returnflag": "l_returnflag", "l_shipdate": "CAST(l_shipdate AS DATE)"}
+_NUMBERS = {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_extendedprice": "l_extendedprice",
+            "l_shipdate": "datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({e}) AS nulls, CAST(min({e}) AS VARCHAR) AS smallest, "
+    f"CAST(max({e}) AS VARCHAR) AS largest, TRUE AS distinct_near, "
+    + (f"round(avg({_NUMBERS[c]}), 4) AS mean, round(stddev({_NUMBERS[c]}), 4) AS deviation, TRUE AS median_near" if c in _NUMBERS
+       else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS deviation, CAST(NULL AS BOOLEAN) AS median_near")
+    + " FROM lineitem" for c, e in _MERGED.items()
+))
+def profile_merged(spark, sf):
+    """A profile of all lines from stored sketches per line number, in two merges; estimates are held against exact counts."""
+    lines, path = profiled_lines(spark, sf), scratch_path(spark, "sketches")
+    sketch(lines, ["l_linenumber"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    halves = merge_sketches(stored.withColumn("half", F.col("l_linenumber") % 2).drop("l_linenumber"), ["half"])
+    merged = profile_of(merge_sketches(halves.drop("half")))
+    exact = q.profile(lines.drop("l_linenumber"), exact=True).select("column", F.col("distinct_values").alias("exact_values"))
+    medians = {r["column"]: r["quantiles"][0] for r in merged.select("column", "quantiles").collect() if r["quantiles"]}
+    below = {"l_shipdate": F.datediff("l_shipdate", F.lit("1970-01-01").cast("date"))}
+    shares = lines.agg(*[F.avg((below.get(c, F.col(c)) <= F.lit(m)).cast("double")).alias(c) for c, m in medians.items()])
+    near = shares.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), (F.abs(F.col(c) - 0.5) < 0.05).alias("median_near")) for c in medians])))
+    error = 5 * 1.04 / 2**6  # five standard errors of a sketch with 2 ** 12 cells
+    return merged.join(exact, "column").join(near, "column", "left").select(
+        "column", "rows", "nulls", "smallest", "largest",
+        (F.abs(F.col("distinct_values") - F.col("exact_values")) <= error * F.col("exact_values") + 1).alias("distinct_near"),
+        F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"), "median_near",
+    )
+
+
+@query("""SELECT k AS event_key, count(*) AS rows, k % 5 < 2 AS in_table FROM (SELECT event_id AS k FROM events WHERE event_id % 5 IN (1, 2)
+ UNION ALL SELECT event_id FROM events WHERE event_id % 10 = 2) t GROUP BY k HAVING count(*) > 1 OR k % 5 < 2""")
+def unique_increment(spark, sf):
+    """A load against the keys of two earlier ones: some keys are there already, some come twice in the load."""
+    ids = table(spark, sf, "events").select(F.col("event_id").alias("event_key"))
+    index = KeyIndex(scratch_path(spark, "key-index"), ("event_key",), buckets=16, bits=1 << 20)
+    for batch, part in enumerate((0, 1)):
+        remember(ids.filter(F.col("event_key") % 5 == part), index, "events", batch)
+        if batch == 0:
+            fold_index(spark, index)
+    load = ids.filter((F.col("event_key") % 5).isin(1, 2)).unionByName(ids.filter(F.col("event_key") % 10 == 2))
+    return repeated_keys(load, index)
+
+
+@query("""SELECT 'between' AS rule, 'quantity' AS "column", FALSE AS success, count(*) AS checked, count_if(l_quantity::INTEGER > 20) AS unexpected
+ FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
+def gate_refuses(spark, sf):
+    """The gate on a load that fails: what it raises, and nothing published."""
+    path = scratch_path(spark, "refused")
+    try:
+        run_gated(lambda: fact(spark, sf), lambda rows: rows, lambda rows: rows.write.parquet(path), [q.not_null("order_id"), q.between("quantity", 1, 20)])
+    except q.QualityGateFailed as stopped:
+        shown = [tuple(f[c] for c in _SHOWN) for f in stopped.failures]
+        assert not path_exists(spark, path)
+        return spark.createDataFrame(shown, "rule string, column string, success boolean, checked long, unexpected long")
+    raise AssertionError("the gate let a bad load pass")
 
 
 @query("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue
