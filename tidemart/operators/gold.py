@@ -43,11 +43,14 @@ def star_orders(fact: DataFrame, dates: DataFrame, customers: DataFrame, product
 
 
 def mart_daily_category_sales(fact: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
-    """Quantity and revenue per date and category, ordered. Facts are summed per key pair before they meet the dimensions."""
-    per_key = fact.groupBy("date_key", "product_key").agg(F.sum("quantity").alias("_qty"), F.sum("gross_amount").alias("_revenue"))
+    """Quantity and revenue per date and category, ordered. Facts are summed per date key and category before they meet the dates."""
+    per_key = (
+        fact.join(products.select("product_key", "category"), "product_key")
+        .groupBy("date_key", "category")
+        .agg(F.sum("quantity").alias("_qty"), F.sum("gross_amount").alias("_revenue"))
+    )
     return (
-        per_key.join(products.select("product_key", "category"), "product_key")
-        .join(dates.select("date_key", "full_date"), "date_key")
+        per_key.join(dates.select("date_key", "full_date"), "date_key")
         .groupBy("full_date", "category")
         .agg(F.sum("_qty").alias("total_qty"), F.sum("_revenue").alias("total_revenue"))
         .orderBy(F.asc_nulls_last("full_date"), F.asc_nulls_last("category"))

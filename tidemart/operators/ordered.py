@@ -20,9 +20,21 @@ _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row num
 
 
 def large_keys(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """The keys with more than `group_rows` rows, and their `_rows`: an exact count, reduced in every task, written once."""
+    """The keys with more than `group_rows` rows, and their `_rows`: an exact count, reduced in every task."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return materialise(counts.filter(F.col("_rows") > group_rows), "large-keys")
+    return settled(counts.filter(F.col("_rows") > group_rows), "large-keys")
+
+
+#: So many rows of a small result are kept on the driver; a larger one is written.
+FEW_ROWS = 1000
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """`df` computed once: as literal rows where there are at most `FEW_ROWS`, else written."""
+    found = df.limit(FEW_ROWS + 1).collect()
+    if len(found) > FEW_ROWS:
+        return materialise(df, label)
+    return df.sparkSession.createDataFrame(found, df.schema)
 
 
 def by_heat(
@@ -182,13 +194,18 @@ def group_total(
     return by_heat(df, keys, plain, split, group_rows)
 
 
-def ranks(df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None) -> DataFrame:
+def ranks(
+    df: DataFrame, value: str, rank: str = "rank", dense_rank: str | None = None, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """`rank` and `dense_rank` over all rows by `value` descending, NULLs first.
 
-    It works on the distinct values, range-sorted over many tasks: how many rows and how many values come before
-    each. `df` is read more than once, so pass a table or a materialised result.
+    Up to `group_rows` rows are one window. More are ranked by their distinct values, range-sorted over many tasks: how many rows
+    and how many values come before each. `df` is read more than once, so pass a table or a materialised result.
     """
     names = [rank] + ([dense_rank] if dense_rank else [])
+    if df.count() <= group_rows:
+        down = Window.orderBy(F.col(value).desc_nulls_first())
+        return df.withColumns(dict(zip(names, (F.rank().over(down).cast("long"), F.dense_rank().over(down).cast("long")))))
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     pieced = sorted_pieces(values, [F.col(value).desc_nulls_first()])
     inside = Window.partitionBy("_piece").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)

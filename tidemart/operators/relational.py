@@ -93,9 +93,10 @@ def _outer(
         # Keys are routed before they are joined, so equal keys must have one type.
         raise TypeError(f"cast {key} and {fk} to one type before an outer join")
     how = "full" if keep_orders else "left"
-    large = large_keys(orders, [fk], group_rows).select(F.col(fk).alias("_k"))
-    if keep_orders:
-        large = large.union(large_keys(customers, [key], group_rows).select(F.col(key).alias("_k"))).distinct()
+    keys = orders.select(F.col(fk).alias("_k"), F.lit(0).alias("_side"))
+    if keep_orders:  # one count of both sides' keys
+        keys = keys.union(customers.select(F.col(key), F.lit(1)))
+    large = large_keys(keys, ["_k", "_side"], group_rows).select("_k").distinct()
     if large.isEmpty():
         return _joined(customers, orders, how, key, fk)
 
@@ -207,15 +208,21 @@ def order_sequence(
     return row_numbers(orders, [customer], order, "order_sequence", group_rows)
 
 
-def customer_rank(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
+def customer_rank(
+    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Customers ranked by total amount, with and without gaps."""
     totals = materialise(revenue_per_customer(orders, customer, amount, "total_amount"), "totals")
-    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank")
+    return ranks(totals, "total_amount", "customer_rank", "customer_dense_rank", group_rows)
 
 
-def ranked_customers(orders: DataFrame, customer: str = "customer_id", amount: str = "amount") -> DataFrame:
+def ranked_customers(
+    orders: DataFrame, customer: str = "customer_id", amount: str = "amount", group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Revenue per customer, then its rank."""
-    return ranks(materialise(revenue_per_customer(orders, customer, amount), "revenue"), "total_revenue", "rank")
+    return ranks(
+        materialise(revenue_per_customer(orders, customer, amount), "revenue"), "total_revenue", "rank", group_rows=group_rows
+    )
 
 
 def with_customer_total(

@@ -121,7 +121,7 @@ def rank_with_ties(spark, sf):
     sold = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(
         F.sum("l_quantity").cast("long").alias("quantity")
     )
-    return ranks(materialise(sold, "sold"), "quantity", "rank", "dense_rank")
+    return ranks(materialise(sold, "sold"), "quantity", "rank", "dense_rank", SPLIT_ROWS)
 
 
 @query(
