@@ -1,13 +1,16 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block element. Each line weighs as many characters as it has outside links;
-lines inside menus, forms, adverts and the like are left out, and part nothing. The weights are summed over a sliding
+lines inside menus, forms, adverts and the like are left out, and part nothing; an element that is only named like one is
+believed unless hardly any text is left without it. The weights are summed over a sliding
 window of lines: where the sums surge, main text begins, where they dive, it ends, and the lines between are the text.
 Lines inside an article mark are one region, which weighs `MARK` times its characters: it is taken whole, without surge and
 dive, and regions outside the mark join it if they weigh as much. A mark that is light beside them decides nothing.
 """
 
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -41,7 +44,7 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never main text.
-_OUTSIDE = frozenset("nav footer aside form button head dialog menu fieldset input".split())
+_OUTSIDE = frozenset("nav footer aside button head dialog menu fieldset input".split())
 _OUTSIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar status".split()
 )
@@ -61,40 +64,95 @@ _OUTSIDE_CLASS = re.compile(
 _HEADERS = re.compile(r"(?:^|[\s_-])header(?:[\s_-]|$)", re.I)
 
 
-def _outside(name: str, attrs: str, in_mark: bool) -> bool:
+#: Whether an element holds the article, holds something else, or is only named as if it did.
+INSIDE, OUTSIDE, NAMED = 0, 1, 2
+
+
+def _outside(name: str, attrs: str, in_mark: bool) -> int:
     """Whether an element holds something other than the article. A header inside the article belongs to it."""
+    if name == "form":
+        return NAMED
     if name in _OUTSIDE:
-        return True
+        return OUTSIDE
     if name == "header":
-        return not in_mark
+        return INSIDE if in_mark else OUTSIDE
     if not attrs or name in ("body", "html", "main"):
-        return False
+        return INSIDE
     if _HIDDEN.search(attrs):
-        return True
+        return OUTSIDE
+    named = INSIDE
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
         if key == "role" and value.lower() in _OUTSIDE_ROLES:
-            return True
+            return OUTSIDE
         if key in ("class", "id") and _OUTSIDE_CLASS.search(value):
             if not (in_mark and _HEADERS.search(value)):
-                return True
-    return False
+                named = NAMED
+    return named
+
+
+def _cleared(weights: list[tuple[int, int]], parents: list[int]) -> list[bool]:
+    """Which named elements hold the article after all. `weights`: of each line, the innermost named element it lies in (-1: none) and
+    its weight; `parents`: of each named element, the one around it.
+
+    A name is not believed if hardly any text would be left: while lines outside all names weigh less than `SURGE`, the heaviest
+    outermost name that holds most of the text is cleared, so that layout wrappers give up their content, but not what is named
+    inside them.
+    """
+    held, free = [0] * len(parents), 0
+    for element, weight in weights:
+        if element < 0:
+            free += weight
+        else:
+            held[element] += weight
+    own = held[:]
+    for element in range(len(parents) - 1, -1, -1):  # inner elements come after those around them
+        if parents[element] >= 0:
+            held[parents[element]] += held[element]
+    inner: dict[int, list[int]] = {}
+    for element, parent in enumerate(parents):
+        inner.setdefault(parent, []).append(element)
+    cleared, outermost = [False] * len(parents), [(-held[e], e) for e in inner.get(-1, ())]
+    heapq.heapify(outermost)
+    rest = sum(held[e] for e in inner.get(-1, ()))
+    while free < SURGE and outermost:
+        weight, element = heapq.heappop(outermost)
+        if -weight < SURGE or -weight * 2 <= rest + free:
+            break
+        cleared[element] = True
+        free, rest = free + own[element], rest - own[element]
+        for e in inner.get(element, ()):
+            heapq.heappush(outermost, (-held[e], e))
+    return cleared
 
 
 def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
     """The lines of a page: text, characters outside links, whether inside a mark, whether main text is possible."""
-    lines: list[tuple[str, int, bool, bool]] = []
+    found: list[tuple[str, int, bool, bool, int]] = []
     parts: list[tuple[str, bool]] = []
-    open_elements: list[tuple[str, bool]] = []  # name and whether it lies outside main text
+    open_elements: list[tuple[str, int]] = []  # name and whether it lies outside main text
+    open_names: Counter[str] = Counter()
+    parents: list[int] = []  # of named elements
+    within = [-1]  # the named elements around this place
     outside = marks = links = 0
 
     def end_line() -> None:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
             weight = sum(len("".join(p.split())) for p, linked in parts if not linked)
-            lines.append((text, 0 if outside else weight, marks > 0, not outside))
+            found.append((text, 0 if outside else weight, marks > 0, not outside, within[-1]))
         parts.clear()
 
+    def close() -> str:
+        nonlocal outside, marks
+        n, o = open_elements.pop()
+        open_names[n] -= 1
+        outside -= o == OUTSIDE
+        marks -= n in _MARKED
+        if o == NAMED:
+            within.pop()
+        return n
+
     at = 0
     for m in _MARKUP.finditer(html):
         if m.start() > at:
@@ -112,15 +170,11 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
             continue
         inline = name in _INLINE
         if m["close"]:
-            if any(name == n for n, _ in open_elements):
+            if open_names[name]:
                 if not inline or any(o for _, o in open_elements[-1:]):
                     end_line()
-                while True:
-                    n, o = open_elements.pop()
-                    outside -= o
-                    marks -= n in _MARKED
-                    if n == name:
-                        break
+                while close() != name:
+                    pass
             elif not inline:
                 end_line()
             continue
@@ -134,13 +188,25 @@ def page_lines(html: str) -> list[tuple[str, int, bool, bool]]:
             end_line()
         top = open_elements[-1][0] if open_elements else ""
         if top == "p" and not inline or top == name == "li":  # end tags are optional
-            outside -= open_elements.pop()[1]
+            close()
         open_elements.append((name, out))
-        outside += out
+        open_names[name] += 1
+        outside += out == OUTSIDE
         marks += name in _MARKED
+        if out == NAMED:
+            parents.append(within[-1])
+            within.append(len(parents) - 1)
     if at < len(html):
         parts.append((unescape(html[at:]), links > 0))
     end_line()
+    cleared = _cleared([(line[4], line[1]) for line in found], parents)
+    possible = []  # by named element, whether it and all around it are cleared
+    for element, parent in enumerate(parents):
+        possible.append(cleared[element] and (parent < 0 or possible[parent]))
+    lines = []
+    for text, weight, marked, fit, element in found:
+        fit = fit and (element < 0 or possible[element])
+        lines.append((text, weight if fit else 0, marked, fit))
     return lines
 
 
@@ -193,7 +259,7 @@ def _main(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: `page_id`, `url`, `text`, `n_chars` (code points) and the lines between which it lay.
 
-    NULL, empty and text-free pages have an empty text. Unclosed elements end with the element around them. Pages are
+    NULL, empty and text-free pages have an empty text, an empty table gives no rows. Unclosed elements end with the element around them. Pages are
     taken whole, repeated rows each for itself; other columns of `pages` are not read.
     """
     found = in_small_batches(pick(pages, id_col, url_col, html_col)).select(
