@@ -273,7 +273,7 @@ def line_loads(spark, sf) -> list[DataFrame]:
     order = F.col("order_id")
     first, updated, deleted = order % 3 < 2, (order % 3 < 2) & (order % 5 == 0), order % 7 == 0
     later = F.struct(
-        order.alias("order_id"), "date_key", F.when(F.col("product_key") > 1, F.col("product_key") - 1).otherwise(1).cast("long").alias("product_key"),
+        order.alias("order_id"), "date_key", F.when(F.col("product_key") > 1, F.col("product_key") - 1).otherwise(F.col("product_key")).cast("long").alias("product_key"),
         F.when(F.col("quantity") > 10, F.col("quantity") + 1).alias("quantity"), (F.col("gross_amount") + 1).cast("decimal(12,2)").alias("gross_amount"),
     )
     now = F.struct(order.alias("order_id"), "date_key", F.col("product_key").cast("long").alias("product_key"), "quantity", "gross_amount")
