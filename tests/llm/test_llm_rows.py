@@ -168,6 +168,30 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.records(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_archives_are_bounded_by_bytes(spark, tmp_path, parts):
+    sizes = [10, 700, 0, 3_000, 9_000, 40_000, 700, 25_000, 100, 5_000] * 12
+    rows = [(i, "http://a/", chr(97 + i % 26) * n) for i, n in enumerate(sizes)]
+    pages, path = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts), str(tmp_path / "w")
+    warc.write_archives(pages, path, per_file=20, file_bytes=20_000)
+    found = warc.read_archives(spark, path).collect()
+    assert all(r["gap"] is None for r in found) and len(found) == len(rows)
+    last = {t: i for i, _, t in rows}
+    for r in found:
+        i = int(r["record_id"].split(":")[2])
+        assert r["payload_bytes"] == sizes[i]
+        assert r["record_type"] == ("response" if last[rows[i][2]] == i else "revisit")
+    files = {}
+    for r in found:
+        files.setdefault(r["path"], []).append(r["length"])
+    for lengths in files.values():
+        assert len(lengths) <= 20 and (sum(lengths) <= 35_000 or len(lengths) == 1)
+    assert len([p for p in files if "archive=" not in p]) <= 5 + parts and len(files) < 0.6 * len(rows)
+    empty = str(tmp_path / "empty")
+    warc.write_archives(pages.limit(0), empty)
+    assert warc.read_archives(spark, empty).count() == 0
+
+
 def _archive(spark):
     return [r["value"].encode() + b"\r\n\r\n" for r in warc.records(_pages(spark).where("page_id < 6")).orderBy("value").collect()]
 

@@ -21,7 +21,8 @@ from tidemart.sources.scratch import materialise
 _HEX32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-RECORDS_PER_FILE = 2000
+#: Records and bytes of a file. A larger record has a file of its own.
+RECORDS_PER_FILE, FILE_BYTES = 2000, 128 << 20
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -81,12 +82,41 @@ def records(
     ).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, **options) -> None:
-    """Write the records of `pages` as uncompressed WARC files of at most `per_file` records to a new folder."""
-    (
-        records(pages, **options).write.option("lineSep", END).option("compression", "none")
-        .option("maxRecordsPerFile", per_file).text(path)
-    )
+def _archive(value: Column, per_file: int, file_bytes: int) -> Column:
+    """A name for the file of a record: its level of length, and how many files the rows before it in the task fill.
+
+    A file holds records of one level among as many consecutive rows as fit at the level's upper length.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the row's number in its task
+    names, most = [], max(1, file_bytes // per_file)
+    while most < file_bytes:
+        file = F.floor(row / F.lit(file_bytes // most)).cast("string")
+        names.append(F.when(F.octet_length(value) <= most, F.concat(F.lit(f"{len(names)}-"), file)))
+        most *= 8
+    return F.coalesce(*names, F.concat(F.lit(f"{len(names)}-"), row.cast("string")))
+
+
+def write_archives(
+    pages: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES,
+    html_col: str = "html", **options,
+) -> None:
+    """Write the records of `pages` as uncompressed WARC files to a new folder.
+
+    A file has at most `per_file` records and about `file_bytes` bytes, however long the payloads are. Payloads of which
+    `per_file` fit into a file go to files in the folder itself; longer ones are counted by their lengths and go to
+    subfolders. Equal payloads are equally long, so each half has its revisits and responses together. An empty table
+    gives a folder without records.
+    """
+    size = F.coalesce(F.octet_length(F.col(f"`{html_col}`")), F.lit(0))
+    usual = max(1, file_bytes // per_file)
+
+    def writer(rows: DataFrame):
+        return rows.write.mode("append").option("lineSep", END).option("compression", "none")
+
+    short = records(pages.where(size <= usual), html_col=html_col, **options)
+    writer(short).option("maxRecordsPerFile", per_file).text(path)
+    long = records(pages.where(size > usual), html_col=html_col, **options)
+    writer(long.withColumn("archive", _archive(F.col("value"), per_file, file_bytes))).partitionBy("archive").text(path)
 
 
 _VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
@@ -242,10 +272,10 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = False) ->
     """One row per record, and per gap (`gap` says what failed; `offset` and `length` are the quarantined bytes).
 
     Records have type, id, the id they refer to, and size and base32 SHA-1 of the full payload: of the block for
-    responses, as recorded for revisits. One file is one task's work, so archives stay at usual sizes. An empty folder
-    gives no rows.
+    responses, as recorded for revisits. One file is one task's work, so archives stay at usual sizes. Subfolders are read
+    too. An empty folder gives no rows.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     return files.mapInPandas(_reader(keep_payload), READ)
 
 
