@@ -200,18 +200,18 @@ def test_merged_transform_is_that_of_all_strings():
         assert (step == 0) == (common >= depth)
 
 
-def brute_ppm(train, text):
-    """PPM of order 3 with method C and exclusion, one symbol at a time."""
-    counts = defaultdict(Counter)
+def brute_ppm(train, text, order=3):
+    """PPM with method C and exclusion, one symbol at a time."""
+    counts, pad = defaultdict(Counter), bytes([ppm.PAD] * order)
     for t in train:
-        data = bytes([ppm.PAD] * 3) + t + bytes([ppm.END])
-        for i in range(3, len(data)):
-            for k in range(4):
+        data = pad + t + bytes([ppm.END])
+        for i in range(order, len(data)):
+            for k in range(order + 1):
                 counts[data[i - k:i]][data[i]] += 1
-    total, data = 0.0, bytes([ppm.PAD] * 3) + text + bytes([ppm.END])
-    for i in range(3, len(data)):
+    total, data = 0.0, pad + text + bytes([ppm.END])
+    for i in range(order, len(data)):
         p, excluded = 1.0, set()
-        for k in (3, 2, 1, 0):
+        for k in range(order, -1, -1):
             here = {s: n for s, n in counts[data[i - k:i]].items() if s not in excluded}
             weight = sum(here.values()) + len(here)
             if data[i] in here:
@@ -248,6 +248,19 @@ def test_scores_equal_brute_force(spark):
         assert r["score"] == pytest.approx(brute_ppm([(x or "").encode() for x in train], (t or "").encode()), abs=1e-6)
 
 
+@pytest.mark.parametrize("order", [2, 4, 5, 7])
+def test_scores_of_other_orders_equal_brute_force(spark, order):
+    rng = random.Random(order)
+    words = ["the", "then", "Sat", "on", "mat", "é", "zebra!", "\t"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(12)))) for i in range(30)] + [(30, None), (31, "qqq \x00")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    train = [(t or "").encode() for d, t in rows if d % 4]
+    got = {r["doc_id"]: r["score"] for r in ppm.scores(docs, F.col("doc_id") % 4 == 0, pack=100, order=order).collect()}
+    assert got == {d: pytest.approx(brute_ppm(train, (t or "").encode(), order), abs=1e-6) for d, t in rows}
+    with pytest.raises(ValueError, match="order"):
+        ppm.scores(docs, F.lit(True), order=8)
+
+
 def test_probabilities_of_a_context_sum_to_one():
     text = b"abracadabra alakazam"
     data = np.frombuffer(bytes([ppm.PAD] * 3) + text + bytes([ppm.END]), np.uint8).astype(np.uint32)

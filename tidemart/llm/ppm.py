@@ -1,11 +1,11 @@
 """Language-model scores by prediction by partial matching, with a word unigram model beside it.
 
-The PPM model is a trie of byte contexts up to three bytes long, counted over all training documents: escape estimation
-by the number of distinct symbols (method C), with symbol exclusion. A text's score is the log10 probability of its bytes
+The PPM model is a trie of byte contexts up to `order` bytes long (three unless told otherwise), counted over all training
+documents: escape estimation by the number of distinct symbols (method C), with symbol exclusion. A text's score is the log10 probability of its bytes
 and its end.
 
 Neither the trie nor the vocabulary is ever held in one place. Documents are packed, several MB to a row. A pack sends the
-distinct four-byte strings and word hashes in it, with training counts, to buckets; a bucket, which owns all contexts with
+distinct strings of `order` + 1 bytes and word hashes in it, with training counts, to buckets; a bucket, which owns all contexts with
 the same last two bytes, merges counts and computes probabilities; each pack gets back the values of exactly the strings it
 asked for. Only the contexts of one byte, at most 65,536 counts, are shared with every task.
 """
@@ -27,13 +27,19 @@ from tidemart.sources.scratch import materialise
 CHUNK, PACKS_PER_BUCKET = 1 << 20, 3
 #: Two bytes that UTF-8 never has: before each text, and its end.
 PAD, END = 0xFE, 0xFF
-ORDER = 3
+#: The longest context of the model by default, and the longest that fits into a code with its symbol.
+ORDER, LONGEST = 3, 7
 SYMBOLS = 255
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _END_TOKEN = b" end"  # words have no spaces
 
 
+def code_kind(order: int):
+    """The type of a symbol's code: the bytes of its context, then the symbol."""
+    return np.uint32 if order <= 3 else np.uint64
+
+
 class Pack:
     """The documents of one pack."""
 
@@ -46,26 +52,28 @@ class Pack:
         for held, text in zip(self.held, self.texts):
             yield held, [*text.translate(_LOWER).split(), _END_TOKEN]
 
-    def codes(self) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
-        """Chunks of documents: the four-byte code of every symbol with its context, where each document's codes
-        begin, and the numbers of the documents."""
+    def codes(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+        """Chunks of documents: the code of every symbol with its context, where each document's codes begin, and the
+        numbers of the documents."""
         group: list[int] = []
-        size = 0
+        size, kind = 0, code_kind(order)
         for i, text in enumerate(self.texts):
             group.append(i)
             size += len(text)
             if size >= CHUNK or i == len(self.texts) - 1:
-                data = b"".join(bytes([PAD] * ORDER) + self.texts[j] + bytes([END]) for j in group)
-                a = np.frombuffer(data, np.uint8).astype(np.uint32)
-                all_codes = (a[:-3] << 24) | (a[1:-2] << 16) | (a[2:-1] << 8) | a[3:]
-                codes = all_codes[a[3:] != PAD]
+                data = b"".join(bytes([PAD] * order) + self.texts[j] + bytes([END]) for j in group)
+                a = np.frombuffer(data, np.uint8)
+                codes = a[:-order].astype(kind)
+                for n in range(1, order + 1):
+                    codes = (codes << kind(8)) | a[n:len(a) - order + n]
+                codes = codes[a[order:] != PAD]
                 lengths = np.array([len(self.texts[j]) + 1 for j in group])
                 yield codes, np.concatenate(([0], np.cumsum(lengths)[:-1])), group
                 group, size = [], 0
 
 
 def _bucket_of_codes(codes: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of four-byte codes: by the last two bytes of the context."""
+    """The bucket of codes: by the last two bytes of the context."""
     return ((((codes >> 8) & 0xFFFF).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)
 
 
@@ -104,12 +112,12 @@ def _ask_words(buckets: int):
     return run
 
 
-def _ask_codes(buckets: int):
+def _ask_codes(buckets: int, order: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for number, body in zip(batch["pack"], batch["body"]):
                 pack, found, numbers = Pack(body), [], []
-                for codes, starts, group in pack.codes():
+                for codes, starts, group in pack.codes(order):
                     ends = [*starts[1:], len(codes)]
                     train = np.ones(len(codes), np.int64)
                     for a, b, i in zip(starts, ends, group):
@@ -121,8 +129,8 @@ def _ask_codes(buckets: int):
                         numbers.append(times * n)
                 keys, counts = _summed(found, numbers)
                 bucket = _bucket_of_codes(keys, buckets)
-                order = np.lexsort((keys, bucket))
-                yield _rows(number, bucket[order], keys[order], counts[order])
+                at = np.lexsort((keys, bucket))
+                yield _rows(number, bucket[at], keys[at], counts[at])
 
     return run
 
@@ -157,49 +165,51 @@ def _merged(asked: DataFrame, kind) -> DataFrame:
     return part.groupBy("bucket").applyInPandas(_merge(kind), schema)
 
 
-def _first_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _first_order(kind):
     """Counts of (context byte, symbol)."""
-    for batch in batches:
-        for keys, counts in zip(batch["keys"], batch["counts"]):
-            pair = np.frombuffer(keys, np.uint32) & 0xFFFF
-            total = np.bincount(pair, np.frombuffer(counts, np.int64), 1 << 16).astype(np.int64)
-            at = np.flatnonzero(total)
-            yield pd.DataFrame({"pair": at, "n": total[at]})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for keys, counts in zip(batch["keys"], batch["counts"]):
+                pair = (np.frombuffer(keys, kind) & kind(0xFFFF)).astype(np.int64)
+                total = np.bincount(pair, np.frombuffer(counts, np.int64), 1 << 16).astype(np.int64)
+                at = np.flatnonzero(total)
+                yield pd.DataFrame({"pair": at, "n": total[at]})
 
-def log_probabilities(codes: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 P(last byte | first three bytes) of each code.
+    return run
+
+
+def log_probabilities(codes: np.ndarray, counts: np.ndarray, first: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """log10 P(last byte | the `order` bytes before it) of each code.
 
     `codes` are distinct and hold every trained code of their two-byte contexts, `counts` the training counts (0 for codes
     that are only asked for), `first` the counts of (context byte, symbol) over the whole training text.
     """
-    codes = codes.astype(np.int64)
-    context, last, symbol = codes >> 8, (codes >> 8) & 0xFF, codes & 0xFF
-    _, i3 = np.unique(context, return_inverse=True)
-    seen3 = counts > 0
-    total3, kinds3 = np.bincount(i3, counts)[i3], np.bincount(i3, seen3)[i3]
-    pairs, j2 = np.unique(codes & 0xFFFFFF, return_inverse=True)
-    n2 = np.bincount(j2, counts)
-    _, k2 = np.unique(pairs >> 8, return_inverse=True)
-    of = lambda weights: np.bincount(k2, weights)[k2][j2]  # noqa: E731  sums over a two-byte context
-    total2, kinds2 = of(n2), of(n2 > 0)
-    n1 = first[last, symbol]
-    shadowed1 = of((n2 > 0) * first[(pairs >> 8) & 0xFF, pairs & 0xFF])
-    seen1 = first > 0
+    codes = codes.astype(np.uint64)
+    last, symbol = ((codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64), (codes & np.uint64(0xFF)).astype(np.int64)
+    levels = []  # by context: count of the symbol, total and kinds of the symbols not seen in a longer context
+    longer = excluded = None  # each code's place among those of the level before, and kinds of its context there
+    for n in range(order, 1, -1):
+        strings, place = np.unique(codes & np.uint64((1 << 8 * (n + 1)) - 1), return_inverse=True)
+        count = np.bincount(place, counts)
+        _, context = np.unique(strings >> np.uint64(8), return_inverse=True)
+        total, kinds = np.bincount(context, count)[context], np.bincount(context, count > 0)[context]
+        if longer is None:
+            levels.append((count[place], total[place], kinds[place]))
+        else:
+            shadowed = _shadowed(longer, count[place])
+            levels.append((count[place], total[place] - shadowed, kinds[place] - excluded))
+        longer, excluded = (place, context, count), kinds[place]
     zero = first.sum(axis=0)
-    n0, seen0 = zero[symbol], zero > 0
-    shadowed0 = (seen1 * zero).sum(axis=1)[last]
-    kinds1 = seen1.sum(axis=1)[last]
+    seen0 = zero > 0
+    kinds1 = (first > 0).sum(axis=1)[last]
+    levels.append((
+        first[last, symbol], first.sum(axis=1)[last] - _shadowed(longer, first[last, symbol]), kinds1 - excluded,
+    ))
+    levels.append((zero[symbol], zero.sum() - ((first > 0) * zero).sum(axis=1)[last], seen0.sum() - kinds1))
 
     p, alive = np.zeros(len(codes)), np.ones(len(codes))
     open_ = np.ones(len(codes), dtype=bool)
-    shadowed2 = np.bincount(i3, seen3 * n2[j2])[i3]
-    levels = (  # count of the symbol, total and kinds of the symbols not seen in a longer context
-        (counts, total3, kinds3),
-        (n2[j2], total2 - shadowed2, kinds2 - kinds3),
-        (n1, first.sum(axis=1)[last] - shadowed1, kinds1 - kinds2),
-        (n0, zero.sum() - shadowed0, seen0.sum() - kinds1),
-    )
     for n, total, kinds in levels:
         weight = np.maximum(total + kinds, 1)
         hit = open_ & (n > 0)
@@ -210,15 +220,23 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, first: np.ndarray)
     return np.log10(p)
 
 
+def _shadowed(longer: tuple[np.ndarray, np.ndarray, np.ndarray], shorter: np.ndarray) -> np.ndarray:
+    """For each code, how often the symbols seen in its longer context occur in its shorter one. `shorter`: each code's count there."""
+    place, context, count = longer
+    each = np.zeros(len(count))
+    each[place] = shorter  # codes of one string share the shorter context and the symbol
+    return np.bincount(context, (count > 0) * each)[context][place]
+
+
 VALUES = "bucket long, keys binary, values binary"
 
 
-def _model(first):
+def _model(first, order: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for bucket, keys, counts in zip(batch["bucket"], batch["keys"], batch["counts"]):
-                codes = np.frombuffer(keys, np.uint32)
-                values = log_probabilities(codes, np.frombuffer(counts, np.int64), first.value)
+                codes = np.frombuffer(keys, code_kind(order))
+                values = log_probabilities(codes, np.frombuffer(counts, np.int64), first.value, order)
                 yield pd.DataFrame({"bucket": [bucket], "keys": [keys], "values": [values.tobytes()]})
 
     return run
@@ -271,7 +289,7 @@ def _sorted_answers(answers: pd.DataFrame, what: str, kind, value_kind) -> tuple
     return keys[order], values[order]
 
 
-def _score(tokens: int, kinds: int):
+def _score(tokens: int, kinds: int, order: int):
     floor = np.log10(tokens + 0.5 * (kinds + 1)) if tokens else 0.0
     unknown = float(np.log10(0.5) - floor)
 
@@ -289,9 +307,9 @@ def _score(tokens: int, kinds: int):
             found = list(map(base.__getitem__, part))
             rows.append((len(part), len(part) - found.count(unknown), sum(found)))
         del base, seen
-        distinct, values = _sorted_answers(answers, "codes", np.uint32, np.float64)
+        distinct, values = _sorted_answers(answers, "codes", code_kind(order), np.float64)
         scores = np.zeros(len(pack.texts))
-        for codes, starts, group in pack.codes():
+        for codes, starts, group in pack.codes(order):
             part, places = np.unique(codes, return_inverse=True)
             scores[group] = np.add.reduceat(values[np.searchsorted(distinct, part)][places], starts)
         return pd.DataFrame({
@@ -303,14 +321,19 @@ def _score(tokens: int, kinds: int):
     return run
 
 
-def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", pack: int = PACK) -> DataFrame:
+def scores(
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", pack: int = PACK, order: int = ORDER,
+) -> DataFrame:
     """One row per row of `docs`: `doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`,
     `n_bytes`.
 
     Both models learn from the rows where `held_out` is not true and score all rows. NULL texts are empty: one token,
     the end. Repeated rows count each. Without training rows every byte is equally likely and `base_score` knows no token.
-    An empty table gives no rows.
+    An empty table gives no rows. `order`, 2 to 7, is the length of the longest context; longer ones cost more strings.
     """
+    if not 2 <= order <= LONGEST:
+        raise ValueError(f"order must be 2 to {LONGEST}")
+    kind = code_kind(order)
     rows = pick(docs, id_col, text_col).select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
@@ -323,25 +346,24 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     vocabulary = materialise(_merged(words, np.uint64), "vocabulary")
     totals = vocabulary.mapInPandas(_totals, "tokens long, kinds long").agg(F.sum("tokens"), F.sum("kinds")).first()
     tokens, kinds = totals[0] or 0, totals[1] or 0
-    codes = materialise(packs.mapInPandas(_ask_codes(code_buckets), ASKED), "asked-codes")
-    trie = materialise(_merged(codes, np.uint32), "trie")
+    codes = materialise(packs.mapInPandas(_ask_codes(code_buckets, order), ASKED), "asked-codes")
+    trie = materialise(_merged(codes, kind), "trie")
     first = np.zeros((256, 256), np.int64)
-    for row in trie.mapInPandas(_first_order, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for row in trie.mapInPandas(_first_order(kind), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         first[row["pair"] >> 8, row["pair"] & 0xFF] = row["n"]  # at most 65,536 rows
-    model = trie.mapInPandas(_model(docs.sparkSession.sparkContext.broadcast(first)), VALUES)
+    model = trie.mapInPandas(_model(docs.sparkSession.sparkContext.broadcast(first), order), VALUES)
 
     answers = _word_answers(words, vocabulary).unionByName(
-        _answers(codes, model, np.uint32, np.float64, "codes")
+        _answers(codes, model, kind, np.float64, "codes")
     )
-    kind = rows.schema["id"].dataType
     schema = StructType([
-        StructField("doc_id", kind), StructField("held_out", BOOLEAN), StructField("n_tokens", LONG),
+        StructField("doc_id", rows.schema["id"].dataType), StructField("held_out", BOOLEAN), StructField("n_tokens", LONG),
         StructField("n_known", LONG), StructField("train_tokens", LONG), StructField("base_score", DOUBLE),
         StructField("score", DOUBLE), StructField("n_bytes", LONG),
     ])
     return (
         packs.groupBy("pack").cogroup(answers.groupBy("pack"))
-        .applyInPandas(_score(tokens, kinds), schema)
+        .applyInPandas(_score(tokens, kinds, order), schema)
     )
 
 
