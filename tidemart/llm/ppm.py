@@ -1,6 +1,6 @@
 """Language-model scores by prediction by partial matching, with a word unigram model beside it.
 
-The PPM model is a trie of byte contexts up to `order` bytes long (three unless told otherwise), counted over all training
+The PPM model is a trie of byte contexts up to `order` bytes long (four unless told otherwise), counted over all training
 documents: escape estimation by the number of distinct symbols (method C), with symbol exclusion. A text's score is the log10 probability of its bytes
 and its end.
 
@@ -25,10 +25,12 @@ from tidemart.sources.scratch import materialise
 
 #: Bytes scored at once, and packs whose distinct strings make up one bucket on average.
 CHUNK, PACKS_PER_BUCKET = 1 << 20, 3
+#: Packs that are answered by one copy of a bucket.
+PACKS_PER_GROUP = 256
 #: Two bytes that UTF-8 never has: before each text, and its end.
 PAD, END = 0xFE, 0xFF
 #: The longest context of the model by default, and the longest that fits into a code with its symbol.
-ORDER, LONGEST = 3, 7
+ORDER, LONGEST = 4, 7
 SYMBOLS = 255
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -91,7 +93,7 @@ def _rows(pack: int, bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -
     """One row per bucket of values in bucket order."""
     ends = np.flatnonzero(np.diff(bucket)) + 1
     rows = [
-        (pack, int(bucket[a]), keys[a:b].tobytes(), counts[a:b].tobytes())
+        (pack, int(bucket[a]), keys[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes())  # a pack has fewer symbols
         for a, b in zip([0, *ends], [*ends, len(bucket)]) if a < b
     ]
     return pd.DataFrame(rows, columns=["pack", "bucket", "keys", "counts"])
@@ -145,12 +147,12 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return distinct, total
 
 
-def _merge(kind):
+def _merge(kind, count_kind=np.int64):
     """Rows of one bucket to one row with the distinct keys and total counts."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         keys, counts = _summed(
-            [np.frombuffer(k, kind) for k in group["keys"]], [np.frombuffer(c, np.int64) for c in group["counts"]]
+            [np.frombuffer(k, kind) for k in group["keys"]], [np.frombuffer(c, count_kind) for c in group["counts"]]
         )
         return pd.DataFrame({"bucket": [group["bucket"].iloc[0]], "keys": [keys.tobytes()], "counts": [counts.tobytes()]})
 
@@ -161,7 +163,7 @@ def _merged(asked: DataFrame, kind) -> DataFrame:
     """One row per bucket. Rows are merged in two steps, so a bucket that every pack asks is no single task's work."""
     schema = "bucket long, keys binary, counts binary"
     part = asked.select("bucket", "keys", "counts", F.pmod(F.xxhash64("pack"), F.lit(64)).alias("part"))
-    part = part.groupBy("bucket", "part").applyInPandas(_merge(kind), schema)
+    part = part.groupBy("bucket", "part").applyInPandas(_merge(kind, np.uint32), schema)
     return part.groupBy("bucket").applyInPandas(_merge(kind), schema)
 
 
@@ -243,40 +245,29 @@ def _model(first, order: int):
 
 
 def _answer(kind, value_kind):
-    """Rows (pack, bucket, keys, all_keys, values) to the pack's keys with their values."""
+    """The values of the keys that packs ask one bucket for."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for keys, known, values in zip(batch["keys"], batch["all_keys"], batch["values"]):
-                at = np.searchsorted(np.frombuffer(known, kind), np.frombuffer(keys, kind))
-                out.append(np.frombuffer(values, value_kind)[at].tobytes())
-            yield pd.DataFrame({"pack": batch["pack"], "keys": batch["keys"], "values": out})
+    def run(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty:
+            return pd.DataFrame({"pack": [], "keys": [], "values": []})
+        all_keys = np.frombuffer(known["keys"].iloc[0], kind)
+        values = np.frombuffer(known["values"].iloc[0], value_kind)
+        found = [values[np.searchsorted(all_keys, np.frombuffer(k, kind))].tobytes() for k in asked["keys"]]
+        return pd.DataFrame({"pack": asked["pack"], "keys": asked["keys"], "values": found})
 
     return run
 
 
-def _word_answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """The counts of the words that packs asked one bucket for."""
-    hashes = np.frombuffer(known["keys"].iloc[0], np.uint64)
-    counts = np.frombuffer(known["counts"].iloc[0], np.int64)
-    found = [counts[np.searchsorted(hashes, np.frombuffer(keys, np.uint64))].tobytes() for keys in asked["keys"]]
-    return pd.DataFrame({"pack": asked["pack"], "keys": asked["keys"], "values": found})
-
-
-def _word_answers(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """As `_answers`. A word's bucket is random, so what all packs ask a bucket for is as much as a few packs hold."""
-    rows = asked.select("pack", "bucket", "keys").groupBy("bucket").cogroup(vocabulary.groupBy("bucket"))
-    return rows.applyInPandas(_word_answer, "pack long, keys binary, values binary").withColumn("what", F.lit("words"))
+def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str, copies: int) -> DataFrame:
+    """What each pack asked for: (pack, what, keys, values).
 
-
-def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str) -> DataFrame:
-    """What each pack asked for: (pack, what, keys, values)."""
-    known = known.select("bucket", F.col("keys").alias("all_keys"), "values")
-    rows = asked.select("pack", "bucket", "keys").join(known, "bucket")
-    got = rows.select("pack", "bucket", "keys", "all_keys", "values").mapInPandas(
-        _answer(kind, value_kind), "pack long, keys binary, values binary"
-    )
+    Each bucket of `known` is there in `copies`, and each pack asks one of them, so that a bucket that every pack asks is
+    many groups, of some `PACKS_PER_GROUP` packs each.
+    """
+    asked = asked.select("pack", "bucket", "keys", F.pmod(F.xxhash64("pack"), F.lit(copies)).cast("int").alias("copy"))
+    known = known.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    rows = asked.groupBy("bucket", "copy").cogroup(known.groupBy("bucket", "copy"))
+    got = rows.applyInPandas(_answer(kind, value_kind), "pack long, keys binary, values binary")
     return got.withColumn("what", F.lit(label))
 
 
@@ -339,7 +330,8 @@ def scores(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
     packs = packed(rows, pack)
-    n_buckets = max(1, -(-packs.count() // PACKS_PER_BUCKET))
+    n_packs = packs.count()
+    n_buckets, copies = max(1, -(-n_packs // PACKS_PER_BUCKET)), max(1, -(-n_packs // PACKS_PER_GROUP))
 
     code_buckets = min(n_buckets, 1 << 12)
     words = materialise(packs.mapInPandas(_ask_words(n_buckets), ASKED), "asked-words")
@@ -353,9 +345,9 @@ def scores(
         first[row["pair"] >> 8, row["pair"] & 0xFF] = row["n"]  # at most 65,536 rows
     model = trie.mapInPandas(_model(docs.sparkSession.sparkContext.broadcast(first), order), VALUES)
 
-    answers = _word_answers(words, vocabulary).unionByName(
-        _answers(codes, model, kind, np.float64, "codes")
-    )
+    answers = _answers(
+        words, vocabulary.withColumnRenamed("counts", "values"), np.uint64, np.int64, "words", copies
+    ).unionByName(_answers(codes, model, kind, np.float64, "codes", copies))
     schema = StructType([
         StructField("doc_id", rows.schema["id"].dataType), StructField("held_out", BOOLEAN), StructField("n_tokens", LONG),
         StructField("n_known", LONG), StructField("train_tokens", LONG), StructField("base_score", DOUBLE),
