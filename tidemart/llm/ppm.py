@@ -244,22 +244,26 @@ def _model(first, order: int):
     return run
 
 
-def _answer(kind, value_kind):
-    """The values of the keys that packs ask one bucket for."""
+def _answer(kind, value_kind, with_keys: bool):
+    """The values of the keys that packs ask one bucket for, in the order asked."""
 
     def run(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if asked.empty:
-            return pd.DataFrame({"pack": [], "keys": [], "values": []})
+            return pd.DataFrame({"pack": [], "bucket": [], "keys": [], "values": []})
         all_keys = np.frombuffer(known["keys"].iloc[0], kind)
         values = np.frombuffer(known["values"].iloc[0], value_kind)
         found = [values[np.searchsorted(all_keys, np.frombuffer(k, kind))].tobytes() for k in asked["keys"]]
-        return pd.DataFrame({"pack": asked["pack"], "keys": asked["keys"], "values": found})
+        return pd.DataFrame({
+            "pack": asked["pack"], "bucket": asked["bucket"], "keys": asked["keys"] if with_keys else None, "values": found,
+        })
 
     return run
 
 
-def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str, copies: int) -> DataFrame:
-    """What each pack asked for: (pack, what, keys, values).
+def _answers(
+    asked: DataFrame, known: DataFrame, kind, value_kind, label: str, copies: int, with_keys: bool = True,
+) -> DataFrame:
+    """What each pack asked for: (pack, bucket, what, keys, values). Without keys, packs know the order in which they asked.
 
     Each bucket of `known` is there in `copies`, and each pack asks one of them, so that a bucket that every pack asks is
     many groups, of some `PACKS_PER_GROUP` packs each.
@@ -267,7 +271,7 @@ def _answers(asked: DataFrame, known: DataFrame, kind, value_kind, label: str, c
     asked = asked.select("pack", "bucket", "keys", F.pmod(F.xxhash64("pack"), F.lit(copies)).cast("int").alias("copy"))
     known = known.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     rows = asked.groupBy("bucket", "copy").cogroup(known.groupBy("bucket", "copy"))
-    got = rows.applyInPandas(_answer(kind, value_kind), "pack long, keys binary, values binary")
+    got = rows.applyInPandas(_answer(kind, value_kind, with_keys), "pack long, bucket long, keys binary, values binary")
     return got.withColumn("what", F.lit(label))
 
 
@@ -280,24 +284,26 @@ def _sorted_answers(answers: pd.DataFrame, what: str, kind, value_kind) -> tuple
     return keys[order], values[order]
 
 
-def _score(tokens: int, kinds: int, order: int):
+def _score(tokens: int, kinds: int, order: int, buckets: int):
     floor = np.log10(tokens + 0.5 * (kinds + 1)) if tokens else 0.0
     unknown = float(np.log10(0.5) - floor)
 
     def run(packs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         pack = Pack(packs["body"].iloc[0])
-        hashes, counts = _sorted_answers(answers, "words", np.uint64, np.int64)
+        parts = answers[answers["what"] == "words"].sort_values("bucket")["values"]
+        counts = np.concatenate([np.frombuffer(v, np.int64) for v in parts])
         values = np.where(counts > 0, np.log10(counts + 0.5) - floor, unknown)
         seen: set[bytes] = set()
         for _, part in pack.words():
             seen.update(part)
-        own = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen))
-        base = dict(zip(seen, values[np.searchsorted(hashes, own)].tolist()))
+        words = list(seen)
+        _, _, asked = _word_hashes(words, buckets)
+        base = {words[i]: value for i, value in zip(asked.tolist(), values.tolist())}
         rows = []
         for _, part in pack.words():
             found = list(map(base.__getitem__, part))
             rows.append((len(part), len(part) - found.count(unknown), sum(found)))
-        del base, seen
+        del base, seen, words
         distinct, values = _sorted_answers(answers, "codes", code_kind(order), np.float64)
         scores = np.zeros(len(pack.texts))
         for codes, starts, group in pack.codes(order):
@@ -346,7 +352,7 @@ def scores(
     model = trie.mapInPandas(_model(docs.sparkSession.sparkContext.broadcast(first), order), VALUES)
 
     answers = _answers(
-        words, vocabulary.withColumnRenamed("counts", "values"), np.uint64, np.int64, "words", copies
+        words, vocabulary.withColumnRenamed("counts", "values"), np.uint64, np.int64, "words", copies, with_keys=False
     ).unionByName(_answers(codes, model, kind, np.float64, "codes", copies))
     schema = StructType([
         StructField("doc_id", rows.schema["id"].dataType), StructField("held_out", BOOLEAN), StructField("n_tokens", LONG),
@@ -355,7 +361,7 @@ def scores(
     ])
     return (
         packs.groupBy("pack").cogroup(answers.groupBy("pack"))
-        .applyInPandas(_score(tokens, kinds, order), schema)
+        .applyInPandas(_score(tokens, kinds, order, n_buckets), schema)
     )
 
 
