@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import same, tuples
+from tidemart.operators import asof, ordered
 from tidemart.operators.asof import Lookup, point_in_time_join, point_in_time_joins
 from tidemart.operators.features import (
     FeatureService, OnDemandView, compact_latest, historical_features, latest_features, materialize_incremental,
@@ -98,6 +99,21 @@ def test_point_in_time_join_equals_brute_force(spark, group_rows):
     same(got, expected)
 
 
+def test_many_large_keys_share_few_pieces(spark, monkeypatch):
+    """Each of 200 keys is large; what the last pieces carry over is the same for any number of them."""
+    start = T("2021-04-12 10:00:00")
+    facts = spark.createDataFrame([(i % 200, start + timedelta(seconds=7 * i), i) for i in range(4000)], "k long, at timestamp, v long")
+    asked = spark.createDataFrame([(i % 200, start + timedelta(seconds=13 * i)) for i in range(2000)], "k long, asked_at timestamp")
+    counts = []
+    whole = asof.sorted_pieces
+    monkeypatch.setattr(asof, "sorted_pieces", lambda df, order, pieces: counts.append(pieces) or whole(df, order, pieces))
+    few = point_in_time_join(asked, facts, ["k"], ["v"], "asked_at", "at", group_rows=10)
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 100)
+    same(few, point_in_time_join(asked, facts, ["k"], ["v"], "asked_at", "at", group_rows=10))
+    same(few, point_in_time_join(asked, facts, ["k"], ["v"], "asked_at", "at"))
+    assert counts[0] == 4 and counts[1] > 30
+
+
 @pytest.mark.parametrize("group_rows", [100, 1_000_000])
 def test_two_lookups_on_one_timeline_equal_two_joins(spark, group_rows):
     rng = random.Random(5)

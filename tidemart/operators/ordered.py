@@ -59,9 +59,13 @@ def by_heat(
     )
 
 
+#: A piece may hold so many rows even where keys are split from fewer on: each piece is a task, which has to be worth its start.
+PIECE_ROWS = 500_000
+
+
 def piece_count(df: DataFrame, rows: int, group_rows: int = GROUP_ROWS) -> int:
-    """Pieces of at most about `group_rows` rows, and no fewer than keep all tasks busy."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / group_rows))
+    """Pieces of at most about `group_rows` rows, or `PIECE_ROWS` if that is more, and no fewer than keep all tasks busy."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / max(group_rows, PIECE_ROWS)))
 
 
 def sorted_pieces(df: DataFrame, order: Sequence[Column], pieces: int | None = None) -> DataFrame:
