@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from helpers import plan_of, same, tuples
+from tidemart.operators import asof
 from tidemart.operators.features import Entity, FeatureRepo, FeatureSource, FeatureView, historical_features, push
 from tidemart.operators.asof import Lookup, StoredLookup, point_in_time_join, point_in_time_joins, point_in_time_stored, store_history
 
@@ -83,6 +84,17 @@ def test_large_keys_take_the_other_route(spark, tmp_path, group_rows):
     same(history.rows(spark), heavy.dropna(subset=["user_id"]))
 
 
+def test_many_large_keys_of_a_history_share_few_pieces(spark, tmp_path, monkeypatch):
+    facts, asked = frames(spark)
+    counts = []
+    whole = asof.sorted_pieces
+    monkeypatch.setattr(asof, "sorted_pieces", lambda df, order, pieces: counts.append(pieces) or whole(df, order, pieces))
+    history = stored(facts, tmp_path, buckets=3, group_rows=5)
+    got = point_in_time_stored(asked, [StoredLookup(history, ["v", "w"])], group_rows=5)
+    same(got, point_in_time_join(asked, facts, ["user_id"], ["v", "w"], created="created"))
+    assert counts == [4]
+
+
 def test_several_histories_and_wrong_layouts(spark, tmp_path):
     facts, asked = frames(spark)
     other = frames(spark, seed=9)[0].select("user_id", "event_timestamp", "created", F.col("v").alias("x"))
