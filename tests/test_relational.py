@@ -135,6 +135,19 @@ def test_copies_of_one_row_are_cut(spark):
     assert [r.order_id for r in order_desc(copies, "order_id", group_rows=100).take(2)] == [1999, 1997]
 
 
+def test_pieces_follow_the_rows_not_the_smallest_large_key(spark, skewed, monkeypatch):
+    assert ordered.piece_count(skewed, 3000, 100) == 4
+    assert ordered.piece_count(skewed, 54_000_000, 100) == 108
+    assert ordered.piece_count(skewed, 54_000_000) == 14
+    counts = []
+    whole = ordered.sorted_pieces
+    monkeypatch.setattr(ordered, "sorted_pieces", lambda df, order, pieces=None: counts.append(pieces) or whole(df, order, pieces))
+    few = order_sequence(skewed, group_rows=100)
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 100)
+    same(few, order_sequence(skewed, group_rows=100))
+    assert counts[0] == 4 and counts[1] >= 10
+
+
 def test_orphans(spark, customers, orders):
     stray = orders.union(spark.createDataFrame([(9, 77, 1, AS_OF, D("1.00")), (10, None, 1, AS_OF, D("1.00"))], orders.schema))
     assert tuples(orphans(stray, customers, "customer_id", "id"), "order_id") == [(9,)]
