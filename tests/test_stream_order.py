@@ -2,13 +2,16 @@
 
 import random
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from helpers import tuples
 from tidemart.operators.quality import between, in_set, not_null, observed, unique, validate
 from tidemart.sources.tables import read_table
+from tidemart.streaming import ordering
 from tidemart.streaming.gate import stream_gated
 from tidemart.streaming.ordering import in_order, rocksdb
 from tidemart.streaming.sources import event_time, read_parquet_stream
@@ -79,6 +82,84 @@ def test_any_landings_give_the_whole_order(spark, tmp_path):
     assert got == [(p, o + 1, o, 0) for p in range(3) for o in range(40)]
 
 
+class Held(dict):
+    """State of one partition in memory, and how often an entry is written."""
+
+    writes = 0
+
+    def getValueState(self, name, schema):
+        return self.line
+
+    def getMapState(self, name, keys, values):
+        return self
+
+    def __init__(self):
+        self.line, self.timers = SimpleNamespace(exists=lambda: False), set()
+        self.line.update = self.keep
+        self.registerTimer, self.deleteTimer, self.getValue, self.removeKey = self.timers.add, self.timers.remove, self.get, self.pop
+
+    def keep(self, value):
+        self.line.get, self.line.exists = lambda: value, lambda: True
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self[key] = value
+
+
+def ordering_state(first=0):
+    state, held = ordering._InOrder(first, None), Held()
+    state.init(held)
+
+    def send(offsets, tag="v"):
+        rows = pd.DataFrame({"offset": offsets, "at": [o * 1000 for o in offsets], "value": [None if o % 7 == 0 else f"{tag}{o}" for o in offsets]})
+        return [tuple(r) for part in state.handleInputRows(("t", 0), iter([rows]), None) for r in part[["position", "offset", "value", "skipped"]].itertuples(index=False)]
+
+    def expire():
+        timer = held.timers.pop()  # as Spark drops a timer that it fires
+        info = SimpleNamespace(getExpiryTimeInMs=lambda: timer)
+        return [tuple(r) for part in state.handleExpiredTimer(("t", 0), None, info) for r in part[["position", "offset", "value", "skipped"]].itertuples(index=False)]
+
+    return held, send, expire
+
+
+def test_messages_behind_a_hole_are_written_in_blocks():
+    held, send, _ = ordering_state()
+    assert send(list(range(1, 20_001))) == []
+    assert held.writes == len(held) == 5
+    got = send([0])
+    assert [r[:2] for r in got] == [(o + 1, o) for o in range(20_001)] and not held and not held.timers
+
+
+@pytest.mark.parametrize("block", [1, 4, 4096])
+def test_blocks_of_held_messages_equal_single_ones(monkeypatch, block):
+    """Random landings against a plain model: what continues goes on, newer copies replace held ones, a timer gives up a hole."""
+    monkeypatch.setattr(ordering, "BLOCK", block)
+    rng = random.Random(block)
+    held, send, expire = ordering_state()
+    next_, position, waiting = 0, 0, {}
+    text = lambda o, tag: None if o % 7 == 0 else f"{tag}{o}"
+
+    def released(skipped=0):
+        nonlocal next_, position
+        out = []
+        while next_ in waiting:
+            position += 1
+            out.append((position, next_, waiting.pop(next_), 0 if out else skipped))
+            next_ += 1
+        return out
+
+    for turn in range(200):
+        if waiting and rng.random() < 0.1:
+            skipped, next_ = min(waiting) - next_, min(waiting)
+            assert expire() == released(skipped)
+        offsets = rng.sample(range(max(0, next_ - 3), next_ + 25), rng.randint(1, 9))
+        waiting |= {o: text(o, turn) for o in offsets if o >= next_}
+        assert send(offsets, turn) == released()
+        assert held.timers == ({min(waiting)} if waiting else set())
+        assert held.line.get()[2] == min(waiting, default=-1) if held.line.exists() else not waiting
+        assert len(held) == len({o // block for o in waiting})
+
+
 def test_messages_that_come_twice_count_once(spark, tmp_path):
     schema = "message_id long, customer_id int, amount double, ts timestamp"
     folder = tmp_path / "in"
