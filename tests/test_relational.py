@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import Window, functions as F
 
-from helpers import D, day, same, tuples
+from helpers import D, day, plan_of, same, tuples
 from tidemart.operators import ordered
 from tidemart.operators.relational import (
     above_average_customers, all_customers, customer_rank, customers_full_orders, customers_with_orders, filter_eq,
@@ -148,6 +148,28 @@ def test_pieces_follow_the_rows_not_the_smallest_large_key(spark, skewed, monkey
     assert counts[0] == 4 and counts[1] >= 10
 
 
+def test_rows_of_one_key_never_meet_in_one_task(spark, skewed, monkeypatch):
+    """Without help from statistics: few large keys come to the rows, and the numbers of pieces are joined by piece."""
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in off}
+    parts = []
+    whole = ordered.stamped
+    monkeypatch.setattr(ordered, "stamped", lambda df: parts.append(plan_of(df, "simple")) or whole(df))
+    try:
+        for name, value in off.items():
+            spark.conf.set(name, value)
+        one = skewed.withColumn("customer_id", F.when(F.col("order_id") < 0, 1)).withColumn("order_id", F.col("order_id") % 70)
+        got = order_sequence(one, group_rows=100)
+        assert "BroadcastHashJoin" in parts[0] and "hashpartitioning" not in parts[0]
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+        assert sorted(r.order_sequence for r in got.collect()) == list(range(1, 3001))
+        by = Window.partitionBy("customer_id").orderBy(F.col("order_date").asc_nulls_last(), "order_id")
+        assert got.withColumn("_n", F.rank().over(by)).filter("order_sequence < _n").isEmpty()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_orphans(spark, customers, orders):
     stray = orders.union(spark.createDataFrame([(9, 77, 1, AS_OF, D("1.00")), (10, None, 1, AS_OF, D("1.00"))], orders.schema))
     assert tuples(orphans(stray, customers, "customer_id", "id"), "order_id") == [(9,)]

@@ -3,7 +3,7 @@
 A plain window puts all rows of a key in one task. That is the best plan while every key is small,
 so it stays the default; keys that an exact count finds to be large take another route: their rows are
 range-sorted over many tasks ("pieces"), each piece is solved alone, and what earlier pieces carry
-over is added. How the few carried rows are joined is left to Spark, which knows their size.
+over is added. How the few carried rows are joined is left to Spark, which knows their size; few literal keys are broadcast.
 """
 
 import math
@@ -30,11 +30,15 @@ FEW_ROWS = 1000
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:
-    """`df` computed once: as literal rows where there are at most `FEW_ROWS`, else written."""
+    """`df` computed once: as literal rows where there are at most `FEW_ROWS`, else written.
+
+    Spark does not know the size of literal rows. The hint sends them to every task, so that a join with few large keys leaves the
+    rows of these keys where they are.
+    """
     found = df.limit(FEW_ROWS + 1).collect()
     if len(found) > FEW_ROWS:
         return materialise(df, label)
-    return df.sparkSession.createDataFrame(found, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
 def by_heat(
@@ -134,11 +138,17 @@ def row_numbers(
         return part.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
     def split(part: DataFrame, pieces: int) -> DataFrame:
-        placed = global_positions(stamped(part), [*[F.col(k) for k in keys], *order, F.col("_stamp")], "_row", pieces)
-        firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"))
-        return null_safe_join(placed, firsts, keys).withColumn(
-            name, F.col("_row") - F.col("_first") + 1
-        ).drop("_row", "_first", "_stamp")
+        pieced = sorted_pieces(stamped(part), [*[F.col(k) for k in keys], *order, F.col("_stamp")], pieces)
+        # Joined by piece and key: by key alone, all rows of a key would meet in one task.
+        earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        starts = (
+            pieced.groupBy("_piece", *keys)
+            .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_part"))
+            .select("_piece", *keys, "_first", F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_carry"))
+        )
+        return null_safe_join(pieced, starts, ["_piece", *keys]).withColumn(
+            name, F.col("_carry") + F.col("_at") - F.col("_first") + 1
+        ).drop("_piece", "_at", "_first", "_carry", "_stamp")
 
     return by_heat(df, keys, plain, split, group_rows)
 
