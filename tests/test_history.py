@@ -95,6 +95,18 @@ def test_many_large_keys_of_a_history_share_few_pieces(spark, tmp_path, monkeypa
     assert counts == [4]
 
 
+def test_large_keys_of_a_history_are_found_once(spark, tmp_path, monkeypatch):
+    """The entity rows of the large keys are picked by literal keys, not by counting and uniting them in every use."""
+    facts, asked = frames(spark)
+    picked = []
+    whole = asof.point_in_time_joins
+    monkeypatch.setattr(asof, "point_in_time_joins", lambda rows, *rest: picked.append(plan_of(rows, "simple")) or whole(rows, *rest))
+    history = stored(facts, tmp_path, buckets=3, group_rows=5)
+    got = point_in_time_stored(asked, [StoredLookup(history, ["v", "w"])], group_rows=5)
+    assert "Union" not in picked[0] and "Aggregate" not in picked[0] and "BroadcastHashJoin" in picked[0]
+    same(got, point_in_time_join(asked, facts, ["user_id"], ["v", "w"], created="created"))
+
+
 def test_several_histories_and_wrong_layouts(spark, tmp_path):
     facts, asked = frames(spark)
     other = frames(spark, seed=9)[0].select("user_id", "event_timestamp", "created", F.col("v").alias("x"))

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemart.operators.ordered import GROUP_ROWS, by_heat, large_keys, null_safe_join, sorted_pieces
+from tidemart.operators.ordered import GROUP_ROWS, by_heat, large_keys, null_safe_join, settled, sorted_pieces
 
 
 @dataclass(frozen=True, eq=False)
@@ -250,9 +250,9 @@ def point_in_time_stored(
     hot = large_keys(entities, keys, group_rows).drop("_rows")
     for path in dict.fromkeys(look.history.hot for look in lookups if look.history.hot):
         hot = hot.unionByName(spark.read.schema(hot.schema).parquet(path))
+    hot = settled(hot.distinct(), "hot-keys")
     rest = None
     if not hot.isEmpty():
-        hot = hot.distinct()
         rows = null_safe_join(entities, hot, keys, "left_semi")
         plain = [Lookup(look.history.rows(spark), look.columns, look.ts, look.created, look.ttl) for look in lookups]
         rest = point_in_time_joins(rows, plain, keys, entity_ts, group_rows)
